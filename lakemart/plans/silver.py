@@ -31,14 +31,8 @@ def silver_sellers(sellers: DataFrame) -> DataFrame:
     )
 
 
-def silver_products(products: DataFrame, sellers: DataFrame, zero_rule: str = "any") -> DataFrame:
-    """One row per product and seller, of known sellers only, cleaned.
-
-    Dedup comes before the seller join: the other way round Spark would reuse
-    the join's partitioning by seller for the dedup, and a seller with many
-    products would sit in one task.
-    """
-    offers = keep_known(keep_one(products, ["product_id", "seller_id"]), sellers, ["seller_id"])
+def clean_products(offers: DataFrame, zero_rule: str = "any") -> DataFrame:
+    """Defaults, labels and warranty days of product offers."""
     return offers.withColumns(
         {
             "brand_id": int_or_zero(F.col("brand_id"), "bigint"),
@@ -52,6 +46,17 @@ def silver_products(products: DataFrame, sellers: DataFrame, zero_rule: str = "a
     )
 
 
+def silver_products(products: DataFrame, sellers: DataFrame, zero_rule: str = "any") -> DataFrame:
+    """One row per product and seller, of known sellers only, cleaned.
+
+    Dedup comes before the seller join: the other way round Spark would reuse
+    the join's partitioning by seller for the dedup, and a seller with many
+    products would sit in one task.
+    """
+    offers = keep_known(keep_one(products, ["product_id", "seller_id"]), sellers, ["seller_id"])
+    return clean_products(offers, zero_rule)
+
+
 def silver_reviews(reviews: DataFrame, products: DataFrame) -> DataFrame:
     """Reviews of known offers, one per review id, with times and day counts.
 

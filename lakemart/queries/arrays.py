@@ -86,7 +86,7 @@ def explode_authors(t: Tables) -> DataFrame:
 
 
 @query("X2 E7 E9", f"{_FLAT_OFFERS} SELECT product_id, seller_id, unnest(images_url) AS image_url FROM flat")
-def explode_images(t: Tables) -> DataFrame:
+def check_image_urls(t: Tables) -> DataFrame:
     return gold.product_images(flatten_products(documents.product_documents(documents.offers(t))))
 
 

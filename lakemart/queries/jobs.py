@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lakemart.operators import check_declared_keys, flatten_products, flatten_reviews
+from lakemart.operators import check_declared_keys, flatten_products, flatten_reviews, keep_known, keep_one
 from lakemart.plans import gold, silver, warehouse
 from lakemart.plans.report import publish, report_frame
 from lakemart.queries import documents
@@ -38,7 +38,11 @@ def _silver_reviews(t: Tables) -> DataFrame:
 @query(
     "A3 J1 E1 E10 E11 E13 F1",
     f"""
-    WITH offers AS (
+    WITH ranked AS (
+        SELECT *, row_number() OVER (PARTITION BY l_partkey, l_suppkey
+                      ORDER BY l_orderkey, l_linenumber, l_quantity, l_returnflag, l_linestatus) AS rn
+        FROM lineitem),
+    offers AS (
         SELECT l_partkey AS product_id, l_suppkey AS seller_id, l_orderkey AS order_id, l_linenumber AS line,
                CASE WHEN p_brand <> 'Brand#1' THEN TRY_CAST(substr(p_brand, 7) AS BIGINT) END AS brand_id,
                CASE WHEN p_brand = 'Brand#1' THEN '' WHEN p_brand <> 'Brand#2' THEN p_brand END AS brand_name,
@@ -47,11 +51,8 @@ def _silver_reviews(t: Tables) -> DataFrame:
                CASE WHEN l_linestatus = 'F' THEN '' ELSE p_name END AS warranty_location,
                CASE l_returnflag WHEN 'A' THEN 'any_reason' WHEN 'R' THEN 'defective_product' END AS return_reason,
                CASE WHEN l_quantity > 2 THEN CAST(l_quantity AS INT) END AS quantity_sold
-        FROM lineitem JOIN part ON p_partkey = l_partkey),
-    ranked AS (
-        SELECT *, row_number() OVER (PARTITION BY product_id, seller_id ORDER BY order_id, line, brand_id, brand_name,
-            warranty_period, warranty_type, warranty_location, return_reason, quantity_sold) AS rn
-        FROM offers)
+        FROM ranked JOIN part ON p_partkey = l_partkey
+        WHERE rn = 1 AND EXISTS (SELECT 1 FROM supplier WHERE s_suppkey = l_suppkey AND s_acctbal >= 4000))
     SELECT product_id, seller_id, order_id, line, coalesce(brand_id, 0) AS brand_id,
            coalesce(nullif(brand_name, ''), 'No Brand') AS brand_name, warranty_period,
            coalesce(nullif(warranty_type, ''), 'Không bảo hành') AS warranty_type,
@@ -59,13 +60,18 @@ def _silver_reviews(t: Tables) -> DataFrame:
            coalesce(quantity_sold, 0) AS quantity_sold, {warranty_days_sql("warranty_period")} AS warranty_period_days,
            CASE coalesce(return_reason, 'no_return') WHEN 'any_reason' THEN 'Bất cứ lý do gì'
                 WHEN 'defective_product' THEN 'Sản phẩm hư hỏng' ELSE 'Không đổi trả' END AS return_policy
-    FROM ranked
-    WHERE rn = 1 AND EXISTS (SELECT 1 FROM supplier WHERE s_suppkey = seller_id AND s_acctbal >= 4000)
+    FROM offers
     """,
 )
 def silver_products_shape(t: Tables) -> DataFrame:
+    # Dedup and seller filter run on the narrow offer rows; the parts join what is left.
+    lines = t.lineitem.select(
+        "l_partkey", "l_suppkey", "l_orderkey", "l_linenumber", "l_quantity", "l_returnflag", "l_linestatus"
+    )
+    sellers = _good_sellers(t).withColumnRenamed("seller_id", "l_suppkey")
+    kept = keep_known(keep_one(lines, ["l_partkey", "l_suppkey"]), sellers, ["l_suppkey"])
     brand = F.col("p_brand")
-    offers = t.lineitem.join(t.part, F.col("l_partkey") == F.col("p_partkey")).select(
+    offers = kept.join(t.part, F.col("l_partkey") == F.col("p_partkey")).select(
         F.col("l_partkey").alias("product_id"),
         F.col("l_suppkey").alias("seller_id"),
         F.col("l_orderkey").alias("order_id"),
@@ -80,7 +86,7 @@ def silver_products_shape(t: Tables) -> DataFrame:
         .alias("return_reason"),
         F.when(F.col("l_quantity") > 2, F.col("l_quantity").cast("int")).alias("quantity_sold"),
     )
-    return silver.silver_products(offers, _good_sellers(t))
+    return silver.clean_products(offers)
 
 
 @query("B1 P4 S2 A3 F1 E12 K1 K6", documents.SILVER_SELLERS_SQL)

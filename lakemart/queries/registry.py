@@ -41,12 +41,13 @@ QUERIES: dict[str, Query] = {}
 
 
 def query(operators: str, sql: str) -> Callable[[Callable[[Tables], DataFrame]], Callable[[Tables], DataFrame]]:
-    """Register a builder under its function name; ``operators`` are the survey ids it covers."""
+    """Register a builder under its function name less any ``check_``; ``operators`` are the survey ids it covers."""
 
     def register(build: Callable[[Tables], DataFrame]) -> Callable[[Tables], DataFrame]:
-        if build.__name__ in QUERIES:
-            raise ValueError(f"query {build.__name__} is registered twice")
-        QUERIES[build.__name__] = Query(build.__name__, operators, build, sql)
+        name = build.__name__.removeprefix("check_")
+        if name in QUERIES:
+            raise ValueError(f"query {name} is registered twice")
+        QUERIES[name] = Query(name, operators, build, sql)
         return build
 
     return register

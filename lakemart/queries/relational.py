@@ -314,7 +314,7 @@ def cast_lenient_int(t: Tables) -> DataFrame:
     FROM events
     """,
 )
-def epoch_to_timestamp_nulls(t: Tables) -> DataFrame:
+def check_epoch_to_timestamp(t: Tables) -> DataFrame:
     ts = F.col("ts")
     seconds = (
         F.datediff(ts, F.lit("1970-01-01")).cast("bigint") * 86400

@@ -155,7 +155,7 @@ def ledger_open_or_init(t: Tables) -> DataFrame:
 
 
 @query("K8", "SELECT s_suppkey AS seller_id, s_name AS seller_name FROM supplier")
-def table_if_absent(t: Tables) -> DataFrame:
+def check_create_table_if_absent(t: Tables) -> DataFrame:
     location = t.scratch("table_if_absent")
     name = f"lakemart_{uuid.uuid4().hex}"
     ddl = "seller_id bigint, seller_name string"

@@ -90,7 +90,7 @@ def warranty_days_sql(text: str, zero: str = "0") -> str:
     FROM (SELECT *, {WARRANTY_TEXT_SQL} AS warranty FROM lineitem)
     """,
 )
-def warranty_days_texts(t: Tables) -> DataFrame:
+def check_warranty_days(t: Tables) -> DataFrame:
     return t.lineitem.select("l_orderkey", "l_linenumber", "l_partkey", warranty_text().alias("warranty")).withColumns(
         {
             "days": warranty_days(F.col("warranty")),
@@ -117,7 +117,7 @@ def warranty_days_texts(t: Tables) -> DataFrame:
     FROM texts
     """,
 )
-def membership_days_texts(t: Tables) -> DataFrame:
+def check_membership_days(t: Tables) -> DataFrame:
     nation = F.col("c_nationkey")
     segment = F.col("c_mktsegment")
     joined = (
@@ -167,7 +167,7 @@ def policy_label(t: Tables) -> DataFrame:
     FROM events
     """,
 )
-def json_extract_fields(t: Tables) -> DataFrame:
+def check_json_extract(t: Tables) -> DataFrame:
     props = parse_json(F.col("props"), "k bigint, deep struct<level: struct<n: bigint>>")
     return t.events.select("event_id", props.alias("p")).select(
         "event_id", nested_or(F.col("p.k"), -1).alias("k"), nested_or(F.col("p.deep.level.n"), 0).alias("missing")
