@@ -20,6 +20,7 @@ from lakemart.functions.nested import (
     category_of,
     image_urls,
     last_value_of,
+    named_entries,
     specification_text,
 )
 from lakemart.functions.paths import basename, document_path, path_level, strip_prefix
@@ -41,6 +42,7 @@ __all__ = [
     "last_value_of",
     "lenient_cast",
     "membership_days",
+    "named_entries",
     "nested_or",
     "parse_json",
     "path_level",

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import or_
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -11,16 +14,30 @@ from lakemart import fixed
 # the four separator controls are white space in Unicode text processing but not for Java.
 _SPACE = r"[\s\x1c-\x1f]"
 
+# A number of at most nine significant digits, captured, or a longer one, not captured.
+_NUMBER = r"(?:(?<!\d)0*(\d{1,9})|\d+)"
 
-def _count_before(text: Column, words: tuple[str, ...]) -> Column:
-    return F.regexp_extract(text, rf"(?U)(\d+){_SPACE}*(?:{'|'.join(words)})", 1)
+# Every value below is used once: Spark evaluates a repeated expression inside CASE each time it
+# occurs.  Casts run behind a test that lets them succeed: a failing one costs an exception per row.
 
 
-def _days(digits: Column, days_per_unit: int | Column) -> Column:
+def _days(digits: Column, days_per_unit: Column) -> Column:
     """Digits times unit as int; 0 when the number does not fit."""
-    factor = days_per_unit if isinstance(days_per_unit, Column) else F.lit(days_per_unit)
-    days = F.try_multiply(digits.try_cast("bigint"), factor.cast("bigint"))
-    return F.coalesce(days.try_cast("int"), F.lit(0))
+    return F.coalesce((digits.try_cast("bigint") * days_per_unit).try_cast("int"), F.lit(0))
+
+
+def _has(text: Column, words: tuple[str, ...]) -> Column:
+    return reduce(or_, [F.contains(text, F.lit(word)) for word in words])
+
+
+def _has_unit(text: Column, words: tuple[str, ...]) -> Column:
+    """A number right before one of the words; the plain word test spares most texts the pattern."""
+    return _has(text, words) & F.rlike(text, F.lit(rf"(?U)\d{_SPACE}*(?:{'|'.join(words)})"))
+
+
+def _unit_days(text: Column, words: tuple[str, ...], days_per_unit: int) -> Column:
+    number = F.regexp_extract(text, rf"(?U){_NUMBER}{_SPACE}*(?:{'|'.join(words)})", 1)
+    return _days(number, F.lit(days_per_unit))
 
 
 def warranty_days(text: Column, zero_rule: str = "any") -> Column:
@@ -29,30 +46,26 @@ def warranty_days(text: Column, zero_rule: str = "any") -> Column:
     ``zero_rule="any"`` takes every ``0`` in the text for "no warranty", so
     "10 months" gives 0; ``"whole"`` does so only for a 0 that stands alone.
     """
-    zero = {"any": "0", "whole": r"(?<!\d)0(?!\d)"}.get(zero_rule)
-    if zero is None:
+    if zero_rule not in ("any", "whole"):
         raise ValueError(f"zero_rule must be 'any' or 'whole', not {zero_rule!r}")
     lowered = F.lower(text)
-    years = _count_before(lowered, fixed.YEAR_WORDS)
-    months = _count_before(lowered, fixed.MONTH_WORDS)
-    days = _count_before(lowered, fixed.DAY_WORDS)
-    none = "|".join((*fixed.NO_WARRANTY_WORDS, zero))
+    zero = F.contains(lowered, F.lit("0")) if zero_rule == "any" else F.rlike(lowered, F.lit(r"(?<!\d)0(?!\d)"))
     # A blank or unknown text meets no branch, so it needs no trimming and no test of its own.
     return (
         F.when(F.contains(lowered, F.lit(fixed.LIFETIME_WARRANTY)), F.lit(fixed.LIFETIME_DAYS))
-        .when(F.rlike(lowered, F.lit(none)), F.lit(0))
-        .when(years != "", _days(years, fixed.DAYS_PER_YEAR))
-        .when(months != "", _days(months, fixed.DAYS_PER_MONTH))
-        .when(days != "", _days(days, 1))
+        .when(_has(lowered, fixed.NO_WARRANTY_WORDS) | zero, F.lit(0))
+        .when(_has_unit(lowered, fixed.YEAR_WORDS), _unit_days(lowered, fixed.YEAR_WORDS, fixed.DAYS_PER_YEAR))
+        .when(_has_unit(lowered, fixed.MONTH_WORDS), _unit_days(lowered, fixed.MONTH_WORDS, fixed.DAYS_PER_MONTH))
+        .when(_has_unit(lowered, fixed.DAY_WORDS), _unit_days(lowered, fixed.DAY_WORDS, 1))
         .otherwise(F.lit(0))
     )
 
 
 def membership_days(text: Column) -> Column:
     """First "<number> <unit>" in a membership-age text to days, case-sensitive."""
-    pattern = rf"(?U)(\d+){_SPACE}+({'|'.join(fixed.MEMBERSHIP_UNITS)})"
-    unit = F.regexp_extract(text, pattern, 2)
-    factor = F.lit(None).cast("int")
-    for word, days in fixed.MEMBERSHIP_UNITS.items():
-        factor = F.when(unit == word, F.lit(days)).otherwise(factor)
-    return _days(F.regexp_extract(text, pattern, 1), factor)
+    units = "|".join(fixed.MEMBERSHIP_UNITS)
+    pattern = rf"(?U){_NUMBER}{_SPACE}+({units})"
+    days_per_unit = F.create_map(*[F.lit(x) for pair in fixed.MEMBERSHIP_UNITS.items() for x in pair])
+    factor = F.try_element_at(days_per_unit, F.regexp_extract(text, pattern, 2))
+    found = F.rlike(text, F.lit(rf"(?U)\d{_SPACE}+(?:{units})"))
+    return F.when(found, _days(F.regexp_extract(text, pattern, 1), factor)).otherwise(F.lit(0))

@@ -80,4 +80,4 @@ def slug_of(href: Column) -> Column:
 
 def category_id_of(href: Column) -> Column:
     """Number of a category link, NULL when the link is none."""
-    return F.regexp_extract(href, fixed.CATEGORY_LINK, 2).try_cast("bigint")
+    return F.nullif(F.regexp_extract(href, fixed.CATEGORY_LINK, 2), F.lit("")).try_cast("bigint")

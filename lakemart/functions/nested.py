@@ -27,13 +27,22 @@ def specification_text(groups: Column) -> Column:
     return F.coalesce(F.array_join(F.flatten(lines), fixed.LINE_SEPARATOR), F.lit(""))
 
 
+def named_entries(entries: Column) -> Column:
+    """(name, value) list with names lower-cased and underscored, for several lookups in one list."""
+    return F.transform(
+        entries,
+        lambda e: F.struct(
+            F.replace(F.lower(e["name"]), F.lit(" "), F.lit("_")).alias("name"), e["value"].alias("value")
+        ),
+    )
+
+
 def last_value_of(entries: Column, key: str) -> Column:
-    """Value of the last entry whose lower-cased, underscored name is ``key``.
+    """Value of the last of the named entries called ``key``.
 
     A filter instead of a map: keys may repeat, and a map would raise.
     """
-    matches = F.filter(entries, lambda e: F.replace(F.lower(e["name"]), F.lit(" "), F.lit("_")) == key)
-    return F.try_element_at(matches, F.lit(-1))["value"]
+    return F.try_element_at(F.filter(entries, lambda e: e["name"] == key), F.lit(-1))["value"]
 
 
 def breadcrumb_path(crumbs: Column) -> Column:

@@ -5,7 +5,7 @@ from lakemart.operators.dedup import distinct_keys, keep_one
 from lakemart.operators.filters import all_true, has_id, present
 from lakemart.operators.flatten import flatten_listing, flatten_products, flatten_reviews, flatten_sellers
 from lakemart.operators.keys import keep_known, keep_new
-from lakemart.operators.project import select_existing, union_all
+from lakemart.operators.project import select_existing, spread, union_all
 
 __all__ = [
     "all_true",
@@ -23,5 +23,6 @@ __all__ = [
     "present",
     "primary_key_violations",
     "select_existing",
+    "spread",
     "union_all",
 ]

@@ -14,6 +14,7 @@ from lakemart.functions import (
     image_urls,
     last_value_of,
     lenient_cast,
+    named_entries,
     specification_text,
 )
 
@@ -28,9 +29,10 @@ def _int(path: str) -> Column:
 
 def flatten_products(documents: DataFrame) -> DataFrame:
     """One row per product document."""
-    warranty = F.col("warranty_info")
+    warranty = F.col("_warranty")
     amplitude = "tracking_info.amplitude"
-    return documents.select(
+    # A column of its own, so that the three lookups share one pass over the list.
+    return documents.withColumn("_warranty", named_entries(F.col("warranty_info"))).select(
         F.col("id").alias("product_id"),
         F.col("sku").alias("product_sku"),
         F.col("name").alias("product_name"),

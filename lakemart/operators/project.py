@@ -1,4 +1,4 @@
-"""Projections and unions by name."""
+"""Projections, unions by name (P7, U1, U2) and spreading of small inputs."""
 
 from __future__ import annotations
 
@@ -16,3 +16,13 @@ def select_existing(df: DataFrame, wanted: Sequence[str]) -> DataFrame:
 def union_all(frames: Iterable[DataFrame]) -> DataFrame:
     """Union by name; columns a frame lacks are NULL."""
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Rows over all cores when the input comes in fewer than half as many parts.
+
+    For costly row-wise work on a small file; an input with many parts is left
+    as it is and never shuffled for this.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if 2 * df.rdd.getNumPartitions() < cores else df

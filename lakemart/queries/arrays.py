@@ -11,6 +11,7 @@ from lakemart.functions import (
     category_of,
     image_urls,
     last_value_of,
+    named_entries,
     specification_text,
 )
 from lakemart.operators import flatten_listing, flatten_products, flatten_reviews, flatten_sellers
@@ -38,8 +39,10 @@ def specs_join(t: Tables) -> DataFrame:
     "E4", f"{_FLAT_OFFERS} SELECT product_id, seller_id, warranty_period, warranty_type, warranty_location FROM flat"
 )
 def kv_last_wins(t: Tables) -> DataFrame:
-    docs = documents.product_documents(documents.offers(t))
-    entries = F.col("warranty_info")
+    docs = documents.product_documents(documents.offers(t)).withColumn(
+        "entries", named_entries(F.col("warranty_info"))
+    )
+    entries = F.col("entries")
     return docs.select(
         F.col("id").alias("product_id"),
         F.col("current_seller.id").alias("seller_id"),

@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from lakemart.operators import spread
 from lakemart.queries.registry import Tables
 from lakemart.schemas import PRODUCT_DOCUMENT, REVIEW_PAGE
 
@@ -34,7 +35,7 @@ ORDERS_SQL = """
 
 
 def offers(t: Tables) -> DataFrame:
-    return t.lineitem.select(
+    return spread(t.lineitem).select(
         F.col("l_partkey").alias("id"),
         F.col("l_suppkey").alias("seller"),
         F.col("l_linenumber").alias("line"),
@@ -47,7 +48,7 @@ def offers(t: Tables) -> DataFrame:
 
 
 def orders_as_offers(t: Tables) -> DataFrame:
-    return t.orders.select(
+    return spread(t.orders).select(
         F.col("o_orderkey").alias("id"),
         F.col("o_custkey").alias("seller"),
         F.substring("o_orderpriority", 1, 1).cast("int").alias("line"),
@@ -316,7 +317,7 @@ def review_pages(t: Tables) -> DataFrame:
 
     first = review(F.col("l_orderkey") * 10 + line, author)
     second = review(F.col("l_orderkey") * 10, F.when(F.lit(False), author))
-    rows = t.lineitem.join(t.orders, F.col("l_orderkey") == F.col("o_orderkey"))
+    rows = spread(t.lineitem).join(t.orders, F.col("l_orderkey") == F.col("o_orderkey"))
     return rows.select(
         F.when(line.isin(1, 3, 5), F.array(first, second))
         .when(line == 7, F.array(first.withField("created_by", F.when(F.lit(False), author))))

@@ -19,6 +19,7 @@ from lakemart.functions import (
     titled,
     warranty_days,
 )
+from lakemart.operators import spread
 from lakemart.plans import frontier
 from lakemart.queries.registry import Tables, query
 
@@ -91,7 +92,7 @@ def warranty_days_sql(text: str, zero: str = "0") -> str:
     """,
 )
 def check_warranty_days(t: Tables) -> DataFrame:
-    return t.lineitem.select("l_orderkey", "l_linenumber", "l_partkey", warranty_text().alias("warranty")).withColumns(
+    return spread(t.lineitem).select("l_orderkey", "l_linenumber", "l_partkey", warranty_text().alias("warranty")).withColumns(
         {
             "days": warranty_days(F.col("warranty")),
             "days_whole_zero": warranty_days(F.col("warranty"), zero_rule="whole"),
