@@ -39,7 +39,16 @@ def guarded(table: str, path: str | None, work: Callable[[], TableReport]) -> Ta
 
 
 def publish(table: str, path: str, df: DataFrame | None) -> TableReport:
-    """Write one table; no or empty input writes nothing."""
-    if df is None or df.isEmpty():
+    """Write one table in one job; no input writes nothing."""
+    if df is None:
         return TableReport(table, None, fixed.SKIPPED_EMPTY, 0)
     return TableReport(table, path, fixed.SUCCESS, write_parquet(df, path))
+
+
+def unless_empty(source: DataFrame, build: Callable[[DataFrame], DataFrame]) -> DataFrame | None:
+    """Result of ``build``, or ``None`` for an empty source.
+
+    The test is made on the source, where the first row answers it; on the
+    result it would run every shuffle of the job once more.
+    """
+    return None if source.isEmpty() else build(source)

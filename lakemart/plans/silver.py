@@ -18,7 +18,7 @@ from lakemart.functions import (
 from lakemart.operators.dedup import keep_one
 from lakemart.operators.filters import has_id
 from lakemart.operators.keys import keep_known
-from lakemart.plans.report import TableReport, publish
+from lakemart.plans.report import TableReport, publish, unless_empty
 from lakemart.sources.datasets import dataset
 from lakemart.sources.paths import Lake, path_exists
 from lakemart.sources.readers import read_csv, read_documents, read_upstream, split_rejects
@@ -82,13 +82,15 @@ def _flat(spark: SparkSession, lake: Lake, name: str, layout: str) -> DataFrame:
 
 def run_sellers(spark: SparkSession, lake: Lake, layout: str = "document") -> TableReport:
     sellers = _flat(spark, lake, "sellers", layout)
-    return publish("sellers", lake.path("silver", "sellers"), silver_sellers(sellers))
+    return publish("sellers", lake.path("silver", "sellers"), unless_empty(sellers, silver_sellers))
 
 
 def run_categories(spark: SparkSession, lake: Lake) -> TableReport:
     """Categories pass through unchanged (B2)."""
     source = f"{lake.bronze}/categories.csv"
-    rows = read_csv(spark, source, schemas.CATEGORIES_CSV) if path_exists(spark, source) else None
+    rows = None
+    if path_exists(spark, source):
+        rows = unless_empty(read_csv(spark, source, schemas.CATEGORIES_CSV), lambda categories: categories)
     return publish("categories", lake.path("silver", "categories"), rows)
 
 
@@ -97,7 +99,8 @@ def run_products(
 ) -> TableReport:
     sellers = read_upstream(spark, sellers_path, lake.path("silver", "sellers"))
     products = _flat(spark, lake, "products", layout)
-    return publish("products", lake.path("silver", "products"), silver_products(products, sellers, zero_rule))
+    rows = unless_empty(products, lambda raw: silver_products(raw, sellers, zero_rule))
+    return publish("products", lake.path("silver", "products"), rows)
 
 
 def run_reviews(
@@ -105,4 +108,5 @@ def run_reviews(
 ) -> TableReport:
     products = read_upstream(spark, products_path, lake.path("silver", "products"))
     reviews = _flat(spark, lake, "reviews", layout)
-    return publish("reviews", lake.path("silver", "reviews"), silver_reviews(reviews, products))
+    rows = unless_empty(reviews, lambda raw: silver_reviews(raw, products))
+    return publish("reviews", lake.path("silver", "reviews"), rows)

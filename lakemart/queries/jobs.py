@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from lakemart.operators import check_declared_keys, flatten_products, flatten_reviews, keep_known, keep_one
 from lakemart.plans import gold, silver, warehouse
-from lakemart.plans.report import publish, report_frame
+from lakemart.plans.report import publish, report_frame, unless_empty
 from lakemart.queries import documents
 from lakemart.queries.registry import Tables, query
 from lakemart.queries.text import WARRANTY_TEXT_SQL, warranty_days_sql, warranty_text
@@ -316,7 +316,9 @@ def empty_table_status(t: Tables) -> DataFrame:
         "no_orders": t.orders.filter(F.col("o_orderstatus") == "no such status"),
         "all_parts": t.part,
     }
-    reports = [publish(name, f"{root}/{name}", df) for name, df in tables.items()]
+    reports = [
+        publish(name, f"{root}/{name}", unless_empty(df, lambda source: source)) for name, df in tables.items()
+    ]
     return report_frame(t.spark, reports).drop("path")
 
 
