@@ -25,15 +25,20 @@ def _key_side(other: DataFrame, keys: Sequence[str], unique: bool) -> DataFrame:
     return side.withColumn(_SLICE, F.spark_partition_id() % _SLICES).distinct().drop(_SLICE)
 
 
+def _join(df: DataFrame, side: DataFrame, keys: Sequence[str], how: str) -> DataFrame:
+    """Join by name; the columns stay in their order."""
+    return df.join(side, list(keys), how).select(*[F.col(f"`{c}`") for c in df.columns])
+
+
 def keep_known(df: DataFrame, parent: DataFrame, keys: Sequence[str], parent_unique: bool = True) -> DataFrame:
     """Rows whose keys exist in ``parent``.
 
     Broadcast or shuffle is left to Spark, which goes by the measured size of
     ``parent``.  Say ``parent_unique=False`` when its keys may repeat.
     """
-    return df.join(_key_side(parent, keys, parent_unique), list(keys), "left_semi")
+    return _join(df, _key_side(parent, keys, parent_unique), keys, "left_semi")
 
 
 def keep_new(df: DataFrame, known: DataFrame, keys: Sequence[str], known_unique: bool = True) -> DataFrame:
     """Rows whose keys do not exist in ``known`` (J3); a NULL key matches nothing and stays."""
-    return df.join(_key_side(known, keys, known_unique), list(keys), "left_anti")
+    return _join(df, _key_side(known, keys, known_unique), keys, "left_anti")
