@@ -15,6 +15,7 @@ from lakemart import fixed
 _IN_TAG = r"""(?:[^>"']++|"[^"]*+"|'[^']*+')*+>"""
 _ANCHOR = rf"(?is)<a(?=[\s/>]){_IN_TAG}"
 _ANCHOR_OR_DIV = rf"(?is)<(?:a|div)(?=[\s/>]){_IN_TAG}|</div\s*>"
+_NO_MARKUP = r"(?is)<!--.*?-->|<script(?=[\s>]).*?</script\s*>|<style(?=[\s>]).*?</style\s*>"
 _ATTRIBUTE = r"""(?is)\s+[^\s=/>"']+(?:\s*=\s*(?:"[^"]*"|'[^']*'|[^\s"'>]+))?"""
 _VALUE = r"""(?s)^[^=]*=\s*(?:"([^"]*)"|'([^']*)'|(.*))$"""
 _ENTITIES = {"&lt;": "<", "&gt;": ">", "&quot;": '"', "&#34;": '"', "&#39;": "'", "&apos;": "'", "&amp;": "&"}
@@ -33,37 +34,59 @@ def _attribute(tag: Column, name: str) -> Column:
     return value
 
 
+def _visible(html: Column) -> Column:
+    """Text without comments, scripts and styles, whose content is no markup."""
+    return F.regexp_replace(html, _NO_MARKUP, "")
+
+
 def _inside(html: Column, container_class: str) -> Column:
-    """Anchor tags inside the first div with this class attribute, nested divs included."""
-    start = F.struct(F.lit(0).alias("depth"), F.lit(False).alias("done"), F.array().cast("array<string>").alias("tags"))
+    """Anchor tags inside the first div with this class attribute, nested divs included.
+
+    One fold finds where the div starts and stops in the list of tags; the
+    list itself is cut afterwards, so the work stays linear in the page.
+    """
+    start = F.struct(*[F.lit(0).alias(name) for name in ("seen", "depth", "first", "last")])
 
     def step(state: Column, tag: Column) -> Column:
         lowered = F.lower(tag)
         closes = F.startswith(lowered, F.lit("</div"))
         opens = F.startswith(lowered, F.lit("<div"))
         inside = state["depth"] > 0
-        starts = ~inside & ~state["done"] & opens & F.coalesce(_attribute(tag, "class") == container_class, F.lit(False))
-        depth = (
+        starts = opens & (state["first"] == 0) & F.coalesce(_attribute(tag, "class") == container_class, F.lit(False))
+        return F.struct(
+            (state["seen"] + 1).alias("seen"),
             F.when(starts, F.lit(1))
             .when(inside & opens, state["depth"] + 1)
             .when(inside & closes, state["depth"] - 1)
             .otherwise(state["depth"])
+            .alias("depth"),
+            F.when(starts, state["seen"] + 2).otherwise(state["first"]).alias("first"),
+            F.when(inside, state["seen"]).otherwise(state["last"]).alias("last"),
         )
-        return F.struct(
-            depth.alias("depth"),
-            (state["done"] | (inside & closes & (state["depth"] == 1))).alias("done"),
-            F.when(inside & ~opens & ~closes, F.array_append(state["tags"], tag)).otherwise(state["tags"]).alias("tags"),
-        )
 
-    return F.aggregate(F.regexp_extract_all(html, F.lit(_ANCHOR_OR_DIV), F.lit(0)), start, step, lambda s: s["tags"])
+    def bounds(state: Column) -> Column:
+        # "last" is the tag before the closing one, or the last of all when the div is never closed.
+        last = F.when(state["depth"] > 0, state["seen"]).otherwise(state["last"])
+        return F.struct(state["first"].alias("first"), (last - state["first"] + 1).alias("length"))
+
+    def cut(tags: Column) -> Column:
+        def part(b: Column) -> Column:
+            return F.when(b["first"] > 0, F.slice(tags, b["first"], F.greatest(b["length"], F.lit(0))))
+
+        return F.element_at(F.transform(F.array(F.aggregate(tags, start, step, bounds)), part), 1)
+
+    all_tags = F.regexp_extract_all(html, F.lit(_ANCHOR_OR_DIV), F.lit(0))
+    found = F.element_at(F.transform(F.array(all_tags), cut), 1)
+    return F.filter(F.coalesce(found, F.array().cast("array<string>")), lambda tag: F.startswith(F.lower(tag), F.lit("<a")))
 
 
 def anchor_links(html: Column, container_class: str | None = None) -> Column:
     """Array of (title, href) over the anchors of a page, NULL where an attribute is absent."""
+    markup = _visible(html)
     tags = (
-        F.regexp_extract_all(html, F.lit(_ANCHOR), F.lit(0))
+        F.regexp_extract_all(markup, F.lit(_ANCHOR), F.lit(0))
         if container_class is None
-        else _inside(html, container_class)
+        else _inside(markup, container_class)
     )
     return F.transform(tags, lambda t: F.struct(_attribute(t, "title").alias("title"), _attribute(t, "href").alias("href")))
 

@@ -75,7 +75,11 @@ def flatten_products(documents: DataFrame) -> DataFrame:
 def flatten_sellers(documents: DataFrame) -> DataFrame:
     """One row per document that holds a seller."""
     seller = "data.seller"
-    return documents.filter(F.col(seller).isNotNull()).select(
+    fields = ["id", "name", "icon", "url", "avg_rating_point", "review_count", "total_follower"]
+    fields += ["days_since_joined", "is_official", "store_level"]
+    # An empty object is no seller either.
+    any_field = F.coalesce(*[F.col(f"{seller}.{field}").cast("string") for field in fields])
+    return documents.filter(any_field.isNotNull()).select(
         F.col(f"{seller}.id").alias("seller_id"),
         F.col(f"{seller}.name").alias("seller_name"),
         F.col(f"{seller}.icon").alias("icon_url"),

@@ -65,9 +65,13 @@ def gold_reviews(reviews: DataFrame) -> DataFrame:
 
 
 def gold_customers(reviews: DataFrame) -> DataFrame:
-    """One row per customer, as in their latest review."""
+    """One row per customer, as in the latest review that names them."""
     known = reviews.withColumnRenamed("joined_days", "joined_day").filter(present("customer_id"))
-    order = [F.col("created_ts").desc_nulls_last()] if "created_ts" in known.columns else []
+    preferences = {
+        "customer_name": F.col("customer_name").isNull().asc(),
+        "created_ts": F.col("created_ts").desc_nulls_last(),
+    }
+    order = [preference for name, preference in preferences.items() if name in known.columns]
     wanted = list(GOLD["customers"].columns)
     latest = keep_one(select_existing(known, [*wanted, "created_ts"]), ["customer_id"], order)
     return latest.drop("created_ts")

@@ -181,7 +181,8 @@ def gold_reviews(t: Tables) -> DataFrame:
     "B6 F2 A3",
     f"""{documents.SILVER_REVIEWS_SQL}
     SELECT customer_id, customer_name, avatar_url, total_review, total_thank, joined_days AS joined_day
-    FROM (SELECT *, row_number() OVER (PARTITION BY customer_id ORDER BY created_ts DESC NULLS LAST, customer_name,
+    FROM (SELECT *, row_number() OVER (PARTITION BY customer_id ORDER BY customer_name IS NULL,
+              created_ts DESC NULLS LAST, customer_name,
               avatar_url, total_review, total_thank, joined_days) AS rn
           FROM silver WHERE customer_id IS NOT NULL)
     WHERE rn = 1

@@ -22,7 +22,7 @@ class JdbcTarget:
     url: str
     properties: Mapping[str, str] = field(default_factory=dict)
     batch_size: int = 10_000
-    partitions: int | None = None
+    partitions: int | None = 32
     truncate: bool = False
 
     @classmethod

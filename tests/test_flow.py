@@ -52,7 +52,7 @@ SELLERS = {
     10: seller(10, avg_rating_point=4.7, review_count=9, total_follower=None, is_official=True, store_level="OFFICIAL"),
     11: seller(11),
     0: seller(0),
-    99: {"data": {}},
+    99: {"data": {"seller": {}}},
 }
 
 
@@ -171,8 +171,8 @@ def test_reviews(spark, lake):
 
 
 def test_customers(spark, lake):
-    # Customer 7 wrote the anonymous review last, so that row stands for them.
-    assert table(spark, lake, "customers") == [(7, None, None, 0, 0, 0), (8, "Minh", None, 0, 0, 0)]
+    # Customer 7 wrote an anonymous review last; the one that names them stands for them.
+    assert table(spark, lake, "customers") == [(7, "Lan", "a", 3, 1, 150), (8, "Minh", None, 0, 0, 0)]
     links = spark.read.parquet(lake.path("gold", "customer_review")).select("customer_id", "review_id", F.unix_seconds("created_ts"))
     assert sorted(tuple(r) for r in links.collect()) == [(7, 1000, 1700000100), (7, 1001, 1700000200), (8, 1003, 1700000100)]
     bought = spark.read.parquet(lake.path("gold", "customer_purchase")).select(

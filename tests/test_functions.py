@@ -164,9 +164,10 @@ def test_links(spark):
             TITLE='A &amp; "b" > c' HREF="/sach/c8322?x=1">t</a></div>
           <a data-title="no" href=/dien-gia-dung/c1882>u</a><a title="" href="/none">v</a><abbr title="no">w</abbr>
         </DIV>
+        <!-- <a href="/comment"> --><script>"<a href='/script'>"</script >
         <div class="menu main"><a title="second menu"></a></div>
     """
-    rows = [html, "", None]
+    rows = [html, "", None, '<div class="menu main"><p><a title=open href=/o><div>', '<div class="menu main"></div><a title=x>']
     everything = values(spark, rows, "h string", L.anchor_links(F.col("h")))
     assert [tuple(x) for x in everything[0]] == [
         ("outside", "/x"),
@@ -176,9 +177,10 @@ def test_links(spark):
         ("", "/none"),
         ("second menu", None),
     ]
-    assert everything[1:] == [[], None]
+    assert everything[1:3] == [[], None]
     menu = values(spark, rows, "h string", L.titled(L.anchor_links(F.col("h"), "menu main")))
     assert [tuple(x) for x in menu[0]] == [('A & "b" > c', "/sach/c8322?x=1"), ("", "/none")]
+    assert [[tuple(x) for x in found] for found in menu[1:]] == [[], [], [("open", "/o")], []]
 
 
 def test_category_link_parts(spark):
