@@ -37,7 +37,7 @@ def values(spark, rows, schema, column):
         ("No Warranty", 0),
         ("Trọn đời", 36500),
         ("trọn đời 0 đồng", 36500),
-        ("12 tháng", 360),
+        ("12\u00a0tháng", 360),
         ("12\x1ftháng", 360),
         ("99999999999999999999 năm", 0),
         ("99999999999999999999 năm 2 năm", 0),
