@@ -1,4 +1,4 @@
-"""Gold to warehouse."""
+"""Gold to warehouse."""
 
 from __future__ import annotations
 
@@ -8,10 +8,11 @@ from pyspark.sql import DataFrame, SparkSession
 
 from lakemart import fixed
 from lakemart.plans.report import TableReport, guarded
+from lakemart.schemas import GOLD
 from lakemart.sources.jdbc import JdbcTarget, write_jdbc
 from lakemart.sources.paths import list_tables
 from lakemart.sources.readers import read_required
-from lakemart.sources.writers import write_parquet
+from lakemart.sources.writers import create_table_if_absent, write_parquet
 
 TableSink = Callable[[DataFrame, str], int]
 
@@ -37,3 +38,13 @@ def load_layer(spark: SparkSession, root: str, sink: TableSink) -> list[TableRep
     return [
         guarded(table, path, lambda t=table, p=path: load(t, p)) for table, path in list_tables(spark, root).items()
     ]
+
+
+def create_tables(spark: SparkSession, database: str = "default", root: str | None = None) -> None:
+    """Every declared table unless it exists, its keys as properties; below ``root`` when one is given."""
+    for table in GOLD.values():
+        keys = {"primary_key": ", ".join(table.primary_key)}
+        for columns, parent in table.foreign_keys:
+            keys[f"foreign_key.{parent}"] = ", ".join(columns)
+        location = f"{root.rstrip('/')}/{table.name}" if root else None
+        create_table_if_absent(spark, f"{database}.{table.name}", table.ddl, location, keys)

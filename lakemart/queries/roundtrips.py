@@ -20,10 +20,12 @@ from lakemart.sources import (
     read_csv,
     read_documents,
     read_json,
+    read_layer,
     read_required,
     split_rejects,
     write_csv,
     write_json,
+    write_layer,
     write_parquet,
 )
 
@@ -56,8 +58,8 @@ def parquet_roundtrip(t: Tables) -> DataFrame:
 @query("S8 K2", "SELECT * FROM orders")
 def layered_roundtrip(t: Tables) -> DataFrame:
     lake = Lake(t.scratch("layered_roundtrip"))
-    write_parquet(t.orders, lake.path("gold", "gold_orders"))
-    return t.spark.read.parquet(lake.path("gold", "orders"))
+    write_layer(t.orders, lake, "gold", "gold_orders")
+    return read_layer(t.spark, lake, "gold", "orders")
 
 
 @query(

@@ -9,12 +9,13 @@ from lakemart.sources.readers import (
     read_csv,
     read_documents,
     read_json,
+    read_layer,
     read_required,
     read_upstream,
     split_rejects,
 )
 from lakemart.sources.session import build_session, object_store_conf, session_conf
-from lakemart.sources.writers import create_table_if_absent, write_as, write_csv, write_json, write_parquet
+from lakemart.sources.writers import create_table_if_absent, write_as, write_csv, write_json, write_layer, write_parquet
 
 __all__ = [
     "DATASETS",
@@ -34,6 +35,7 @@ __all__ = [
     "read_csv",
     "read_documents",
     "read_json",
+    "read_layer",
     "read_required",
     "read_upstream",
     "scratch_path",
@@ -43,5 +45,6 @@ __all__ = [
     "write_csv",
     "write_jdbc",
     "write_json",
+    "write_layer",
     "write_parquet",
 ]

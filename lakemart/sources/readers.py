@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
+from py4j.protocol import Py4JError
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakemart.schemas import CORRUPT
 from lakemart.sources.datasets import Dataset, dataset
-from lakemart.sources.paths import path_exists
+from lakemart.sources.paths import Lake, path_exists
 from lakemart.sources.writers import write_csv
 
 SOURCE_PATH = "source_path"
@@ -76,12 +77,12 @@ def split_rejects(documents: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 
 def read_required(spark: SparkSession, path: str) -> DataFrame | None:
-    """Parquet input that must exist: ``None`` when empty, ``ValueError`` when unreadable."""
+    """Parquet input that must exist: ``None`` when empty, ``ValueError`` when missing or unreadable."""
     try:
         df = spark.read.parquet(path)
-    except AnalysisException as error:
+        return None if df.isEmpty() else df
+    except (PySparkException, Py4JError) as error:
         raise ValueError(f"cannot read required input {path}") from error
-    return None if df.isEmpty() else df
 
 
 def read_upstream(spark: SparkSession, path: str | None, default_path: str) -> DataFrame:
@@ -89,6 +90,11 @@ def read_upstream(spark: SparkSession, path: str | None, default_path: str) -> D
     return spark.read.parquet(path or default_path)
 
 
+def read_layer(spark: SparkSession, lake: Lake, layer: str, table: str) -> DataFrame:
+    """Parquet table on the layer path."""
+    return spark.read.parquet(lake.path(layer, table))
+
+
 def open_or_init(spark: SparkSession, path: str, schema: str, initial: DataFrame | None = None) -> DataFrame:
     """A stored CSV; when absent it is first written from ``initial``, or with the header only."""
     if not path_exists(spark, path):

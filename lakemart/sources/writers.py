@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from lakemart.sources.paths import Lake
+
 
 def _save(df: DataFrame, path: str, format_: str, mode: str, partition_by: Sequence[str], **options: object) -> int:
     """Write and count in one job.
@@ -47,7 +49,26 @@ def write_as(df: DataFrame, path: str, format_: str, mode: str = "overwrite") ->
     return _WRITERS[format_](df, path, mode)
 
 
-def create_table_if_absent(spark: SparkSession, name: str, ddl: str, location: str | None = None) -> None:
-    """Parquet table with the declared columns unless it exists (K8); the keys are left to the key checks."""
-    where = f" LOCATION '{location}'" if location else ""
-    spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({ddl}) USING parquet{where}")
+def write_layer(df: DataFrame | None, lake: Lake, layer: str, table: str) -> int:
+    """Parquet sink on the layer path (K2); no frame writes nothing."""
+    return 0 if df is None else write_parquet(df, lake.path(layer, table))
+
+
+def _quoted(text: str) -> str:
+    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def create_table_if_absent(
+    spark: SparkSession, name: str, ddl: str, location: str | None = None, properties: Mapping[str, str] | None = None
+) -> None:
+    """Parquet table with the declared columns unless it exists (K8).
+
+    Keys go along as table properties; the key checks enforce them.
+    """
+    statement = f"CREATE TABLE IF NOT EXISTS {name} ({ddl}) USING parquet"
+    if location:
+        statement += f" LOCATION {_quoted(location)}"
+    if properties:
+        pairs = ", ".join(f"{_quoted(key)} = {_quoted(value)}" for key, value in properties.items())
+        statement += f" TBLPROPERTIES ({pairs})"
+    spark.sql(statement)

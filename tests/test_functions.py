@@ -61,7 +61,7 @@ def test_warranty_days_whole_zero(spark):
 
 
 def test_membership_days(spark):
-    texts = [None, "", "3 năm", "3năm", "Đã tham gia 5 tháng", "2 NĂM", "9 ngày và 2 năm", "4 ngày", "x", "99999999999 năm"]
+    texts = [None, "", "3 năm", "3năm", "Đã tham gia 5 tháng", "2 NĂM", "9 ngày và 2 năm", "4\u00a0ngày", "x", "99999999999 năm"]
     assert values(spark, texts, "s string", L.membership_days(F.col("s"))) == [0, 0, 1095, 0, 150, 0, 9, 4, 0, 0]
 
 

@@ -7,7 +7,7 @@ from pyspark.sql import DataFrameWriter, Row
 from pyspark.sql import functions as F
 
 from lakemart import schemas, sources
-from lakemart.plans.warehouse import load_layer, parquet_sink
+from lakemart.plans.warehouse import create_tables, load_layer, parquet_sink
 from lakemart.sources import jdbc
 
 
@@ -61,6 +61,10 @@ def test_required_input(spark, tmp_path):
     assert sources.read_required(spark, str(tmp_path / "empty")) is None
     sources.write_parquet(spark.range(2), str(tmp_path / "full"))
     assert sources.read_required(spark, str(tmp_path / "full")).count() == 2
+    (tmp_path / "bad").mkdir()
+    (tmp_path / "bad" / "part-0.parquet").write_text("no parquet")
+    with pytest.raises(ValueError, match="cannot read required input"):
+        sources.read_required(spark, str(tmp_path / "bad"))
     assert sources.read_upstream(spark, None, str(tmp_path / "full")).count() == 2
     assert sources.read_upstream(spark, str(tmp_path / "empty"), str(tmp_path / "full")).count() == 0
 
@@ -128,6 +132,27 @@ def test_create_table_if_absent(spark, tmp_path):
     spark.sql("DROP TABLE brands_declared")
 
 
+def test_create_declared_tables(spark, tmp_path):
+    spark.sql(f"CREATE DATABASE declared LOCATION '{tmp_path}/db'")
+    for _ in range(2):
+        create_tables(spark, "declared", str(tmp_path / "it's"))
+    assert {t.name for t in spark.catalog.listTables("declared")} == set(schemas.GOLD)
+    for name, table in schemas.GOLD.items():
+        assert spark.table(f"declared.{name}").columns == list(table.columns)
+    shown = {r.key: r.value for r in spark.sql("SHOW TBLPROPERTIES declared.customer_review").collect()}
+    assert shown["primary_key"] == "customer_id, review_id"
+    assert shown["foreign_key.reviews"] == "review_id"
+    spark.sql("DROP DATABASE declared CASCADE")
+
+
+def test_layers(spark, tmp_path):
+    lake = sources.Lake(str(tmp_path))
+    assert sources.write_layer(spark.range(3), lake, "silver", "silver_items") == 3
+    assert sources.read_layer(spark, lake, "silver", "items").count() == 3
+    assert sources.write_layer(None, lake, "silver", "nothing") == 0
+    assert not sources.path_exists(spark, lake.path("silver", "nothing"))
+
+
 def test_prepare_for_jdbc(spark):
     df = spark.createDataFrame(
         [Row(a=[1, 2], s=Row(x=1, y=None), m={"k": 1}, n=1), Row(a=None, s=None, m=None, n=2)],
