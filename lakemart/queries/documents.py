@@ -272,7 +272,8 @@ SELLERS_SQL = """
 SILVER_SELLERS_SQL = f"""
     SELECT * REPLACE (coalesce(avg_rating_point, 0.0) AS avg_rating_point, coalesce(review_count, 0) AS review_count,
                       coalesce(days_since_joined, 0) AS days_since_joined)
-    FROM ({SELLERS_SQL}) WHERE seller_id <> 0 AND total_follower % 10 = 1
+    FROM ({SELLERS_SQL}) WHERE seller_id <> 0
+    QUALIFY row_number() OVER (PARTITION BY seller_id ORDER BY total_follower) = 1
 """
 
 
