@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lakemart.llm import exact_dedup, quality_rules
+from lakemart.llm import exact_dedup, mixing, ngram_join, quality_rules
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -19,11 +19,14 @@ def _table(name: str, operator: Callable[[DataFrame], DataFrame]) -> Query:
 
 
 QUERIES: dict[str, Query] = {
+    "op1_mixing": _table("documents", mixing.mix_report),
+    "op2_ngram_join": _table("documents", lambda docs: ngram_join.near_duplicates(docs, k=3, percent=90)),
     "op4_exact_dedup": _table("documents", exact_dedup.dedup_decisions),
     "op8_quality_rules": _table("documents", quality_rules.quality_report),
 }
 
 SQL: dict[str, str] = {
+    "op2_ngram_join": ngram_join.QUERY_SQL,
     "op4_exact_dedup": exact_dedup.QUERY_SQL,
     "op8_quality_rules": quality_rules.QUERY_SQL,
 }
