@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lakemart.llm import exact_dedup, mixing, ngram_join, quality_rules
+from lakemart.llm import exact_dedup, mixing, ngram_join, packing, quality_rules, token_counts, token_files, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -21,12 +21,17 @@ def _table(name: str, operator: Callable[[DataFrame], DataFrame]) -> Query:
 QUERIES: dict[str, Query] = {
     "op1_mixing": _table("documents", mixing.mix_report),
     "op2_ngram_join": _table("documents", lambda docs: ngram_join.near_duplicates(docs, k=3, percent=90)),
+    "op3_warc": _table("pages", warc.archive_report),
     "op4_exact_dedup": _table("documents", exact_dedup.dedup_decisions),
+    "op5_packing": _table("documents", packing.pack_report),
+    "op6_token_counts": _table("documents", token_counts.token_count_report),
     "op8_quality_rules": _table("documents", quality_rules.quality_report),
+    "op9_token_files": _table("documents", token_files.token_file_report),
 }
 
 SQL: dict[str, str] = {
     "op2_ngram_join": ngram_join.QUERY_SQL,
+    "op3_warc": warc.QUERY_SQL,
     "op4_exact_dedup": exact_dedup.QUERY_SQL,
     "op8_quality_rules": quality_rules.QUERY_SQL,
 }
