@@ -39,7 +39,7 @@ from pyspark.sql import functions as F
 
 from lakemart.llm.common import packed, salted_join, text_or_empty, unpacked
 from lakemart.llm.components import components
-from lakemart.llm.words import Words, mix, shingle_sets, small_batches
+from lakemart.llm.words import Words, mix, ranges, shingle_sets, small_batches
 from lakemart.sources.paths import scratch_path
 
 #: Shingles per bucket of step 2 and per task of step 4.
@@ -266,7 +266,7 @@ class InvertedLists:
         self._index(np.arange(len(sets)))
 
     def _index(self, docs: np.ndarray) -> None:
-        places = _ranges(self.start[docs], self.size[docs])
+        places = ranges(self.start[docs], self.size[docs])
         tokens = self.token[places]
         order = np.argsort(tokens, kind="stable")
         self.ids = np.repeat(docs, self.size[docs])[order]
@@ -295,7 +295,7 @@ class InvertedLists:
         starts, lengths = starts[order], lengths[order]
         n_long = min(needed - 1, int(needed / (0.02 * math.log2(lengths[-1] + 1) * 8 + 1)), len(lengths))
         n_short = len(lengths) - n_long
-        merged = self.ids[_ranges(starts[:n_short], lengths[:n_short])]
+        merged = self.ids[ranges(starts[:n_short], lengths[:n_short])]
         merged = np.sort(merged[self.unreached[merged]], kind="stable")
         found, counts = np.unique(merged, return_counts=True)
         enough = counts >= needed - n_long
@@ -311,14 +311,6 @@ class InvertedLists:
         return found[100 * counts >= self.percent * (n + self.size[found] - counts)]
 
 
-def _ranges(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
-    """All numbers of the ranges, one after the other."""
-    if not len(starts):
-        return np.zeros(0, dtype=np.int64)
-    ends = np.cumsum(lengths)
-    return np.arange(ends[-1]) + np.repeat(starts - ends + lengths, lengths)
-
-
 def spanning_links(nodes: np.ndarray, sets: list[np.ndarray], percent: int) -> list[tuple[int, int]]:
     """Links that span the components of these sets: ``(node, first node of its component)``."""
     index = InvertedLists(sets, percent)

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lakemart.llm import exact_dedup, mixing, ngram_join, packing, quality_rules, token_counts, token_files, warc
+from lakemart.llm import exact_dedup, mixing, ngram_join, packing, quality_rules, substring_dedup, token_counts, token_files, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -25,6 +25,7 @@ QUERIES: dict[str, Query] = {
     "op4_exact_dedup": _table("documents", exact_dedup.dedup_decisions),
     "op5_packing": _table("documents", packing.pack_report),
     "op6_token_counts": _table("documents", token_counts.token_count_report),
+    "op7_substring_dedup": _table("documents", substring_dedup.repeat_report),
     "op8_quality_rules": _table("documents", quality_rules.quality_report),
     "op9_token_files": _table("documents", token_files.token_file_report),
 }
@@ -33,5 +34,6 @@ SQL: dict[str, str] = {
     "op2_ngram_join": ngram_join.QUERY_SQL,
     "op3_warc": warc.QUERY_SQL,
     "op4_exact_dedup": exact_dedup.QUERY_SQL,
+    "op7_substring_dedup": substring_dedup.QUERY_SQL,
     "op8_quality_rules": quality_rules.QUERY_SQL,
 }

@@ -18,8 +18,8 @@ import pyarrow as pa
 #: End of a document.
 END_ID = 0
 END = np.array([END_ID], dtype="<u4").tobytes()
-#: Pieces kept per worker, at most; the table is emptied when full.
-KEPT_PIECES = 400_000
+#: Pieces kept per worker, at most, some 300 MB; the table is emptied when full.
+KEPT_PIECES = 1_500_000
 _LINE_BREAK = "\n"
 
 

@@ -109,6 +109,26 @@ def shingles(codes: np.ndarray, k: int) -> np.ndarray:
     return mix(total)
 
 
+def windows(codes: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+    """Two independent codes of ``k`` consecutive words for every place where they fit, by running sums."""
+    powers, inverse = _powers_to(len(codes) + 1)
+    result = []
+    for values in (codes, mix(codes ^ _PLACE[0])):
+        sums = np.zeros(len(codes) + 1, dtype=np.uint64)
+        np.cumsum(values * powers[: len(codes)], out=sums[1:])
+        n = max(0, len(codes) - k + 1)
+        result.append(mix((sums[k : k + n] - sums[:n]) * inverse[:n]))
+    return result[0], result[1]
+
+
+def ranges(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """All numbers of the ranges, one range after the other."""
+    if not len(starts):
+        return np.zeros(0, dtype=np.int64)
+    ends = np.cumsum(lengths)
+    return np.arange(ends[-1]) + np.repeat(starts - ends + lengths, lengths)
+
+
 def shingle_sets(words: Words, k: int) -> tuple[np.ndarray, np.ndarray]:
     """Distinct shingles of each text, sorted, and where each text's begin (with the total at the end).
 
