@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lakemart.llm import exact_dedup, mixing, ngram_join, packing, quality_rules, substring_dedup, token_counts, token_files, warc
+from lakemart.llm import exact_dedup, mixing, ngram_join, packing, pii, quality_rules, substring_dedup, token_counts, token_files, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -28,6 +28,7 @@ QUERIES: dict[str, Query] = {
     "op7_substring_dedup": _table("documents", substring_dedup.repeat_report),
     "op8_quality_rules": _table("documents", quality_rules.quality_report),
     "op9_token_files": _table("documents", token_files.token_file_report),
+    "op10_pii": _table("documents", pii.pseudonym_report),
 }
 
 SQL: dict[str, str] = {
