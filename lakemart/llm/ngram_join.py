@@ -7,9 +7,11 @@ are linked when ``100 * |intersection| >= percent * |union|``.
 2. A linked set finds at least ``percent`` of its shingles elsewhere.  One pass
    deals all shingles by bucket, marks those that occur twice, and returns a
    count per document; documents below the share cannot be linked and leave.
-3. The rest send only the shingles of their prefix, the rarest by a fixed-size
-   count sketch: two linked sets share one of those.  Sharing one puts nodes
-   into the same coarse cluster.
+3. The rest are put into classes of size, each set into two neighbouring ones, so
+   that linked sets meet in one; there they are counted once more, now among
+   themselves.  What still may be linked sends the shingles of its prefix, the
+   rarest by a fixed-size count sketch: two linked sets share one of those.
+   Sharing one inside a class puts sets into the same coarse cluster.
 4. Each cluster is searched on its own: inverted lists, the long ones set aside,
    the short ones merged, the candidates probed in the long ones by binary
    search.  A node that has been reached leaves the lists, so a cluster of
@@ -17,7 +19,8 @@ are linked when ``100 * |intersection| >= percent * |union|``.
    ``cluster_shingles`` is searched as pairs of blocks, each of bounded size.
 5. Links span components; every document gets the smallest id of its own.
 
-No step drops or caps rows.  Codes have 64 bits; a collision inside a set is
+No step drops or caps rows.  Tables of keys are broadcast below
+``BROADCAST_BYTES``, by their counted rows, and joined by a shuffle above.  Codes have 64 bits; a collision inside a set is
 beyond practical odds.
 
 Defined results: a document of fewer words has its whole sequence as one
@@ -46,6 +49,7 @@ from lakemart.sources.paths import scratch_path
 BUCKET_SHINGLES = 2 << 20
 CLUSTER_SHINGLES = 4 << 20
 SKETCH_BITS = 18
+BROADCAST_BYTES = 64 << 20
 #: Documents and shingles that step 2 counts at a time.
 _RUN_DOCS, _RUN_SHINGLES = 60_000, 2 << 20
 
@@ -78,15 +82,15 @@ def _digest_sets(k: int):
     return run
 
 
-def _deal_shingles(k: int, n_buckets: int):
+def _deal_shingles(sets, n_buckets: int):
     """Step 2, map side: per run of documents and bucket, its distinct shingles.
 
     A shingle that the run holds twice is known to repeat: it is counted here
     and sent once, with no document, only to tell other runs.
     """
 
-    def flush(run_id: int, keys: list, sets: list, sizes: list) -> Iterator[tuple]:
-        values, size = np.concatenate(sets), np.concatenate(sizes)
+    def flush(run_id: int, keys: list, parts: list, sizes: list) -> Iterator[tuple]:
+        values, size = np.concatenate(parts), np.concatenate(sizes)
         docs = np.repeat(np.arange(len(size), dtype=np.uint16), size)
         order = np.argsort(values, kind="stable")
         values, docs = values[order], docs[order]
@@ -111,21 +115,21 @@ def _deal_shingles(k: int, n_buckets: int):
         from pyspark import TaskContext
 
         run_id = TaskContext.get().partitionId() << 32
-        keys, sets, sizes, n_docs, n_shingles = [], [], [], 0, 0
-        for batch, values, first in _sets(batches, k):
+        keys, parts, sizes, n_docs, n_shingles = [], [], [], 0, 0
+        for batch, values, first in sets(batches):
             for start in range(0, batch.num_rows, _RUN_DOCS):
                 end = min(batch.num_rows, start + _RUN_DOCS)
                 if keys and (n_docs + end - start > _RUN_DOCS or n_shingles + first[end] - first[start] > _RUN_SHINGLES):
-                    yield _rows(flush(run_id, keys, sets, sizes))
+                    yield _rows(flush(run_id, keys, parts, sizes))
                     run_id += 1
-                    keys, sets, sizes, n_docs, n_shingles = [], [], [], 0, 0
+                    keys, parts, sizes, n_docs, n_shingles = [], [], [], 0, 0
                 keys.append(tuple(batch.column(c).slice(start, end - start).to_numpy(zero_copy_only=False) for c in ("key", "hash")))
-                sets.append(values[first[start] : first[end]])
+                parts.append(values[first[start] : first[end]])
                 sizes.append(np.diff(first[start : end + 1]))
                 n_docs += end - start
                 n_shingles += first[end] - first[start]
         if keys:
-            yield _rows(flush(run_id, keys, sets, sizes))
+            yield _rows(flush(run_id, keys, parts, sizes))
 
     return run
 
@@ -220,6 +224,37 @@ def _node_sets(k: int):
     return run
 
 
+def size_class(sizes: np.ndarray, percent: int) -> np.ndarray:
+    """Classes whose numbers differ by one at most for sets that may be linked."""
+    return np.floor(np.log(sizes) / (math.log(100 / percent) + 1e-9)).astype(np.int64) if percent < 100 else sizes
+
+
+def _in_classes(percent: int):
+    """Each set twice, once per class: number ``2 * node + turn``, its codes changed by the class."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            nodes, sizes = batch.column("node").to_numpy(), batch.column("n").to_numpy()
+            classes = size_class(sizes, percent)
+            blobs = batch.column("shingles")
+            for turn in (0, 1):
+                codes = mix((classes + turn).astype(np.uint64) + np.uint64(1))
+                changed = [_blob(np.frombuffer(b.as_buffer(), np.uint64) ^ c) for b, c in zip(blobs, codes, strict=True)]
+                yield pa.RecordBatch.from_arrays([pa.array(2 * nodes + turn), pa.array(sizes), pa.array(changed, pa.binary())], names=["node", "n", "shingles"])
+
+    return run
+
+
+def _read_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray]]:
+    for batch in batches:
+        for start in range(0, batch.num_rows, 1_000):
+            part = batch.slice(start, 1_000)
+            sets = [np.frombuffer(b.as_buffer(), np.uint64) for b in part.column("shingles")]
+            yield part, np.concatenate(sets), np.concatenate([[0], np.cumsum([len(x) for x in sets])])
+
+
 def _slot(values: np.ndarray) -> np.ndarray:
     return (mix(values + np.uint64(7)) >> np.uint64(64 - SKETCH_BITS)).astype(np.int64)
 
@@ -364,13 +399,15 @@ def _documents(docs: DataFrame, text: str, doc_id: str) -> DataFrame:
     )
 
 
-def _suspects(rows: DataFrame, k: int, percent: int, total: int) -> DataFrame:
-    """Keys of the documents that step 2 leaves."""
-    spark = rows.sparkSession
-    n_buckets = max(1, -(-total // BUCKET_SHINGLES))
-    spread = _partitions(spark, total, BUCKET_SHINGLES)
-    n_buckets = max(n_buckets, spread)
-    dealt = rows.select("key", "hash", "text").mapInArrow(_deal_shingles(k, n_buckets), _RUN_SCHEMA)
+def _checked(table: DataFrame, row_bytes: int) -> DataFrame:
+    """A stored table, to be broadcast if its counted rows are few enough."""
+    return F.broadcast(table) if table.count() * row_bytes <= BROADCAST_BYTES else table
+
+
+def _suspects(rows: DataFrame, sets, percent: int, total: int) -> DataFrame:
+    """Step 2: ``key, hash`` of the rows of which enough shingles occur in another row, or twice in a run."""
+    spread = _partitions(rows.sparkSession, total, BUCKET_SHINGLES)
+    dealt = rows.mapInArrow(_deal_shingles(sets, spread), _RUN_SCHEMA)
     marked = dealt.repartition(spread, "bucket").sortWithinPartitions("bucket").mapInArrow(_mark_repeated, _RUN_SCHEMA)
     per_run = marked.repartition(spread, "run").sortWithinPartitions("run")
     return per_run.mapInArrow(_keep_live(percent), "key long, hash long").distinct()
@@ -379,35 +416,41 @@ def _suspects(rows: DataFrame, k: int, percent: int, total: int) -> DataFrame:
 def _links(sets: DataFrame, percent: int, cluster_shingles: int) -> DataFrame:
     """Steps 3 and 4: links that span the components of the stored sets."""
     spark = sets.sparkSession
+    schema = "node long, n long, shingles binary"
+    classed = sets.mapInArrow(_in_classes(percent), schema)
+    total = 2 * (sets.agg(F.sum("n")).first()[0] or 0)
+    keyed = classed.select(F.col("node").alias("key"), F.lit(0).cast("long").alias("hash"), "shingles")
+    left = _stored(_suspects(keyed, _read_sets, percent, total).select(F.col("key").alias("node")), "left")
+    units = _stored(classed.join(_checked(left, 16), "node"), "units")
     counts = np.zeros(1 << SKETCH_BITS, dtype=np.int64)
-    slots = sets.select("shingles").mapInArrow(_count_slots, "slot long, n long").groupBy("slot").agg(F.sum("n").alias("n"))
+    slots = units.select("shingles").mapInArrow(_count_slots, "slot long, n long").groupBy("slot").agg(F.sum("n").alias("n"))
     for slot, n in slots.toArrow().to_pandas().itertuples(index=False):  # at most 2 ** SKETCH_BITS rows
         counts[slot] = n
     sketch = spark.sparkContext.broadcast(counts)
-    prefixes = _stored(sets.select("node", "shingles").mapInArrow(_prefixes(percent, sketch), "code long, node long"), "prefixes")
+    prefixes = _stored(units.select("node", "shingles").mapInArrow(_prefixes(percent, sketch), "code long, node long"), "prefixes")
     least = prefixes.groupBy("code").agg(F.min("node").alias("least"), F.max("node").alias("most")).filter("least < most")
     shared = salted_join(prefixes, least.select("code", "least"), "code", F.xxhash64("node"), "inner", 8)
     clusters = components(shared.select(F.col("node").alias("a"), F.col("least").alias("b")))
-    clusters = _stored(clusters, "clusters").withColumnRenamed("id", "node")
-    members = sets.join(clusters, "node")
+    clusters = _stored(clusters.withColumnRenamed("id", "node"), "clusters")
     blocks = (
-        sets.select("node", "n")
-        .join(clusters, "node")
+        units.select("node", "n")
+        .join(_checked(clusters, 24), "node")
         .groupBy("component")
         .agg(F.sum("n").alias("n"))
         .filter(F.col("n") > cluster_shingles)
         .select("component", F.ceil(F.col("n") * 2 / cluster_shingles).cast("int").alias("blocks"))
     )
+    named = _stored(salted_join(clusters, blocks, "component", F.xxhash64("node"), "left", 8).fillna({"blocks": 1}), "blocks")
     own = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
     every = F.sequence(F.lit(0), F.col("blocks") - 1)
     dealt = (
-        salted_join(members, blocks, "component", F.xxhash64("node"), "left", 8)
-        .fillna({"blocks": 1})
+        units.join(_checked(named, 32), "node")
         .select("component", "node", "shingles", own.alias("own"), F.explode(every).alias("other"))
         .select(F.col("component").alias("cluster"), F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "node", "shingles")
     )
-    tasks = dealt.repartition(_partitions(spark, 0, 1), "cluster", "i", "j").sortWithinPartitions("cluster", "i", "j")
-    return tasks.mapInArrow(_search_clusters(percent), "a long, b long")
+    tasks = _partitions(spark, total, CLUSTER_SHINGLES)
+    searched = dealt.repartition(tasks, "cluster", "i", "j").sortWithinPartitions("cluster", "i", "j").mapInArrow(_search_clusters(percent), "a long, b long")
+    return searched.select(F.expr("a div 2").alias("a"), F.expr("b div 2").alias("b"))
 
 
 def near_duplicates(
@@ -437,12 +480,12 @@ def near_duplicates(
         ),
         "set-classes",
     )
-    suspects = _suspects(rows, k, percent, total)
+    suspects = _suspects(rows.select("key", "hash", "text"), lambda batches: _sets(batches, k), percent, total)
     chosen = _stored(
         classes.select("node", "first.key", "first.hash").join(suspects, ["key", "hash"], "left_semi"), "suspects"
     )
     sets = _stored(
-        rows.select("key", "hash", "text").join(chosen, ["key", "hash"]).select("node", "text").mapInArrow(_node_sets(k), "node long, n long, shingles binary"),
+        rows.select("key", "hash", "text").join(_checked(chosen, 32), ["key", "hash"]).select("node", "text").mapInArrow(_node_sets(k), "node long, n long, shingles binary"),
         "sets",
     )
     found = _stored(components(_links(sets, percent, cluster_shingles)).withColumnRenamed("id", "node"), "found")
