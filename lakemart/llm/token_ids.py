@@ -1,14 +1,17 @@
 """Token ids of texts by the ``tokenizers`` library, as bytes of little-endian unsigned 32-bit numbers.
 
 A byte-level tokenizer splits a text before it merges bytes, and always splits
-between two non-space characters that one space or one line break separates.
-So the pieces between such places are encoded once per worker and kept in a
-bounded table; texts with other white space go to the library whole.
+between two non-space characters that one space or one line break separates,
+and between a letter and punctuation after it.  So pieces and words between
+such places go to the library's model once per worker and are kept in bounded
+tables.  Texts with other white space, and tokenizers of another kind, go to the
+library whole.
 """
 
 from __future__ import annotations
 
 import os
+import string
 from collections.abc import Iterator
 from functools import cache
 
@@ -18,8 +21,8 @@ import pyarrow as pa
 #: End of a document.
 END_ID = 0
 END = np.array([END_ID], dtype="<u4").tobytes()
-#: Pieces kept per worker, at most, some 300 MB; the table is emptied when full.
-KEPT_PIECES = 1_500_000
+#: Pieces, and words, kept per worker at most, some 300 MB together; a full table is emptied.
+KEPT_PIECES = 900_000
 _LINE_BREAK = "\n"
 
 
@@ -30,47 +33,75 @@ def default_tokenizer() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
+class _Pieces(dict):
+    """Ids of a piece; what is not there yet is asked of the library and kept."""
+
+    def __init__(self, tokenizer) -> None:
+        super().__init__()
+        self.tokenizer, self.model = tokenizer, tokenizer.model
+        self.words: dict[str, bytes] = {}
+        self.ids = [i.to_bytes(4, "little") for i in range(tokenizer.get_vocab_size())]
+        self.symbols = _byte_symbols(tokenizer.pre_tokenizer)
+
+    def __missing__(self, piece: str) -> bytes:
+        if len(self) >= KEPT_PIECES:
+            self.clear()
+        core = piece.rstrip(string.punctuation)
+        if core.removeprefix(" ").isalpha():
+            found = self._word(core)
+            if len(core) < len(piece):
+                found += self._word(piece[len(core) :])
+        else:
+            found = b"".join([self.ids[i] for i in self.tokenizer.encode(piece, add_special_tokens=False).ids])
+        self[piece] = found
+        return found
+
+    def _word(self, word: str) -> bytes:
+        """Ids of what the tokenizer does not split."""
+        found = self.words.get(word)
+        if found is None:
+            if len(self.words) >= KEPT_PIECES:
+                self.words.clear()
+            symbols = word.encode().decode("latin-1").translate(self.symbols)
+            found = self.words[word] = b"".join([self.ids[token.id] for token in self.model.tokenize(symbols)])
+        return found
+
+
+def _byte_symbols(pre_tokenizer) -> dict[int, str]:
+    """The character by which the model knows each byte, asked of the library."""
+    symbols: dict[int, str] = {}
+    for code in (*range(0x800), *range(0x800, 0xD800, 0x400), *range(0xE000, 0x10000, 0x400), *range(0x10000, 0x110000, 0x1000)):
+        shown = "".join(part for part, _ in pre_tokenizer.pre_tokenize_str(chr(code)))
+        symbols.update(zip(chr(code).encode(), shown, strict=True))
+    return symbols
+
+
 class Encoder:
     """Encodes lists of texts; special tokens in a text are ordinary text."""
 
     def __init__(self, path: str) -> None:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
+        from tokenizers.models import BPE
+        from tokenizers.pre_tokenizers import ByteLevel
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
-        self.line_break = self._whole([_LINE_BREAK])[0]
-        self.separator = int(np.frombuffer(self.line_break, "<u4")[0])
-        self.pieces: dict[str, bytes] = {_LINE_BREAK: self.line_break}
+        before = self.tokenizer.pre_tokenizer
+        splits = isinstance(before, ByteLevel) and [p for p, _ in before.pre_tokenize_str("a b")] == ["a", before.pre_tokenize_str(" b")[0][0]]
+        alone = splits and self.tokenizer.normalizer is None and isinstance(self.tokenizer.model, BPE)
+        self.pieces = _Pieces(self.tokenizer) if alone else None
 
     def _whole(self, texts: list[str]) -> list[bytes]:
         encoded = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return [np.array(e.ids, dtype="<u4").tobytes() for e in encoded]
 
-    def _learn(self, missing: list[str]) -> None:
-        """Encodes pieces, each on a line of its own, so that one call serves many."""
-        for start in range(0, len(missing), 2_000):
-            part = missing[start : start + 2_000]
-            ids = np.array(self.tokenizer.encode_batch_fast([_LINE_BREAK.join(part)], add_special_tokens=False)[0].ids, dtype="<u4")
-            cuts = np.flatnonzero(ids == self.separator)
-            data = ids.tobytes()
-            starts = [0, *(4 * (cuts + 1)).tolist()]
-            ends = [*(4 * cuts).tolist(), len(data)]
-            self.pieces.update((piece, data[a:b]) for piece, a, b in zip(part, starts, ends, strict=True))
-
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids of every text, without the end id."""
-        split = [_pieces(text) for text in texts]
+        split = [None if self.pieces is None else _pieces(text) for text in texts]
         whole = [text for text, pieces in zip(texts, split, strict=True) if pieces is None]
         others = iter(self._whole(whole) if whole else [])
-        wanted = set().union(*(pieces for pieces in split if pieces))
-        missing = wanted.difference(self.pieces)
-        if missing and len(self.pieces) + len(missing) > KEPT_PIECES:
-            self.pieces = {_LINE_BREAK: self.line_break}
-            missing = wanted.difference(self.pieces)
-        self._learn(list(missing))
-        of = self.pieces.__getitem__
-        return [next(others) if pieces is None else b"".join(map(of, pieces)) for pieces in split]
+        return [next(others) if pieces is None else b"".join(map(self.pieces.__getitem__, pieces)) for pieces in split]
 
 
 def _pieces(text: str) -> list[str] | None:
