@@ -36,7 +36,7 @@ ORC_OPTIONS = {
     "orc.row.index.stride": "10000",
     "orc.stripe.size": str(32 << 20),
 }
-SCHEMA = "doc_id long, part long, start long, ids array<int>"
+SCHEMA = "doc_id long, part long, start long, n_tokens long, ids array<int>"
 
 
 def _encode(tokenizer: str):
@@ -48,11 +48,11 @@ def _encode(tokenizer: str):
             lengths = np.array([len(x) // 4 for x in ids], dtype=np.int64)
             ends = start + np.cumsum(lengths)
             lists = pa.ListArray.from_arrays(
-                pa.array(np.concatenate([[0], np.cumsum(lengths)]), pa.int32()), pa.array(np.frombuffer(b"".join(ids), "<u4").astype(np.int32))
+                pa.array(np.concatenate([[0], np.cumsum(lengths)]), pa.int32()), pa.array(np.frombuffer(b"".join(ids), "<i4"))
             )
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array(np.full(len(ids), part, dtype=np.int64)), pa.array(ends - lengths), lists],
-                names=["doc_id", "part", "start", "ids"],
+                [batch.column("doc_id"), pa.array(np.full(len(ids), part, dtype=np.int64)), pa.array(ends - lengths), pa.array(lengths), lists],
+                names=["doc_id", "part", "start", "n_tokens", "ids"],
             )
             start = int(ends[-1]) if len(ends) else start
 
@@ -60,7 +60,7 @@ def _encode(tokenizer: str):
 
 
 def write_token_files(docs: DataFrame, path: str, tokenizer: str | None = None, partitions: int | None = None, text: str = "text", doc_id: str = "doc_id") -> None:
-    """ORC files of ``doc_id, part, start, ids`` in ascending order of the id."""
+    """ORC files of ``doc_id, part, start, n_tokens, ids`` in ascending order of the id."""
     spark = docs.sparkSession
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text")).withColumns(
         {"tie": F.xxhash64(F.coalesce("text", F.lit(""))), "row_no": F.monotonically_increasing_id()}
@@ -81,7 +81,7 @@ def _checksums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         lists = batch.column("ids")
         offsets = lists.offsets.to_numpy()
-        data = lists.values.to_numpy(zero_copy_only=False).astype("<u4")
+        data = lists.values.to_numpy(zero_copy_only=False).astype("<i4", copy=False)
         crcs = [zlib.crc32(data[a:b]) for a, b in zip(offsets[:-1], offsets[1:], strict=True)]
         yield pa.RecordBatch.from_arrays(
             [batch.column("doc_id"), batch.column("part"), batch.column("start"), pa.array(np.diff(offsets).astype(np.int64)), pa.array(crcs, pa.int64())],
@@ -94,9 +94,9 @@ def token_file_report(docs: DataFrame, path: str | None = None) -> DataFrame:
     spark = docs.sparkSession
     path = path or scratch_path(spark, "token-files")
     write_token_files(docs, path)
-    read = read_token_files(spark, path).mapInArrow(_checksums, "doc_id long, part long, start long, n_tokens long, ids_crc32 long")
+    read = read_token_files(spark, path).drop("n_tokens").mapInArrow(_checksums, "doc_id long, part long, start long, n_tokens long, ids_crc32 long")
     sizes = (
-        spark.read.schema(SCHEMA).orc(path).groupBy("part").agg(F.max(F.col("start") + F.size("ids")).alias("n"))
-    )  # one row per file
+        spark.read.schema(SCHEMA).orc(path).groupBy("part").agg(F.max(F.col("start") + F.col("n_tokens")).alias("n"))
+    )  # one row per file; the ids are not read
     before = sizes.select("part", F.expr("sum(n) OVER (ORDER BY part) - n").alias("before"))
     return read.join(F.broadcast(before), "part").select("doc_id", (F.col("before") + F.col("start")).alias("start"), "n_tokens", "ids_crc32")

@@ -24,6 +24,9 @@ END = np.array([END_ID], dtype="<u4").tobytes()
 #: Pieces, and words, kept per worker at most, some 300 MB together; a full table is emptied.
 KEPT_PIECES = 900_000
 _LINE_BREAK = "\n"
+_PLAIN_SPACE = " \n"
+#: What a text has if its white space is not all single spaces and line breaks; and the mark that cuts pieces.
+_UNUSUAL = ("\0", "  ", " \n", "\n ", "\n\n", *(c for c in map(chr, range(0x3001)) if c.isspace() and c not in _PLAIN_SPACE))
 
 
 def default_tokenizer() -> str:
@@ -106,7 +109,7 @@ class Encoder:
 
 def _pieces(text: str) -> list[str] | None:
     """Pieces that are encoded alike anywhere, or None where white space is not all single spaces and line breaks."""
-    if not text or "\0" in text or " ".join(text.split()) != text.replace(_LINE_BREAK, " "):
+    if not text or text[0] in _PLAIN_SPACE or text[-1] in _PLAIN_SPACE or any(part in text for part in _UNUSUAL):
         return None
     return text.replace(" ", "\0 ").replace(_LINE_BREAK, "\0\n\0").split("\0")
 
