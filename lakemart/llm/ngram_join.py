@@ -51,7 +51,7 @@ CLUSTER_SHINGLES = 4 << 20
 SKETCH_BITS = 18
 BROADCAST_BYTES = 64 << 20
 #: Documents and shingles that step 2 counts at a time.
-_RUN_DOCS, _RUN_SHINGLES = 60_000, 2 << 20
+_RUN_DOCS, _RUN_SHINGLES = 60_000, 1 << 20
 
 
 def _blob(values: np.ndarray) -> bytes:
@@ -413,6 +413,24 @@ def _suspects(rows: DataFrame, sets, percent: int, total: int) -> DataFrame:
     return per_run.mapInArrow(_keep_live(percent), "key long, hash long").distinct()
 
 
+def _sharing(prefixes: DataFrame) -> DataFrame:
+    """Edges ``(a, b)`` that connect the nodes of every code, few for a cluster that shares many codes.
+
+    A node is linked to the smallest node that any of its codes has, and takes
+    that as its label; then labels that still share a code are linked.
+    """
+
+    def with_least(rows: DataFrame) -> DataFrame:
+        least = rows.groupBy("code").agg(F.min("node").alias("least"), F.max("node").alias("most")).filter("least < most")
+        return salted_join(rows, least.select("code", "least"), "code", F.xxhash64("node"), "inner", 8)
+
+    shared = _stored(with_least(prefixes), "shared")
+    labels = _stored(shared.groupBy("node").agg(F.min("least").alias("label")), "labels")
+    labelled = shared.join(_checked(labels, 24), "node").select("code", F.col("label").alias("node")).distinct()
+    left = with_least(labelled).select(F.col("node").alias("a"), F.col("least").alias("b")).distinct()
+    return labels.select(F.col("node").alias("a"), F.col("label").alias("b")).unionAll(left)
+
+
 def _links(sets: DataFrame, percent: int, cluster_shingles: int) -> DataFrame:
     """Steps 3 and 4: links that span the components of the stored sets."""
     spark = sets.sparkSession
@@ -428,9 +446,7 @@ def _links(sets: DataFrame, percent: int, cluster_shingles: int) -> DataFrame:
         counts[slot] = n
     sketch = spark.sparkContext.broadcast(counts)
     prefixes = _stored(units.select("node", "shingles").mapInArrow(_prefixes(percent, sketch), "code long, node long"), "prefixes")
-    least = prefixes.groupBy("code").agg(F.min("node").alias("least"), F.max("node").alias("most")).filter("least < most")
-    shared = salted_join(prefixes, least.select("code", "least"), "code", F.xxhash64("node"), "inner", 8)
-    clusters = components(shared.select(F.col("node").alias("a"), F.col("least").alias("b")))
+    clusters = components(_sharing(prefixes))
     clusters = _stored(clusters.withColumnRenamed("id", "node"), "clusters")
     blocks = (
         units.select("node", "n")

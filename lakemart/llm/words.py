@@ -152,7 +152,7 @@ def shingle_sets(words: Words, k: int) -> tuple[np.ndarray, np.ndarray]:
     return values, np.searchsorted(text, np.arange(n_texts + 1))
 
 
-def small_batches(batches: Iterator[pa.RecordBatch], column: str, limit: int = 4 << 20) -> Iterator[pa.RecordBatch]:
+def small_batches(batches: Iterator[pa.RecordBatch], column: str, limit: int = 2 << 20) -> Iterator[pa.RecordBatch]:
     """The same rows in slices of about ``limit`` bytes of text; a longer text is a slice of its own."""
     for batch in batches:
         if not batch.num_rows:
