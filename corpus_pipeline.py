@@ -1,14 +1,15 @@
 """Corpus pipeline: quality rules, exact dedup, near-duplicate join, mixing to target weights, packing.
 
 Every stage takes ``(spark, docs, sf_dir)`` and returns a DataFrame, which the
-runner writes as Parquet and reads back as the next stage's documents.
+runner writes as Parquet and reads back as the next stage's documents.  All but
+the last return the columns of ``documents``.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lakemart.llm import exact_dedup, quality_rules
+from lakemart.llm import exact_dedup, mixing, ngram_join, packing, quality_rules
 from lakemart.sources.paths import scratch_path
 
 
@@ -22,9 +23,24 @@ def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return exact_dedup.keep_one_copy(docs)
 
 
-STAGES = [("quality rules", quality), ("exact dedup", exact)]
+def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document per group of texts alike in 0.8 of their five-word shingles, the one with the smallest id."""
+    return ngram_join.keep_one_of_each(docs, k=5, percent=80)
 
-#: The mix draws from hashes and the packing uses a tokenizer, so SQL cannot say what the run returns.
+
+def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Sources at their target weights: one row per document, pass and unbroken run of taken words."""
+    return mixing.mix_documents(docs)
+
+
+def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Training sequences of power-of-two lengths, with their ids."""
+    return packing.training_sequences(docs)
+
+
+STAGES = [("quality rules", quality), ("exact dedup", exact), ("near-duplicate join", near), ("mixing", mix), ("packing", pack)]
+
+#: The mix draws from Spark's hashes and the packing uses a tokenizer, so SQL cannot say what the run returns.
 ORACLE_SQL = None
 
 
