@@ -11,6 +11,7 @@ from lakemart.functions.cleaning import (
     parse_json,
     return_policy_label,
     to_json_text,
+    whole_number,
 )
 from lakemart.functions.durations import membership_days, warranty_days
 from lakemart.functions.links import anchor_links, category_id_of, slug_of, titled
@@ -53,4 +54,5 @@ __all__ = [
     "titled",
     "to_json_text",
     "warranty_days",
+    "whole_number",
 ]

@@ -7,12 +7,20 @@ from pyspark.sql import functions as F
 
 from lakemart import fixed
 
+#: Seconds of which the microseconds still fit a long.
+_MOST_SECONDS = (2**63 - 1) // 1_000_000
+
 
 def lenient_cast(value: Column, to: str) -> Column:
     """Cast that gives NULL where the value does not fit (E14); NaN does not fit an integer."""
     return value.try_cast(to)
 
 
+def whole_number(value: Column, to: str = "bigint") -> Column:
+    """A number, or text of one, less its fraction; NULL for anything else."""
+    return F.coalesce(value.try_cast(to), value.try_cast("double").try_cast(to))
+
+
 def int_or_zero(value: Column, to: str = "int") -> Column:
     """NULL, NaN and unreadable numbers become 0."""
     return F.coalesce(value.try_cast(to), F.lit(0).cast(to))
@@ -38,8 +46,9 @@ def return_policy_label(code: Column) -> Column:
 
 
 def epoch_to_timestamp(seconds: Column) -> Column:
-    """Whole epoch seconds to a timestamp; NULL and NaN stay NULL."""
-    return F.timestamp_seconds(seconds.try_cast("bigint"))
+    """Whole epoch seconds to a timestamp; NULL and NaN stay NULL, and so does what no timestamp holds."""
+    whole = seconds.try_cast("bigint")
+    return F.timestamp_seconds(F.when(whole.between(-_MOST_SECONDS, _MOST_SECONDS), whole))
 
 
 def flag(value: Column) -> Column:

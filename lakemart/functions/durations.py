@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import sys
+import unicodedata
 from functools import reduce
 from operator import or_
 
@@ -14,8 +16,13 @@ from lakemart import fixed
 # the four separator controls are white space in Unicode text processing but not for Java.
 _SPACE = r"[\s\x1c-\x1f]"
 
-# A number of at most nine significant digits, captured, or a longer one, not captured.
-_NUMBER = r"(?:(?<!\d)0*(\d{1,9})|\d+)"
+# A number of at most ten significant digits, captured, or a longer one, not captured: eleven never fit an int,
+# and ten times any unit fit a bigint.
+_NUMBER = r"(?:(?<!\d)0*(\d{1,10})|\d+)"
+
+# Digits of other scripts, as the pattern takes them, and their values.
+_OTHER_DIGITS = [c for c in map(chr, range(128, sys.maxunicode + 1)) if c.isdecimal()]
+_DIGITS, _VALUES = "".join(_OTHER_DIGITS), "".join(str(unicodedata.decimal(c)) for c in _OTHER_DIGITS)
 
 # Every value below is used once: Spark evaluates a repeated expression inside CASE each time it
 # occurs.  Casts run behind a test that lets them succeed: a failing one costs an exception per row.
@@ -23,7 +30,7 @@ _NUMBER = r"(?:(?<!\d)0*(\d{1,9})|\d+)"
 
 def _days(digits: Column, days_per_unit: Column) -> Column:
     """Digits times unit as int; 0 when the number does not fit."""
-    return F.coalesce((digits.try_cast("bigint") * days_per_unit).try_cast("int"), F.lit(0))
+    return F.coalesce((F.translate(digits, _DIGITS, _VALUES).try_cast("bigint") * days_per_unit).try_cast("int"), F.lit(0))
 
 
 def _has(text: Column, words: tuple[str, ...]) -> Column:

@@ -6,6 +6,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from lakemart import fixed
+from lakemart.functions.cleaning import whole_number
 
 _AUTHORS = "array<struct<author_id: bigint, author_name: string>>"
 
@@ -63,5 +64,5 @@ def image_urls(images: Column) -> Column:
 
 def author_list(authors: Column) -> Column:
     """(author_id, author_name) pairs; a missing list gives an empty one."""
-    pairs = F.transform(authors, lambda a: F.struct(a["id"].alias("author_id"), a["name"].alias("author_name")))
+    pairs = F.transform(authors, lambda a: F.struct(whole_number(a["id"]).alias("author_id"), a["name"].alias("author_name")))
     return F.coalesce(pairs, F.array().cast(_AUTHORS))

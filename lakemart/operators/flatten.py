@@ -16,15 +16,20 @@ from lakemart.functions import (
     lenient_cast,
     named_entries,
     specification_text,
+    whole_number,
 )
 
 
 def _long(path: str) -> Column:
-    return lenient_cast(F.col(path), "bigint")
+    return whole_number(F.col(path))
 
 
 def _int(path: str) -> Column:
-    return lenient_cast(F.col(path), "int")
+    return whole_number(F.col(path), "int")
+
+
+def _double(path: str) -> Column:
+    return lenient_cast(F.col(path), "double")
 
 
 def flatten_products(documents: DataFrame) -> DataFrame:
@@ -33,7 +38,7 @@ def flatten_products(documents: DataFrame) -> DataFrame:
     amplitude = "tracking_info.amplitude"
     # A column of its own, so that the three lookups share one pass over the list.
     return documents.withColumn("_warranty", named_entries(F.col("warranty_info"))).select(
-        F.col("id").alias("product_id"),
+        _long("id").alias("product_id"),
         F.col("sku").alias("product_sku"),
         F.col("name").alias("product_name"),
         F.col("short_url").alias("product_url"),
@@ -47,21 +52,21 @@ def flatten_products(documents: DataFrame) -> DataFrame:
         F.col("inventory_type"),
         _int("all_time_quantity_sold").alias("quantity_sold"),
         _int("day_ago_created").alias("day_ago_created"),
-        F.col("rating_average"),
+        _double("rating_average").alias("rating_average"),
         _int("review_count").alias("review_count"),
         specification_text(F.col("specifications")).alias("specifications"),
         breadcrumb_path(F.col("breadcrumbs")).alias("breadcrumbs"),
-        category_of(F.col("breadcrumbs")).alias("category_id"),
+        whole_number(category_of(F.col("breadcrumbs"))).alias("category_id"),
         flag(F.col(f"{amplitude}.is_authentic")).alias("is_authentic"),
         flag(F.col(f"{amplitude}.is_freeship_xtra")).alias("is_freeship_xtra"),
         flag(F.col(f"{amplitude}.is_hero")).alias("is_top_deal"),
         flag(F.col(f"{amplitude}.is_top_brand")).alias("is_top_brand"),
         F.col(f"{amplitude}.return_reason").alias("return_reason"),
-        F.col("brand.id").alias("brand_id"),
+        _long("brand.id").alias("brand_id"),
         F.col("brand.name").alias("brand_name"),
         author_list(F.col("authors")).alias("authors"),
-        F.col("current_seller.store_id").alias("store_id"),
-        F.col("current_seller.id").alias("seller_id"),
+        _long("current_seller.store_id").alias("store_id"),
+        _long("current_seller.id").alias("seller_id"),
         F.col("current_seller.sku").alias("seller_sku"),
         F.col("current_seller.name").alias("seller_name"),
         F.col("current_seller.link").alias("seller_url"),
@@ -80,11 +85,11 @@ def flatten_sellers(documents: DataFrame) -> DataFrame:
     # An empty object is no seller either.
     any_field = F.coalesce(*[F.col(f"{seller}.{field}").cast("string") for field in fields])
     return documents.filter(any_field.isNotNull()).select(
-        F.col(f"{seller}.id").alias("seller_id"),
+        _long(f"{seller}.id").alias("seller_id"),
         F.col(f"{seller}.name").alias("seller_name"),
         F.col(f"{seller}.icon").alias("icon_url"),
         F.col(f"{seller}.url").alias("store_url"),
-        F.col(f"{seller}.avg_rating_point").alias("avg_rating_point"),
+        _double(f"{seller}.avg_rating_point").alias("avg_rating_point"),
         _int(f"{seller}.review_count").alias("review_count"),
         _int(f"{seller}.total_follower").alias("total_follower"),
         _int(f"{seller}.days_since_joined").alias("days_since_joined"),
@@ -100,16 +105,16 @@ def flatten_reviews(pages: DataFrame) -> DataFrame:
         pages.select(F.explode("data").alias("r"))
         .filter(F.col("r").isNotNull())
         .select(
-            F.col("r.id").alias("review_id"),
-            F.col("r.product_id").alias("product_id"),
-            F.col("r.seller.id").alias("seller_id"),
+            _long("r.id").alias("review_id"),
+            _long("r.product_id").alias("product_id"),
+            _long("r.seller.id").alias("seller_id"),
             F.col("r.title").alias("title"),
             F.col("r.content").alias("content"),
             F.col("r.status").alias("status"),
             _int("r.thank_count").alias("thank_count"),
             _int("r.rating").alias("rating"),
             _long("r.created_at").alias("created_at"),
-            F.col("r.customer_id").alias("customer_id"),
+            _long("r.customer_id").alias("customer_id"),
             F.col("r.created_by.full_name").alias("customer_name"),
             _long("r.created_by.purchased_at").alias("purchased_at"),
             F.col("r.created_by.avatar_url").alias("avatar_url"),

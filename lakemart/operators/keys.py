@@ -7,22 +7,23 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from lakemart.operators.filters import present
+
 _SLICE = "_slice"
-_SLICES = 32
 
 
-def _key_side(other: DataFrame, keys: Sequence[str], unique: bool) -> DataFrame:
-    """Only the key columns; at most ``_SLICES`` rows per key when they may repeat.
+def _key_side(other: DataFrame, keys: Sequence[str], unique: bool, slices: int) -> DataFrame:
+    """Only the key columns, without NULL; at most ``slices`` rows per key when they may repeat.
 
-    Repeats collapse before the shuffle.  The slice keeps this side from being
-    already partitioned by the join keys: the join then owns both of its
-    shuffles, which is what lets adaptive execution split a heavy key of the
-    other side.
+    Repeats collapse before the shuffle.  What comes out is rebalanced: were it
+    still partitioned by the join keys, as after an aggregate or a window over
+    them, the join would take that partitioning over, and adaptive execution
+    could not split a heavy key of the other side.
     """
-    side = other.select(*keys)
+    side = other.filter(present(*keys)).select(*keys)
     if unique:
         return side
-    return side.withColumn(_SLICE, F.spark_partition_id() % _SLICES).distinct().drop(_SLICE)
+    return side.withColumn(_SLICE, F.spark_partition_id() % slices).distinct().drop(_SLICE).hint("rebalance")
 
 
 def _join(df: DataFrame, side: DataFrame, keys: Sequence[str], how: str) -> DataFrame:
@@ -30,15 +31,21 @@ def _join(df: DataFrame, side: DataFrame, keys: Sequence[str], how: str) -> Data
     return df.join(side, list(keys), how).select(*[F.col(f"`{c}`") for c in df.columns])
 
 
-def keep_known(df: DataFrame, parent: DataFrame, keys: Sequence[str], parent_unique: bool = True) -> DataFrame:
+def keep_known(
+    df: DataFrame, parent: DataFrame, keys: Sequence[str], parent_unique: bool = False, slices: int = 32
+) -> DataFrame:
     """Rows whose keys exist in ``parent``.
 
     Broadcast or shuffle is left to Spark, which goes by the measured size of
-    ``parent``.  Say ``parent_unique=False`` when its keys may repeat.
+    ``parent``.  Say ``parent_unique=True`` only for a stored table with one
+    row per key; it spares the collapse of repeats, which leaves at most
+    ``slices`` rows per key.
     """
-    return _join(df, _key_side(parent, keys, parent_unique), keys, "left_semi")
+    return _join(df, _key_side(parent, keys, parent_unique, slices), keys, "left_semi")
 
 
-def keep_new(df: DataFrame, known: DataFrame, keys: Sequence[str], known_unique: bool = True) -> DataFrame:
+def keep_new(
+    df: DataFrame, known: DataFrame, keys: Sequence[str], known_unique: bool = False, slices: int = 32
+) -> DataFrame:
     """Rows whose keys do not exist in ``known`` (J3); a NULL key matches nothing and stays."""
-    return _join(df, _key_side(known, keys, known_unique), keys, "left_anti")
+    return _join(df, _key_side(known, keys, known_unique, slices), keys, "left_anti")

@@ -110,8 +110,8 @@ OUTPUTS: dict[str, tuple[str, tuple[str, ...], Callable[[DataFrame], DataFrame]]
     "images_url": ("products", ("images_url",), product_images),
     "reviews": ("reviews", (), gold_reviews),
     "customers": ("reviews", ("customer_id",), gold_customers),
-    "customer_review": ("reviews", ("customer_id", "review_id"), customer_review),
-    "customer_purchase": ("reviews", ("customer_id", "product_id"), customer_purchase),
+    "customer_review": ("reviews", ("customer_id", "review_id", "created_ts"), customer_review),
+    "customer_purchase": ("reviews", tuple(GOLD["customer_purchase"].columns), customer_purchase),
     "categories": ("categories", (), gold_categories),
     "sellers": ("sellers", (), gold_sellers),
 }

@@ -20,12 +20,13 @@ class TableReport:
     path: str | None
     status: str
     n_rows: int
+    n_rejects: int = 0
 
 
 def report_frame(spark: SparkSession, reports: Iterable[TableReport]) -> DataFrame:
     """Reports as a table; as many rows as tables were handled."""
     return spark.createDataFrame(
-        [astuple(r) for r in reports], "table string, path string, status string, n_rows bigint"
+        [astuple(r) for r in reports], "table string, path string, status string, n_rows bigint, n_rejects bigint"
     )
 
 

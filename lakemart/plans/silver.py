@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from collections.abc import Callable
+from dataclasses import replace
+
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from lakemart import fixed, schemas
@@ -21,7 +24,8 @@ from lakemart.operators.keys import keep_known
 from lakemart.plans.report import TableReport, publish, unless_empty
 from lakemart.sources.datasets import dataset
 from lakemart.sources.paths import Lake, path_exists
-from lakemart.sources.readers import read_csv, read_documents, read_upstream, split_rejects
+from lakemart.sources.readers import is_reject, read_csv, read_documents, read_upstream, split_rejects
+from lakemart.sources.writers import write_parquet
 
 
 def silver_sellers(sellers: DataFrame) -> DataFrame:
@@ -53,7 +57,7 @@ def silver_products(products: DataFrame, sellers: DataFrame, zero_rule: str = "a
     the join's partitioning by seller for the dedup, and a seller with many
     products would sit in one task.
     """
-    offers = keep_known(keep_one(products, ["product_id", "seller_id"]), sellers, ["seller_id"])
+    offers = keep_known(keep_one(products, ["product_id", "seller_id"]), sellers, ["seller_id"], parent_unique=True)
     return clean_products(offers, zero_rule)
 
 
@@ -75,14 +79,31 @@ def silver_reviews(reviews: DataFrame, products: DataFrame) -> DataFrame:
     )
 
 
-def _flat(spark: SparkSession, lake: Lake, name: str, layout: str) -> DataFrame:
-    good, _ = split_rejects(read_documents(spark, lake.bronze, name, layout))
-    return dataset(name).flatten(good)
+def _run(
+    spark: SparkSession, lake: Lake, name: str, layout: str, build: Callable[[DataFrame], DataFrame]
+) -> TableReport:
+    """One silver table from its documents; rejects go to ``<rejects layer>/<dataset>``.
+
+    Rejects are counted on the way.  They are scanned for, a second time, only
+    if there are any.
+    """
+    documents = read_documents(spark, lake.bronze, name, layout)
+    flatten = dataset(name).flatten
+    good, rejects = split_rejects(documents)
+    seen = Observation()
+    rows = None
+    if not flatten(good).isEmpty():
+        counted = documents.observe(seen, F.count_if(is_reject(documents)).alias("n_rejects"))
+        rows = build(flatten(split_rejects(counted)[0]))
+    report = publish(name, lake.path("silver", name), rows)
+    any_rejects = not rejects.isEmpty() if rows is None else seen.get["n_rejects"] > 0
+    if not any_rejects:
+        return report
+    return replace(report, n_rejects=write_parquet(rejects, lake.path("rejects", name)))
 
 
 def run_sellers(spark: SparkSession, lake: Lake, layout: str = "document") -> TableReport:
-    sellers = _flat(spark, lake, "sellers", layout)
-    return publish("sellers", lake.path("silver", "sellers"), unless_empty(sellers, silver_sellers))
+    return _run(spark, lake, "sellers", layout, silver_sellers)
 
 
 def run_categories(spark: SparkSession, lake: Lake) -> TableReport:
@@ -90,7 +111,7 @@ def run_categories(spark: SparkSession, lake: Lake) -> TableReport:
     source = f"{lake.bronze}/categories.csv"
     rows = None
     if path_exists(spark, source):
-        rows = unless_empty(read_csv(spark, source, schemas.CATEGORIES_CSV), lambda categories: categories)
+        rows = unless_empty(read_csv(spark, source, schemas.CATEGORIES_CSV, multi_line=True), lambda categories: categories)
     return publish("categories", lake.path("silver", "categories"), rows)
 
 
@@ -98,15 +119,11 @@ def run_products(
     spark: SparkSession, lake: Lake, layout: str = "document", sellers_path: str | None = None, zero_rule: str = "any"
 ) -> TableReport:
     sellers = read_upstream(spark, sellers_path, lake.path("silver", "sellers"))
-    products = _flat(spark, lake, "products", layout)
-    rows = unless_empty(products, lambda raw: silver_products(raw, sellers, zero_rule))
-    return publish("products", lake.path("silver", "products"), rows)
+    return _run(spark, lake, "products", layout, lambda raw: silver_products(raw, sellers, zero_rule))
 
 
 def run_reviews(
     spark: SparkSession, lake: Lake, layout: str = "document", products_path: str | None = None
 ) -> TableReport:
     products = read_upstream(spark, products_path, lake.path("silver", "products"))
-    reviews = _flat(spark, lake, "reviews", layout)
-    rows = unless_empty(reviews, lambda raw: silver_reviews(raw, products))
-    return publish("reviews", lake.path("silver", "reviews"), rows)
+    return _run(spark, lake, "reviews", layout, lambda raw: silver_reviews(raw, products))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lakemart.operators import check_declared_keys, flatten_products, flatten_reviews, keep_known, keep_one
@@ -27,7 +27,6 @@ def _reviewed_offers(t: Tables) -> DataFrame:
     return (
         t.lineitem.filter(F.col("l_returnflag") != "N")
         .select(F.col("l_partkey").alias("product_id"), F.col("l_suppkey").alias("seller_id"))
-        .distinct()
     )
 
 
@@ -96,17 +95,55 @@ def silver_sellers(t: Tables) -> DataFrame:
     return t.spark.read.parquet(silver.run_sellers(t.spark, lake, layout="lines").path)
 
 
+@query(
+    "S3 B1 B3 B4 R1",
+    """
+    SELECT 'sellers' AS "table", 'Success' AS status, count(*) FILTER (WHERE s_nationkey <> 3 AND s_suppkey <> 0) AS n_rows,
+           count(*) FILTER (WHERE s_nationkey = 3) AS n_rejects FROM supplier
+    UNION ALL SELECT 'products', 'Success', count(*) FILTER (WHERE p_size % 5 <> 1), count(*) FILTER (WHERE p_size % 5 = 1) FROM part
+    UNION ALL SELECT 'reviews', 'Success', (count(*) FILTER (WHERE o_orderstatus <> 'P')) * 2, count(*) FILTER (WHERE o_orderstatus = 'P')
+              FROM orders
+    """,
+)
+def silver_rejects_report(t: Tables) -> DataFrame:
+    """Documents cut off, and odd scalars and shapes that must not cost a document."""
+    lake = Lake(t.scratch("silver_rejects_report"))
+
+    def lines(name: str, rows: DataFrame, text: Column, broken: Column) -> None:
+        cut = F.substring(text, F.lit(1), F.length(text) - 1)
+        rows.select(F.when(broken, cut).otherwise(text).alias("value")).write.text(f"{lake.bronze}/{name}")
+
+    seller, part, order = F.col("s_suppkey"), F.col("p_partkey"), F.col("o_orderkey")
+    odd = F.when(seller % 2 == 0, F.lit('"4.5"')).otherwise(F.lit('{"a": 1}'))
+    text = F.concat(F.lit('{"data":{"seller":{"id":"'), seller, F.lit('","avg_rating_point":'), odd, F.lit(',"review_count":[1]}}}'))
+    lines("sellers", t.supplier, text, F.col("s_nationkey") == 3)
+    odd = F.when(part % 2 == 0, F.lit("[]")).otherwise(F.lit('"none"'))
+    text = F.concat(F.lit('{"id":'), part, F.lit(',"brand":'), odd, F.lit(',"rating_average":"4.5","current_seller":{"id":"1"}}'))
+    lines("products", t.part, text, F.col("p_size") % 5 == 1)
+    odd = F.when(order % 2 == 0, F.lit('"3"')).otherwise(F.lit("true"))
+    review = F.concat(F.lit('"product_id":'), F.lit(1), F.lit(',"seller":{"id":1},"thank_count":'), odd, F.lit("}"))
+    text = F.concat(F.lit('{"data":[{"id":'), order * 2, F.lit(","), review, F.lit(',{"id":'), order * 2 + 1, F.lit(","), review, F.lit("]}"))
+    lines("reviews", t.orders, text, F.col("o_orderstatus") == "P")
+    parents = t.spark.range(1, 2).select(F.col("id").alias("product_id"), F.col("id").alias("seller_id"))
+    reports = [silver.run_sellers(t.spark, lake, layout="lines")]
+    known = f"{lake.base}/known"
+    write_parquet(parents, known)
+    reports.append(silver.run_products(t.spark, lake, layout="lines", sellers_path=known))
+    reports.append(silver.run_reviews(t.spark, lake, layout="lines", products_path=known))
+    return report_frame(t.spark, reports).drop("path")
+
+
 @query(
     "B2 S1 K1 K7",
     """
-    SELECT p_name || ', "' || p_type || '"' AS title, lower(replace(p_name, ' ', '-')) AS slug, p_partkey AS category_id
+    SELECT p_name || ',' || chr(10) || '"' || p_type || '"' AS title, lower(replace(p_name, ' ', '-')) AS slug, p_partkey AS category_id
     FROM part
     """,
 )
 def silver_categories(t: Tables) -> DataFrame:
     lake = Lake(t.scratch("silver_categories"))
     categories = t.part.select(
-        F.concat("p_name", F.lit(', "'), "p_type", F.lit('"')).alias("title"),
+        F.concat("p_name", F.lit(',\n"'), "p_type", F.lit('"')).alias("title"),
         F.lower(F.replace("p_name", F.lit(" "), F.lit("-"))).alias("slug"),
         F.col("p_partkey").alias("category_id"),
     )
@@ -271,7 +308,7 @@ def gold_run_report(t: Tables) -> DataFrame:
     reviews = t.orders.select(F.col("o_orderkey").alias("review_id"), F.col("o_orderstatus").alias("status"))
     write_parquet(reviews, lake.path("silver", "reviews"))
     reports = [*gold.run_gold(t.spark, lake, "products"), *gold.run_gold(t.spark, lake, "reviews")]
-    return report_frame(t.spark, reports).drop("path")
+    return report_frame(t.spark, reports).drop("path", "n_rejects")
 
 
 @query(
@@ -297,7 +334,7 @@ def optional_outputs(t: Tables) -> DataFrame:
     rows = None
     for run, silver_table in (("with", reviews), ("without", reviews.drop("customer_id"))):
         reports = gold.build_outputs(silver_table, "reviews", Lake(t.scratch(f"optional_{run}")))
-        frame = report_frame(t.spark, reports).drop("path").withColumn("run", F.lit(run))
+        frame = report_frame(t.spark, reports).drop("path", "n_rejects").withColumn("run", F.lit(run))
         rows = frame if rows is None else rows.unionByName(frame)
     return rows
 
@@ -320,14 +357,15 @@ def empty_table_status(t: Tables) -> DataFrame:
     reports = [
         publish(name, f"{root}/{name}", unless_empty(df, lambda source: source)) for name, df in tables.items()
     ]
-    return report_frame(t.spark, reports).drop("path")
+    return report_frame(t.spark, reports).drop("path", "n_rejects")
 
 
 @query(
-    "K5 B9 S9 K4",
+    "K5 B9 S9 R2",
     """
     SELECT 'customers' AS "table", 'Success' AS status, count(*) AS n_rows FROM customer
     UNION ALL SELECT 'orders', 'Success', count(*) FROM orders
+    UNION ALL SELECT 'regions', 'Failed', 0
     UNION ALL SELECT 'returns', 'Skipped (Empty Source)', 0
     """,
 )
@@ -337,8 +375,11 @@ def bulk_load_report(t: Tables) -> DataFrame:
     write_parquet(t.customer, lake.path("gold", "customers"))
     write_parquet(t.orders, lake.path("gold", "gold_orders"))
     write_parquet(t.orders.filter(F.col("o_orderstatus") == "no such status"), lake.path("gold", "returns"))
+    # Text under the name of a Parquet table cannot be read as one.
+    t.region.select("r_name").write.text(lake.path("gold", "regions"))
     reports = warehouse.load_layer(t.spark, lake.layer("gold"), warehouse.parquet_sink(f"{base}/warehouse"))
-    return report_frame(t.spark, reports).drop("path")
+    rows = report_frame(t.spark, reports).drop("path", "n_rejects")
+    return rows.withColumn("status", F.regexp_extract("status", r"^(Success|Skipped.*|Failed)", 1))
 
 
 @query(

@@ -22,7 +22,8 @@ from lakemart.operators import (
 from lakemart.plans import frontier
 from lakemart.queries.registry import Tables, query
 
-TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents", "pages")
+TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events")
+TABLES += ("documents", "embeddings", "pages", "benchmark", "labels", "conversations")
 
 
 @query(
@@ -309,7 +310,7 @@ def cast_lenient_int(t: Tables) -> DataFrame:
     "E15",
     """
     SELECT event_id,
-           make_timestamp(CASE WHEN event_type = 'error' THEN NULL ELSE (epoch_us(ts) // 1000000) * 1000000 END) AS created_ts,
+           make_timestamp(CASE WHEN event_type IN ('error', 'purchase') THEN NULL ELSE (epoch_us(ts) // 1000000) * 1000000 END) AS created_ts,
            CASE WHEN event_type IN ('error', 'view') THEN NULL ELSE epoch_us(ts) // 1000000 END AS purchased_at
     FROM events
     """,
@@ -322,7 +323,8 @@ def check_epoch_to_timestamp(t: Tables) -> DataFrame:
         + F.minute(ts) * 60
         + F.floor(F.second(ts))
     )
-    created = F.when(F.col("event_type") != "error", seconds + F.lit(0.25))
+    microseconds = F.when(F.col("event_type") == "purchase", F.lit(1_000_000)).otherwise(F.lit(1))
+    created = F.when(F.col("event_type") != "error", (seconds + F.lit(0.25)) * microseconds)
     purchased = F.when(F.col("event_type") == "view", F.lit(float("nan"))).when(
         F.col("event_type") != "error", seconds.cast("double")
     )

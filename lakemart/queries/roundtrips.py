@@ -33,19 +33,19 @@ from lakemart.sources import (
 @query(
     "S1 K7",
     """
-    SELECT c_custkey, CASE WHEN c_nationkey NOT IN (1, 2) THEN c_name || ', "' || c_mktsegment || '"' END AS title, c_acctbal
+    SELECT c_custkey, CASE WHEN c_nationkey NOT IN (1, 2) THEN c_name || ',' || chr(10) || '"' || c_mktsegment || '"' END AS title, c_acctbal
     FROM customer
     """,
 )
 def csv_roundtrip(t: Tables) -> DataFrame:
     path = t.scratch("csv_roundtrip")
     nation = F.col("c_nationkey")
-    title = F.concat("c_name", F.lit(', "'), "c_mktsegment", F.lit('"'))
+    title = F.concat("c_name", F.lit(',\n"'), "c_mktsegment", F.lit('"'))
     rows = t.customer.select(
         "c_custkey", F.when(nation == 2, F.lit("")).when(nation != 1, title).alias("title"), "c_acctbal"
     )
     write_csv(rows, path)
-    return read_csv(t.spark, path, "c_custkey bigint, title string, c_acctbal double")
+    return read_csv(t.spark, path, "c_custkey bigint, title string, c_acctbal double", multi_line=True)
 
 
 @query("S5 S6 K1", "SELECT * FROM supplier")
@@ -66,6 +66,7 @@ def layered_roundtrip(t: Tables) -> DataFrame:
     "K6 E21",
     """
     SELECT c_custkey AS id, c_name AS name, c_acctbal AS balance,
+           CASE WHEN c_nationkey <> 3 THEN c_mktsegment || ' 50%/a+b=' || c_nationkey END AS slug,
            format('{0}/{1}_{2}/reviews/reviews_{1}_{2}_{3}.json', c_mktsegment, c_custkey, c_nationkey, 1) AS path
     FROM customer
     """,
@@ -78,12 +79,11 @@ def json_sink_roundtrip(t: Tables) -> DataFrame:
         F.col("c_name").alias("name"),
         F.col("c_acctbal").alias("balance"),
         document_path("reviews", segment, customer, nation, F.lit(1)).alias("path"),
-        segment.alias("slug"),
+        F.when(nation != 3, F.concat(segment, F.lit(" 50%/a+b="), nation)).alias("slug"),
     )
     write_json(rows, folder, partition_by=["slug"])
-    return read_json(t.spark, folder, "id bigint, name string, balance double, path string").select(
-        "id", "name", "balance", "path"
-    )
+    schema = "id bigint, name string, balance double, path string"
+    return read_json(t.spark, folder, schema, partition_by=["slug"]).select("id", "name", "balance", "slug", "path")
 
 
 @query(
@@ -103,25 +103,32 @@ def json_roundtrip_flatten(t: Tables) -> DataFrame:
     SELECT CASE WHEN o_orderstatus = 'P' THEN 'reject' ELSE 'good' END AS kind,
            CASE WHEN o_orderstatus <> 'P' THEN o_orderkey END AS product_id,
            CASE WHEN o_orderstatus <> 'P' THEN o_orderpriority END AS product_name,
-           CASE WHEN o_orderstatus = 'P' THEN '{"id":' || o_orderkey || ',"name":"' || o_orderpriority END AS raw
+           CASE WHEN o_orderstatus <> 'P' AND o_orderkey % 3 = 0 THEN 4.5::DOUBLE END AS rating_average,
+           CASE WHEN o_orderstatus = 'P' THEN '{"id":' || CASE WHEN o_orderkey % 3 = 1 THEN '"' || o_orderkey || '"'
+                ELSE o_orderkey::VARCHAR END || ',"name":"' || o_orderpriority END AS raw
     FROM orders
     """,
 )
 def json_rejects(t: Tables) -> DataFrame:
     root = t.scratch("json_rejects")
-    start = F.concat(F.lit('{"id":'), "o_orderkey", F.lit(',"name":"'), "o_orderpriority")
+    third = F.col("o_orderkey") % 3
+    number = F.when(third == 1, F.concat(F.lit('"'), "o_orderkey", F.lit('"'))).otherwise(F.col("o_orderkey").cast("string"))
+    start = F.concat(F.lit('{"id":'), number, F.lit(',"name":"'), "o_orderpriority")
+    # Text where a number is expected, and a list where an object is, cost no document.
+    end = F.when(third == 0, F.lit('","rating_average":"4.5"}')).when(third == 1, F.lit('","brand":[]}')).otherwise(F.lit('"}'))
     lines = t.orders.select(
-        F.when(F.col("o_orderstatus") == "P", start).otherwise(F.concat(start, F.lit('"}'))).alias("value")
+        F.when(F.col("o_orderstatus") == "P", start).otherwise(F.concat(start, end)).alias("value")
     )
     lines.write.text(f"{root}/products", compression=None)
     good, rejects = split_rejects(read_documents(t.spark, root, "products", layout="lines"))
     kept = flatten_products(good).select(
-        F.lit("good").alias("kind"), "product_id", "product_name", F.lit(None).cast("string").alias("raw")
+        F.lit("good").alias("kind"), "product_id", "product_name", "rating_average", F.lit(None).cast("string").alias("raw")
     )
     refused = rejects.select(
         F.lit("reject").alias("kind"),
         F.lit(None).cast("bigint").alias("product_id"),
         F.lit(None).cast("string").alias("product_name"),
+        F.lit(None).cast("double").alias("rating_average"),
         "raw",
     )
     return kept.unionByName(refused)

@@ -19,7 +19,6 @@ from lakemart.functions import (
     titled,
     warranty_days,
 )
-from lakemart.operators import spread
 from lakemart.plans import frontier
 from lakemart.queries.registry import Tables, query
 
@@ -30,7 +29,8 @@ WARRANTY_TEXT_SQL = """
         WHEN 2 THEN '  ' || CAST(l_quantity AS INT) || 'NĂM '
         WHEN 3 THEN CASE WHEN l_returnflag = 'A' THEN 'Trọn đời' WHEN l_returnflag = 'N' THEN 'KHÔNG bảo hành' ELSE '' END
         WHEN 4 THEN CAST(l_quantity AS INT) || ' năm ' || l_linenumber || ' tháng'
-        WHEN 5 THEN 'Bảo hành ' || CAST(l_quantity AS INT) || ' ngày'
+        WHEN 5 THEN CASE WHEN l_returnflag = 'N' THEN (2147483600 + l_partkey) || ' ngày'
+                         ELSE 'Bảo hành ' || CAST(l_quantity AS INT) || ' ngày' END
         WHEN 6 THEN CASE WHEN l_returnflag = 'A' THEN CAST(l_quantity AS INT) || ' months' WHEN l_returnflag = 'N' THEN 'No Warranty'
                          ELSE repeat('9', CAST(l_quantity AS INT)) || ' years' END
         ELSE CASE WHEN l_returnflag <> 'R' THEN 'theo hãng' END
@@ -50,7 +50,12 @@ def warranty_text() -> Column:
             F.when(flag == "A", F.lit("Trọn đời")).when(flag == "N", F.lit("KHÔNG bảo hành")).otherwise(F.lit("")),
         )
         .when(line == 4, F.concat(quantity, F.lit(" năm "), line, F.lit(" tháng")))
-        .when(line == 5, F.concat(F.lit("Bảo hành "), quantity, F.lit(" ngày")))
+        .when(
+            line == 5,
+            F.when(flag == "N", F.concat(F.lit(2147483600) + F.col("l_partkey"), F.lit(" ngày"))).otherwise(
+                F.concat(F.lit("Bảo hành "), quantity, F.lit(" ngày"))
+            ),
+        )
         .when(
             line == 6,
             F.when(flag == "A", F.concat(quantity, F.lit(" months")))
@@ -92,7 +97,7 @@ def warranty_days_sql(text: str, zero: str = "0") -> str:
     """,
 )
 def check_warranty_days(t: Tables) -> DataFrame:
-    return spread(t.lineitem).select("l_orderkey", "l_linenumber", "l_partkey", warranty_text().alias("warranty")).withColumns(
+    return t.lineitem.select("l_orderkey", "l_linenumber", "l_partkey", warranty_text().alias("warranty")).withColumns(
         {
             "days": warranty_days(F.col("warranty")),
             "days_whole_zero": warranty_days(F.col("warranty"), zero_rule="whole"),
@@ -108,7 +113,8 @@ def check_warranty_days(t: Tables) -> DataFrame:
             WHEN 'BUILDING' THEN c_nationkey || ' năm'
             WHEN 'HOUSEHOLD' THEN 'Đã tham gia ' || c_nationkey || '  tháng'
             WHEN 'MACHINERY' THEN c_nationkey || 'ngày'
-            WHEN 'AUTOMOBILE' THEN c_nationkey || ' ngày và ' || c_nationkey || ' năm'
+            WHEN 'AUTOMOBILE' THEN CASE WHEN c_nationkey < 5 THEN (2147483000 + c_custkey) || ' ngày'
+                                   ELSE c_nationkey || ' ngày và ' || c_nationkey || ' năm' END
             WHEN 'FURNITURE' THEN c_nationkey || ' NĂM' END AS joined_time
         FROM customer)
     SELECT c_custkey, joined_time,
@@ -125,7 +131,12 @@ def check_membership_days(t: Tables) -> DataFrame:
         F.when(segment == "BUILDING", F.concat(nation, F.lit(" năm")))
         .when(segment == "HOUSEHOLD", F.concat(F.lit("Đã tham gia "), nation, F.lit("  tháng")))
         .when(segment == "MACHINERY", F.concat(nation, F.lit("ngày")))
-        .when(segment == "AUTOMOBILE", F.concat(nation, F.lit(" ngày và "), nation, F.lit(" năm")))
+        .when(
+            segment == "AUTOMOBILE",
+            F.when(nation < 5, F.concat(F.lit(2147483000) + F.col("c_custkey"), F.lit(" ngày"))).otherwise(
+                F.concat(nation, F.lit(" ngày và "), nation, F.lit(" năm"))
+            ),
+        )
         .when(segment == "FURNITURE", F.concat(nation, F.lit(" NĂM")))
     )
     return t.customer.select("c_custkey", joined.alias("joined_time")).withColumn(

@@ -1,16 +1,23 @@
 """Schemas and declared keys of every layer.
 
-Bronze numbers that a source may write with a fraction or as NaN are read as
-doubles and narrowed on flattening, and flags as text, so that an odd scalar
-never turns a whole document into a reject.
+The document schemas name the types that sources mean.  Documents are scanned
+with every scalar as text (:func:`scalars_as_text`) and cast on flattening, so
+that an odd scalar is a NULL in its field and nothing more.
 """
 
 from __future__ import annotations
 
+import re
 from dataclasses import dataclass
 
 CORRUPT = "_corrupt_record"
 
+
+def scalars_as_text(ddl: str) -> str:
+    """The same schema with its numbers as strings."""
+    return re.sub(r"\b(?:bigint|double)\b", "string", ddl)
+
+
 PRODUCT_DOCUMENT = """
     id bigint, sku string, name string, short_url string, description string,
     images array<struct<base_url: string>>,

@@ -22,9 +22,9 @@ class Dataset:
 DATASETS = {
     d.name: d
     for d in (
-        Dataset("products", schemas.PRODUCT_DOCUMENT, fixed.PRODUCT_FILES, flatten_products),
-        Dataset("sellers", schemas.SELLER_DOCUMENT, fixed.SELLER_FILES, flatten_sellers),
-        Dataset("reviews", schemas.REVIEW_PAGE, fixed.REVIEW_FILES, flatten_reviews),
+        Dataset("products", schemas.scalars_as_text(schemas.PRODUCT_DOCUMENT), fixed.PRODUCT_FILES, flatten_products),
+        Dataset("sellers", schemas.scalars_as_text(schemas.SELLER_DOCUMENT), fixed.SELLER_FILES, flatten_sellers),
+        Dataset("reviews", schemas.scalars_as_text(schemas.REVIEW_PAGE), fixed.REVIEW_FILES, flatten_reviews),
     )
 }
 

@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import re
+from collections.abc import Sequence
+
 from py4j.protocol import Py4JError
 from pyspark.errors import PySparkException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakemart.schemas import CORRUPT
@@ -13,6 +16,8 @@ from lakemart.sources.paths import Lake, path_exists
 from lakemart.sources.writers import write_csv
 
 SOURCE_PATH = "source_path"
+#: Folder of NULL, as the writer names it.
+_NULL_FOLDER = "__HIVE_DEFAULT_PARTITION__"
 
 
 def read_csv(spark: SparkSession, path: str, schema: str, multi_line: bool = False) -> DataFrame:
@@ -29,9 +34,29 @@ def read_csv(spark: SparkSession, path: str, schema: str, multi_line: bool = Fal
     )
 
 
-def read_json(spark: SparkSession, path: str, schema: str, files: str = "*", one_per_file: bool = False) -> DataFrame:
-    """JSON below ``path`` with ``_corrupt_record`` and ``source_path``; partition folders are not columns."""
-    return (
+def _folder_value(name: str) -> Column:
+    """Value of a partition folder in the path; escapes are undone twice, the path's and the folder's."""
+    found = F.regexp_extract(SOURCE_PATH, f"/{re.escape(name)}=([^/]*)/", 1)
+    plain = found
+    for _ in range(2):
+        plain = F.url_decode(F.replace(plain, F.lit("+"), F.lit("%2B")))
+    return F.when(~found.isin("", _NULL_FOLDER), plain)
+
+
+def read_json(
+    spark: SparkSession,
+    path: str,
+    schema: str,
+    files: str = "*",
+    one_per_file: bool = False,
+    partition_by: Sequence[str] = (),
+) -> DataFrame:
+    """JSON below ``path`` with ``_corrupt_record`` and ``source_path``.
+
+    Partition folders are columns only where ``partition_by`` names them, as
+    text; a column that the schema has too keeps its own values first.
+    """
+    documents = (
         spark.read.schema(f"{schema}, {CORRUPT} string")
         .options(
             mode="PERMISSIVE",
@@ -43,6 +68,12 @@ def read_json(spark: SparkSession, path: str, schema: str, files: str = "*", one
         .json(path)
         .withColumn(SOURCE_PATH, F.col("_metadata.file_path"))
     )
+    for name in partition_by:
+        value = _folder_value(name)
+        if name in documents.columns:
+            value = F.coalesce(F.col(name), value.cast(documents.schema[name].dataType))
+        documents = documents.withColumn(name, value)
+    return documents
 
 
 def read_documents(spark: SparkSession, root: str, name: str, layout: str = "document") -> DataFrame:
@@ -62,18 +93,25 @@ def read_documents(spark: SparkSession, root: str, name: str, layout: str = "doc
     return read_json(spark, path, source.schema, source.files if per_file else "*", per_file)
 
 
-def split_rejects(documents: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Readable documents, and path plus text of the others (S3).
+def is_reject(documents: DataFrame) -> Column:
+    """Whether a scanned row is no JSON object.
 
-    The test names every field.  A scan that asks for a few fields checks only
-    those, and a document bad elsewhere would count as good or not by what the
-    caller happens to select.  For a readable document the first part decides.
+    A document that is one but has a field of an unexpected shape keeps its
+    other fields; its text is parsed a second time to tell, and only its.  The
+    test names every field: a scan that asks for a few checks only those, and a
+    document bad elsewhere would count as good or not by what the caller
+    happens to select.
     """
     fields = [c for c in documents.columns if c not in (CORRUPT, SOURCE_PATH)]
     every_field = F.to_json(F.struct(*fields))
-    good = documents.filter(F.col(CORRUPT).isNull() | every_field.isNull()).drop(CORRUPT)
-    rejects = documents.filter(F.col(CORRUPT).isNotNull() & every_field.isNotNull())
-    return good, rejects.select(SOURCE_PATH, F.col(CORRUPT).alias("raw"))
+    return F.col(CORRUPT).isNotNull() & F.json_object_keys(F.col(CORRUPT)).isNull() & every_field.isNotNull()
+
+
+def split_rejects(documents: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Readable documents, and path plus text of the others (S3)."""
+    rejected = is_reject(documents)
+    good = documents.filter(~rejected).drop(CORRUPT)
+    return good, documents.filter(rejected).select(SOURCE_PATH, F.col(CORRUPT).alias("raw"))
 
 
 def read_required(spark: SparkSession, path: str) -> DataFrame | None:
@@ -96,10 +134,13 @@ def read_layer(spark: SparkSession, lake: Lake, layer: str, table: str) -> DataF
 
 
 def open_or_init(spark: SparkSession, path: str, schema: str, initial: DataFrame | None = None) -> DataFrame:
-    """A stored CSV; when absent it is first written from ``initial``, or with the header only."""
+    """A stored CSV; when absent it is first written from ``initial``, or with the header only.
+
+    Line breaks inside quoted fields are read back, since the sink writes them.
+    """
     if not path_exists(spark, path):
         write_csv(spark.createDataFrame([], schema) if initial is None else initial, path)
-    return read_csv(spark, path, schema)
+    return read_csv(spark, path, schema, multi_line=True)
 
 
 _READERS = {

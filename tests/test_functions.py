@@ -42,7 +42,11 @@ def values(spark, rows, schema, column):
         ("99999999999999999999 năm", 0),
         ("99999999999999999999 năm 2 năm", 0),
         ("999999999 năm", 0),
-        ("2147483647 ngày", 0),
+        ("2147483647 ngày", 2147483647),
+        ("2147483648 ngày", 0),
+        ("1234567891 days", 1234567891),
+        ("00000000001234567891 days", 0),
+        ("٣ năm", 1095),
         ("999999999 ngày", 999999999),
         ("theo hãng", 0),
         ("tháng 12", 0),

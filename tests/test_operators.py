@@ -14,7 +14,6 @@ from lakemart.operators import (
     keep_one,
     primary_key_violations,
     select_existing,
-    spread,
     union_all,
 )
 from lakemart.plans import frontier
@@ -82,7 +81,8 @@ def test_heavy_key_is_split(spark):
         left = spark.range(0, 120_000, 1, 8).select(heavy.alias("k"), "id", F.sha2(F.col("id").cast("string"), 256).alias("t"))
         right = left.filter(F.col("id") % 2 == 0).select("k")
         once = spark.range(0, 120_000, 1, 8).filter("(id % 2 = 0 AND id % 3 <> 0) OR id = 7").withColumnRenamed("id", "k")
-        for unique, parent in ((True, once), (False, right)):
+        parents = ((True, once), (False, right), (False, right.distinct()), (False, keep_one(left.filter("id % 2 = 0").select("k", "id"), ["k"])))
+        for unique, parent in parents:
             kept = keep_known(left, parent, ["k"], parent_unique=unique)
             assert kept.agg(F.count("*")).first()[0] == 40_001 + 40_000
             kept.collect()
@@ -114,12 +114,6 @@ def test_project_and_union(spark):
     assert rows(union_all([a, b])) == [(1, "x", None), (None, "y", 2.0)]
 
 
-def test_spread_leaves_many_parts_alone(spark):
-    cores = spark.sparkContext.defaultParallelism
-    assert spread(spark.range(0, 10, 1, 1)).rdd.getNumPartitions() == cores
-    assert spread(spark.range(0, 100, 1, 3 * cores)).rdd.getNumPartitions() == 3 * cores
-
-
 def test_key_checks(spark):
     child = spark.createDataFrame([(1, 1), (1, 1), (2, None), (None, 3), (3, 9), (3, 9)], "a int, b int")
     assert rows(primary_key_violations(child, ["a", "b"])) == [

@@ -9,7 +9,7 @@ from lakemart import functions as L
 from lakemart.operators import foreign_key_violations, keep_known, keep_new, keep_one, primary_key_violations
 
 TOKENS = [
-    *("1", "2", "35", "0", "10", "007", "12345678901"),
+    *("1", "2", "35", "0", "10", "007", "12345678901", "1999999999", "2147483647", "٣"),
     *("năm", "NĂM", "year", "tháng", "Tháng", "month", "ngày", "days"),
     *("không", "No warranty", "trọn đời", "bảo hành", "và"),
     *(" ", "  ", "\u00a0", "\t", "\n", "-"),
