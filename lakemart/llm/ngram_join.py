@@ -34,6 +34,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -47,7 +48,7 @@ from lakemart.sources.paths import scratch_path
 
 #: Shingles per bucket of step 2 and per task of step 4.
 BUCKET_SHINGLES = 2 << 20
-CLUSTER_SHINGLES = 4 << 20
+CLUSTER_SHINGLES = 2 << 20
 SKETCH_BITS = 18
 BROADCAST_BYTES = 64 << 20
 #: Documents and shingles that step 2 counts at a time.
@@ -380,6 +381,26 @@ def _search_clusters(percent: int):
     return run
 
 
+#: Sets are wide rows: few to an Arrow batch, or the buffers on both sides of the Python workers grow large.
+_ARROW = {"spark.sql.execution.arrow.maxRecordsPerBatch": "1000", "spark.sql.execution.arrow.maxBytesPerBatch": str(8 << 20)}
+
+
+@contextmanager
+def _small_batches(spark: SparkSession):
+    """Small Arrow batches for the steps that run inside; the session's settings come back after them."""
+    before = {key: spark.conf.get(key, None) for key in _ARROW}
+    for key, value in _ARROW.items():
+        spark.conf.set(key, value)
+    try:
+        yield
+    finally:
+        for key, value in before.items():
+            if value is None:
+                spark.conf.unset(key)
+            else:
+                spark.conf.set(key, value)
+
+
 def _stored(frame: DataFrame, name: str) -> DataFrame:
     path = scratch_path(frame.sparkSession, name)
     frame.write.parquet(path)
@@ -469,21 +490,15 @@ def _links(sets: DataFrame, percent: int, cluster_shingles: int) -> DataFrame:
     return searched.select(F.expr("a div 2").alias("a"), F.expr("b div 2").alias("b"))
 
 
-def near_duplicates(
-    docs: DataFrame,
-    k: int = 5,
-    percent: int = 80,
-    text: str = "text",
-    doc_id: str = "doc_id",
-    cluster_shingles: int = CLUSTER_SHINGLES,
-) -> DataFrame:
-    """One row per document: ``doc_id, n_shingles, component_id``."""
+def _classes_and_links(
+    docs: DataFrame, k: int, percent: int, text: str, doc_id: str, cluster_shingles: int
+) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Stored tables: a row per document, a row per distinct set, and the component of every linked set."""
     rows = _documents(docs, text, doc_id)
     schema = "doc_id long, hash long, n_shingles long, d0 long, d1 long"
     keys = rows.select("doc_id", "hash", "text").mapInArrow(_digest_sets(k), schema)
     keys = _stored(keys.withColumn("row_no", F.monotonically_increasing_id()), "set-digests")
     total = keys.agg(F.sum("n_shingles")).first()[0] or 0
-    digest = F.struct("d0", "d1", "n_shingles")
     key = F.coalesce("doc_id", F.lit(-(2**63)))
     classes = _stored(
         keys.filter("n_shingles > 0")
@@ -505,6 +520,21 @@ def near_duplicates(
         "sets",
     )
     found = _stored(components(_links(sets, percent, cluster_shingles)).withColumnRenamed("id", "node"), "found")
+    return keys, classes, found
+
+
+def near_duplicates(
+    docs: DataFrame,
+    k: int = 5,
+    percent: int = 80,
+    text: str = "text",
+    doc_id: str = "doc_id",
+    cluster_shingles: int = CLUSTER_SHINGLES,
+) -> DataFrame:
+    """One row per document: ``doc_id, n_shingles, component_id``."""
+    with _small_batches(docs.sparkSession):
+        keys, classes, found = _classes_and_links(docs, k, percent, text, doc_id, cluster_shingles)
+    digest = F.struct("d0", "d1", "n_shingles")
     labelled = classes.join(found, "node", "left").withColumn("label", F.coalesce("component", "node"))
     joined = labelled.filter((F.col("n") > 1) | F.col("component").isNotNull())
     least = joined.groupBy("label").agg(F.min("least_id").alias("component_id"))
