@@ -2,14 +2,18 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakemart.functions import anchor_links, category_id_of, path_level, slug_of, titled
+from lakemart import fixed, schemas
+from lakemart.functions import anchor_links, category_id_of, path_level, slug_of, strip_prefix, titled
 from lakemart.operators.dedup import keep_one
 from lakemart.operators.filters import all_true
 from lakemart.operators.keys import keep_new
 from lakemart.operators.project import union_all
+from lakemart.plans.report import TableReport, publish
+from lakemart.sources.paths import list_files, path_exists, qualified
+from lakemart.sources.readers import open_or_init
 from lakemart.sources.writers import write_csv
 
 LEDGER_KEYS = ["pid", "seller_id"]
@@ -59,3 +63,29 @@ def category_links(pages: DataFrame, html: str = "html", container_class: str |
         .withColumns({"slug": slug_of(F.col("href")), "category_id": category_id_of(F.col("href"))})
         .drop("href")
     )
+
+
+def run_frontier(spark: SparkSession, listing: DataFrame, path: str, *fetched: str | Column) -> TableReport:
+    """Opens the ledger, appends what the listing has beyond it and was fetched whole; counts the new rows."""
+    ledger = open_or_init(spark, path, schemas.LEDGER)
+    fresh = new_candidates(listing, ledger)
+    done = fully_fetched(fresh, *fetched) if fetched else fresh
+    return TableReport("ledger", path, fixed.SUCCESS, append_to_ledger(done, ledger.columns, path))
+
+
+def run_inventory(spark: SparkSession, root: str, path: str) -> TableReport:
+    """Counts the folders of a stored tree from a listing of its files, whose contents are not read."""
+    rows = None
+    if path_exists(spark, root):
+        relative = strip_prefix(F.col("path"), qualified(spark, root) + "/")
+        rows = folder_counts(list_files(spark, root), relative)
+    return publish("inventory", path, rows)
+
+
+def run_category_links(
+    spark: SparkSession, pages: DataFrame, path: str, html: str = "html", container_class: str | None = None
+) -> TableReport:
+    """Opens the stored categories, or extracts them from the pages and stores them where there are none."""
+    links = category_links(pages, html, container_class).select("title", "slug", "category_id")
+    categories = open_or_init(spark, path, schemas.CATEGORIES_CSV, initial=links)
+    return TableReport("categories", path, fixed.SUCCESS, categories.count())

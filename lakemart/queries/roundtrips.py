@@ -163,6 +163,68 @@ def ledger_open_or_init(t: Tables) -> DataFrame:
     return ledger
 
 
+@query(
+    "B10 S11 J3 F7 U1 K7",
+    """
+    WITH listing AS (
+        SELECT l_partkey AS pid, l_suppkey AS seller_id, l_orderkey AS spid, l_linenumber, l_returnflag FROM lineitem),
+    first AS (SELECT DISTINCT pid, seller_id FROM listing WHERE l_returnflag = 'A')
+    SELECT 1 AS run, count(*) AS n_rows FROM first
+    UNION ALL SELECT 2, (SELECT count(*) FROM (
+        SELECT pid, seller_id FROM (SELECT *, row_number() OVER (PARTITION BY pid, seller_id
+                   ORDER BY spid, l_linenumber, l_returnflag) AS rn FROM listing)
+        WHERE rn = 1 AND l_linenumber < 6 AND spid > seller_id EXCEPT SELECT pid, seller_id FROM first))
+    UNION ALL SELECT 3, 0
+    """,
+)
+def frontier_runs(t: Tables) -> DataFrame:
+    """A first run over part of the listing, one over all of it, and the same once more, which adds nothing."""
+    path = t.scratch("frontier_runs")
+    listing = t.lineitem.select(
+        F.col("l_partkey").alias("pid"),
+        F.col("l_orderkey").alias("spid"),
+        F.col("l_suppkey").alias("seller_id"),
+        F.col("l_linenumber").cast("bigint").alias("category_id"),
+        F.col("l_returnflag").alias("slug"),
+    )
+    flags = (F.col("category_id") < 6, F.col("spid") > F.col("seller_id"))
+    reports = [frontier.run_frontier(t.spark, listing.filter(F.col("slug") == "A"), path)]
+    reports += [frontier.run_frontier(t.spark, listing, path, *flags) for _ in range(2)]
+    return t.spark.createDataFrame([(i, r.n_rows) for i, r in enumerate(reports, 1)], "run int, n_rows bigint")
+
+
+@query(
+    "B11 A5 S2",
+    """
+    WITH pairs AS (SELECT DISTINCT c_mktsegment, c_nationkey FROM customer)
+    SELECT 'c_mktsegment=' || c_mktsegment AS folder, count(*) AS n_subfolders FROM pairs GROUP BY c_mktsegment
+    UNION ALL SELECT NULL, count(*) FROM pairs
+    """,
+)
+def inventory_run(t: Tables) -> DataFrame:
+    root, path = t.scratch("inventory_tree"), t.scratch("inventory_run")
+    write_json(t.customer, root, partition_by=["c_mktsegment", "c_nationkey"])
+    return t.spark.read.parquet(frontier.run_inventory(t.spark, root, path).path)
+
+
+@query(
+    "B12 S11 K7 E18",
+    """
+    WITH links AS (
+        SELECT unnest(regexp_extract_all(html, '<a href="([^"]*)"', 1)) AS href FROM pages),
+    n AS (SELECT count(*) AS n FROM links WHERE starts_with(href, '/t'))
+    SELECT 1 AS run, n AS n_rows FROM n UNION ALL SELECT 2, n FROM n
+    """,
+)
+def category_runs(t: Tables) -> DataFrame:
+    """Categories from pages where none are stored; then from the store, whatever the pages."""
+    path = t.scratch("category_runs")
+    html = F.regexp_replace("html", '<a href="/t', '<a title="T" href="/t')
+    pages = t.pages.select(html.alias("html"))
+    reports = [frontier.run_category_links(t.spark, pages, path), frontier.run_category_links(t.spark, pages.filter("false"), path)]
+    return t.spark.createDataFrame([(i, r.n_rows) for i, r in enumerate(reports, 1)], "run int, n_rows bigint")
+
+
 @query("K8", "SELECT s_suppkey AS seller_id, s_name AS seller_name FROM supplier")
 def check_create_table_if_absent(t: Tables) -> DataFrame:
     location = t.scratch("table_if_absent")

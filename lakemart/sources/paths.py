@@ -33,6 +33,12 @@ def _hadoop(spark: SparkSession, path: str):
     return hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()), hadoop_path
 
 
+def qualified(spark: SparkSession, path: str) -> str:
+    """The path as file listings show it, with scheme and without a trailing slash."""
+    files, hadoop_path = _hadoop(spark, path)
+    return files.makeQualified(hadoop_path).toString()
+
+
 def path_exists(spark: SparkSession, path: str) -> bool:
     files, hadoop_path = _hadoop(spark, path)
     return files.exists(hadoop_path)
