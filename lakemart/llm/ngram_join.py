@@ -557,7 +557,7 @@ def keep_one_of_each(docs: DataFrame, k: int = 5, percent: int = 80, text: str =
     found = near_duplicates(docs, k, percent, text, doc_id)
     dropped = _stored(found.filter(F.col("component_id").isNotNull() & ~F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("id")).distinct(), "dropped")
     rows = packed(docs, F.col(doc_id).cast("long").alias("id"))
-    return unpacked(rows.join(dropped, "id", "left_anti").select("row"))
+    return unpacked(rows.join(_checked(dropped, 16), "id", "left_anti").select("row"))
 
 
 def _query_sql(k: int, percent: int) -> str:
