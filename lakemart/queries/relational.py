@@ -142,13 +142,13 @@ def semi_join_composite_key(t: Tables) -> DataFrame:
     "J3",
     """
     SELECT event_id, user_id, event_type, value FROM events a
-    WHERE NOT EXISTS (SELECT 1 FROM events b WHERE b.value > 30
+    WHERE NOT EXISTS (SELECT 1 FROM events b WHERE b.value > 160
                       AND b.user_id = a.user_id AND b.event_type = a.event_type)
     """,
 )
 def anti_join_ledger(t: Tables) -> DataFrame:
     keys = ["user_id", "event_type"]
-    seen = t.events.filter(F.col("value") > 30).select(*keys)
+    seen = t.events.filter(F.col("value") > 160).select(*keys)
     return keep_new(t.events.select("event_id", *keys, "value"), seen, keys, known_unique=False)
 
 

@@ -55,6 +55,9 @@ def prepare_for_jdbc(df: DataFrame, keep_null_fields: bool = False) -> DataFrame
 def write_jdbc(df: DataFrame, target: JdbcTarget, table: str, mode: str = "overwrite") -> int:
     """Load a table over JDBC; an empty input writes nothing (K3).
 
+    Load from stored tables: the input is scanned twice, and ``partitions``
+    bounds the tasks of its last stage.  Appending is at least once.
+
     Each task commits its own rows, so a task that runs again after its
     commit could load them twice.  A full load is therefore compared with the
     table afterwards.
