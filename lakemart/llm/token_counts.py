@@ -20,6 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lakemart.llm.token_ids import default_tokenizer, encoded
+from lakemart.sources.paths import scratch_path
 
 RANGE = 1024
 
@@ -34,14 +35,20 @@ def _count(tokenizer: str):
 
 
 def length_histogram(docs: DataFrame, by: Sequence[str] = (), tokenizer: str | None = None, text: str = "text") -> DataFrame:
-    """``n_tokens, n_documents`` per encoded length, within the groups of ``by`` if any."""
+    """``n_tokens, n_documents`` per encoded length, within the groups of ``by`` if any.
+
+    A stored table: whatever is asked of it, documents are encoded once.
+    """
     groups = [F.col(f"`{name}`").alias(f"group_{i}") for i, name in enumerate(by)]
     rows = docs.select(F.col(f"`{text}`").alias("text"), *groups)
     fields = [f"{f.name} {f.dataType.simpleString()}" for f in rows.schema.fields[1:]]
     counted = rows.mapInArrow(_count(tokenizer or default_tokenizer()), ", ".join([*fields, "n_tokens long"]))
     names = [f"group_{i}" for i in range(len(by))]
     histogram = counted.groupBy(*names, "n_tokens").agg(F.count(F.lit(1)).alias("n_documents"))
-    return histogram.select(*[F.col(n).alias(b) for n, b in zip(names, by, strict=True)], "n_tokens", "n_documents")
+    path = scratch_path(docs.sparkSession, "length-histogram")
+    histogram.write.parquet(path)
+    stored = docs.sparkSession.read.parquet(path)
+    return stored.select(*[F.col(n).alias(b) for n, b in zip(names, by, strict=True)], "n_tokens", "n_documents")
 
 
 def suffix_sums(histogram: DataFrame, by: Sequence[str] = ()) -> DataFrame:
