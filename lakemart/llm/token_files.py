@@ -29,7 +29,7 @@ from lakemart.sources.paths import scratch_path
 
 #: Writer settings: what the format is chosen for.
 ORC_OPTIONS = {
-    "orc.compress": "ZSTD",
+    "orc.compress": "SNAPPY",
     "orc.bloom.filter.columns": "doc_id",
     "orc.bloom.filter.fpp": "0.01",
     "orc.create.index": "true",
