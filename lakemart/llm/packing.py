@@ -16,6 +16,7 @@ empty result.  Extra columns are not carried.
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -34,9 +35,16 @@ def piece_lengths(n: int, longest: int = LONGEST) -> list[int]:
     return [longest] * (n // longest) + [1 << bit for bit in range(longest.bit_length() - 1, -1, -1) if rest >> bit & 1]
 
 
-def _cut(tokenizer: str, longest: int):
+def _as_lists(data: list[bytes]) -> pa.Array:
+    offsets = np.concatenate([[0], np.cumsum([len(x) // 4 for x in data])])
+    return pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(np.frombuffer(b"".join(data), "<i4")))
+
+
+def _cut(tokenizer: str, longest: int, lists: bool):
+    """Pieces of each document, their ids as binary, or as lists with a checksum of the binary form."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch, ids in encoded(tokenizer, batches):
+        for batch, ids in encoded(tokenizer, batches, rows=128):
             row, start, length, total, data = [], [], [], [], []
             for i, whole in enumerate(ids):
                 n, at = len(whole) // 4, 0
@@ -47,26 +55,28 @@ def _cut(tokenizer: str, longest: int):
                     total.append(n)
                     data.append(whole[4 * at : 4 * (at + size)])
                     at += size
-            yield pa.RecordBatch.from_arrays(
-                [
-                    batch.column("doc_id").take(pa.array(row, pa.int64())),
-                    *[pa.array(c, pa.int64()) for c in (start, length, total)],
-                    pa.array(data, pa.binary()),
-                ],
-                names=["doc_id", "start", "length", "doc_tokens", "ids"],
-            )
+            columns = {
+                "doc_id": batch.column("doc_id").take(pa.array(row, pa.int64())),
+                "start": pa.array(start, pa.int64()),
+                "length": pa.array(length, pa.int64()),
+                "doc_tokens": pa.array(total, pa.int64()),
+                "ids": _as_lists(data) if lists else pa.array(data, pa.binary()),
+            }
+            if lists:
+                columns["ids_crc32"] = pa.array([zlib.crc32(x) for x in data], pa.int64())
+            yield pa.RecordBatch.from_arrays(list(columns.values()), names=list(columns))
 
     return run
 
 
-def _unpacked_ids(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        data = [np.frombuffer(x.as_buffer(), "<u4").astype(np.int32) for x in batch.column("ids")]
-        ids = pa.ListArray.from_arrays(
-            pa.array(np.concatenate([[0], np.cumsum([len(x) for x in data])]), pa.int32()),
-            pa.array(np.concatenate(data) if data else np.zeros(0, np.int32)),
-        )
-        yield batch.set_column(batch.schema.get_field_index("ids"), "ids", ids)
+def _pieces(docs: DataFrame, tokenizer: str | None, longest: int, text: str, doc_id: str, lists: bool) -> DataFrame:
+    if longest < 1 or longest & (longest - 1):
+        raise ValueError("the longest sequence has to be a power of two")
+    rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
+    ids = "ids array<int>, ids_crc32 long" if lists else "ids binary"
+    schema = f"doc_id long, start long, length long, doc_tokens long, {ids}"
+    pieces = rows.mapInArrow(_cut(tokenizer or default_tokenizer(), longest, lists), schema)
+    return pieces.withColumns({"sequence_id": F.monotonically_increasing_id(), "offset": F.lit(0).cast("long")})
 
 
 def pack(docs: DataFrame, tokenizer: str | None = None, longest: int = LONGEST, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
@@ -75,12 +85,7 @@ def pack(docs: DataFrame, tokenizer: str | None = None, longest: int = LONGEST,
     ``ids`` are little-endian unsigned 32-bit numbers as binary, ``length`` is
     the bucket.
     """
-    if longest < 1 or longest & (longest - 1):
-        raise ValueError("the longest sequence has to be a power of two")
-    rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
-    schema = "doc_id long, start long, length long, doc_tokens long, ids binary"
-    pieces = rows.mapInArrow(_cut(tokenizer or default_tokenizer(), longest), schema)
-    return pieces.withColumns({"sequence_id": F.monotonically_increasing_id(), "offset": F.lit(0).cast("long")})
+    return _pieces(docs, tokenizer, longest, text, doc_id, lists=False)
 
 
 def crc(ids: Column) -> Column:
@@ -93,11 +98,11 @@ def pack_report(docs: DataFrame) -> DataFrame:
     return pieces.select("doc_id", "start", "length", crc(F.col("ids")).alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
 
 
-def training_sequences(docs: DataFrame, tokenizer: str | None = None, longest: int = LONGEST) -> DataFrame:
-    """The pieces with ``ids`` as a list of numbers, and their checksum."""
-    pieces = pack(docs, tokenizer, longest).withColumn("ids_crc32", crc(F.col("ids")))
-    schema = "doc_id long, start long, length long, doc_tokens long, ids array<int>, sequence_id long, offset long, ids_crc32 long"
-    return pieces.mapInArrow(_unpacked_ids, schema)
+def training_sequences(
+    docs: DataFrame, tokenizer: str | None = None, longest: int = LONGEST, text: str = "text", doc_id: str = "doc_id"
+) -> DataFrame:
+    """The pieces with ``ids`` as a list of numbers, and ``ids_crc32`` of their binary form."""
+    return _pieces(docs, tokenizer, longest, text, doc_id, lists=True)
 
 
 def write_buckets(pieces: DataFrame, path: str) -> None:

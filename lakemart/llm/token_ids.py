@@ -21,8 +21,8 @@ import pyarrow as pa
 #: End of a document.
 END_ID = 0
 END = np.array([END_ID], dtype="<u4").tobytes()
-#: Pieces, and words, kept per worker at most, some 300 MB together; a full table is emptied.
-KEPT_PIECES = 900_000
+#: Pieces, and words, kept per worker at most, some 200 MB together; a full table is emptied.
+KEPT_PIECES = 500_000
 _LINE_BREAK = "\n"
 _PLAIN_SPACE = " \n"
 #: What a text has if its white space is not all single spaces and line breaks; and the mark that cuts pieces.
