@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lakemart.llm.token_ids import default_tokenizer, encoded
+from lakemart.llm.token_ids import KEPT_PIECES, MANY_PIECES, default_tokenizer, encoded
 
 LONGEST = 1024
 
@@ -44,7 +44,7 @@ def _cut(tokenizer: str, longest: int, lists: bool):
     """Pieces of each document, their ids as binary, or as lists with a checksum of the binary form."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch, ids in encoded(tokenizer, batches, rows=128):
+        for batch, ids in encoded(tokenizer, batches, rows=128, kept=KEPT_PIECES if lists else MANY_PIECES):
             row, start, length, total, data = [], [], [], [], []
             for i, whole in enumerate(ids):
                 n, at = len(whole) // 4, 0

@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lakemart.llm.token_ids import default_tokenizer, encoded
+from lakemart.llm.token_ids import MANY_PIECES, default_tokenizer, encoded
 from lakemart.sources.paths import scratch_path
 
 RANGE = 1024
@@ -27,7 +27,7 @@ RANGE = 1024
 
 def _count(tokenizer: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch, ids in encoded(tokenizer, batches):
+        for batch, ids in encoded(tokenizer, batches, kept=MANY_PIECES):
             lengths = pa.array([len(x) // 4 for x in ids], pa.int64())
             yield pa.RecordBatch.from_arrays([*(batch.column(i) for i in range(1, batch.num_columns)), lengths], names=[*batch.schema.names[1:], "n_tokens"])
 

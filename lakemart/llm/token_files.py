@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakemart.llm.token_ids import default_tokenizer, encoded
+from lakemart.llm.token_ids import MANY_PIECES, default_tokenizer, encoded
 from lakemart.sources.paths import scratch_path
 
 #: Writer settings: what the format is chosen for.
@@ -44,7 +44,7 @@ def _encode(tokenizer: str):
         from pyspark import TaskContext
 
         part, start = TaskContext.get().partitionId(), 0
-        for batch, ids in encoded(tokenizer, batches):
+        for batch, ids in encoded(tokenizer, batches, kept=MANY_PIECES):
             lengths = np.array([len(x) // 4 for x in ids], dtype=np.int64)
             ends = start + np.cumsum(lengths)
             lists = pa.ListArray.from_arrays(

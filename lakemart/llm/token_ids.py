@@ -21,8 +21,10 @@ import pyarrow as pa
 #: End of a document.
 END_ID = 0
 END = np.array([END_ID], dtype="<u4").tobytes()
-#: Pieces, and words, kept per worker at most, some 200 MB together; a full table is emptied.
-KEPT_PIECES = 500_000
+#: Pieces, and words, kept per worker at most, some 100 MB together; a full table is emptied.
+KEPT_PIECES = 250_000
+#: The same where a worker does little else.
+MANY_PIECES = 900_000
 _LINE_BREAK = "\n"
 _PLAIN_SPACE = " \n"
 #: What a text has if its white space is not all single spaces and line breaks; and the mark that cuts pieces.
@@ -39,15 +41,16 @@ def default_tokenizer() -> str:
 class _Pieces(dict):
     """Ids of a piece; what is not there yet is asked of the library and kept."""
 
-    def __init__(self, tokenizer) -> None:
+    def __init__(self, tokenizer, kept: int) -> None:
         super().__init__()
+        self.kept = kept
         self.tokenizer, self.model = tokenizer, tokenizer.model
         self.words: dict[str, bytes] = {}
         self.ids = [i.to_bytes(4, "little") for i in range(tokenizer.get_vocab_size())]
         self.symbols = _byte_symbols(tokenizer.pre_tokenizer)
 
     def __missing__(self, piece: str) -> bytes:
-        if len(self) >= KEPT_PIECES:
+        if len(self) >= self.kept:
             self.clear()
         core = piece.rstrip(string.punctuation)
         if core.removeprefix(" ").isalpha():
@@ -63,7 +66,7 @@ class _Pieces(dict):
         """Ids of what the tokenizer does not split."""
         found = self.words.get(word)
         if found is None:
-            if len(self.words) >= KEPT_PIECES:
+            if len(self.words) >= self.kept:
                 self.words.clear()
             symbols = word.encode().decode("latin-1").translate(self.symbols)
             found = self.words[word] = b"".join([self.ids[token.id] for token in self.model.tokenize(symbols)])
@@ -82,7 +85,7 @@ def _byte_symbols(pre_tokenizer) -> dict[int, str]:
 class Encoder:
     """Encodes lists of texts; special tokens in a text are ordinary text."""
 
-    def __init__(self, path: str) -> None:
+    def __init__(self, path: str, kept: int = KEPT_PIECES) -> None:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
         from tokenizers.models import BPE
@@ -93,7 +96,7 @@ class Encoder:
         before = self.tokenizer.pre_tokenizer
         splits = isinstance(before, ByteLevel) and [p for p, _ in before.pre_tokenize_str("a b")] == ["a", before.pre_tokenize_str(" b")[0][0]]
         alone = splits and self.tokenizer.normalizer is None and isinstance(self.tokenizer.model, BPE)
-        self.pieces = _Pieces(self.tokenizer) if alone else None
+        self.pieces = _Pieces(self.tokenizer, kept) if alone else None
 
     def _whole(self, texts: list[str]) -> list[bytes]:
         encoded = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
@@ -115,13 +118,15 @@ def _pieces(text: str) -> list[str] | None:
 
 
 @cache
-def encoder(path: str) -> Encoder:
-    return Encoder(path)
+def encoder(path: str, kept: int = KEPT_PIECES) -> Encoder:
+    return Encoder(path, kept)
 
 
-def encoded(path: str, batches: Iterator[pa.RecordBatch], text: str = "text", rows: int = 512) -> Iterator[tuple[pa.RecordBatch, list[bytes]]]:
+def encoded(
+    path: str, batches: Iterator[pa.RecordBatch], text: str = "text", rows: int = 512, kept: int = KEPT_PIECES
+) -> Iterator[tuple[pa.RecordBatch, list[bytes]]]:
     """Slices of the input beside the ids of their texts, each with the end id; null counts as empty."""
-    encode = encoder(path).encode
+    encode = encoder(path, kept).encode
     for batch in batches:
         for start in range(0, batch.num_rows, rows):
             part = batch.slice(start, rows)

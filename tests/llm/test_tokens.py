@@ -39,10 +39,9 @@ def test_encoder_agrees_with_the_library(library):
     assert [x + token_ids.END for x in encoder.encode(texts)] == [library(t).tobytes() for t in texts]
 
 
-def test_encoder_forgets_and_agrees(library, monkeypatch):
-    monkeypatch.setattr(token_ids, "KEPT_PIECES", 5)
+def test_encoder_forgets_and_agrees(library):
     texts = [edge.prose(i, 30) for i in range(4)]
-    assert [x + token_ids.END for x in token_ids.Encoder(token_ids.default_tokenizer()).encode(texts)] == [library(t).tobytes() for t in texts]
+    assert [x + token_ids.END for x in token_ids.Encoder(token_ids.default_tokenizer(), 5).encode(texts)] == [library(t).tobytes() for t in texts]
 
 
 def test_other_tokenizers_go_whole():
