@@ -52,7 +52,7 @@ CLUSTER_SHINGLES = 2 << 20
 SKETCH_BITS = 18
 BROADCAST_BYTES = 64 << 20
 #: Documents and shingles that step 2 counts at a time.
-_RUN_DOCS, _RUN_SHINGLES = 60_000, 1 << 20
+_RUN_DOCS, _RUN_SHINGLES = 60_000, 1 << 19
 
 
 def _blob(values: np.ndarray) -> bytes:
@@ -256,6 +256,17 @@ def _read_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBat
             yield part, np.concatenate(sets), np.concatenate([[0], np.cumsum([len(x) for x in sets])])
 
 
+def _read_classes(percent: int):
+    """The sets in their classes, keyed for step 2; in one Python step with it."""
+
+    def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray]]:
+        for part, values, first in _read_sets(_in_classes(percent)(batches)):
+            keys = [part.column("node"), pa.array(np.zeros(part.num_rows, dtype=np.int64))]
+            yield pa.RecordBatch.from_arrays(keys, names=["key", "hash"]), values, first
+
+    return sets
+
+
 def _slot(values: np.ndarray) -> np.ndarray:
     return (mix(values + np.uint64(7)) >> np.uint64(64 - SKETCH_BITS)).astype(np.int64)
 
@@ -458,8 +469,7 @@ def _links(sets: DataFrame, percent: int, cluster_shingles: int) -> DataFrame:
     schema = "node long, n long, shingles binary"
     classed = sets.mapInArrow(_in_classes(percent), schema)
     total = 2 * (sets.agg(F.sum("n")).first()[0] or 0)
-    keyed = classed.select(F.col("node").alias("key"), F.lit(0).cast("long").alias("hash"), "shingles")
-    left = _stored(_suspects(keyed, _read_sets, percent, total).select(F.col("key").alias("node")), "left")
+    left = _stored(_suspects(sets, _read_classes(percent), percent, total).select(F.col("key").alias("node")), "left")
     units = _stored(classed.join(_checked(left, 16), "node"), "units")
     counts = np.zeros(1 << SKETCH_BITS, dtype=np.int64)
     slots = units.select("shingles").mapInArrow(_count_slots, "slot long, n long").groupBy("slot").agg(F.sum("n").alias("n"))
