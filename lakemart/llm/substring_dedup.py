@@ -20,8 +20,11 @@ are removed.  Suffixes begin at words.
 5. The ranges found go back to their documents, which drop the words they cover.
 
 Map tasks combine before they send: of equal runs of windows in a task only the
-first travels, the others, and then the first too, are known to repeat.  A
-passage that a third of all documents share therefore costs a row per task.
+first travels, the others, and then the first too, are known to repeat.  That a
+range of a text repeats is sent once per task, however many copies of the text
+it holds, and dealt by stretch of the text and task, not by the text.  A passage that
+a third of all documents share therefore travels once per task, and a text that
+a third of them are costs a row per task and run.
 
 Words are compared by 64-bit codes, whole windows and runs by 128 bits.  Results
 hang on a text's content only, so they are keyed by 128 bits of its hash.
@@ -50,8 +53,10 @@ PREFIX = 8
 GROUP_LIMIT = 20_000
 #: Words that step 4 sorts at a time, unless one prefix alone has more.
 BUILD_WORDS = 1 << 20
-#: Equal runs that a map task remembers, at most; forgetting one costs a row, not a result.
+#: Equal runs, and ranges known to repeat, that a map task remembers, at most; forgetting one costs a row, not a result.
 _REMEMBERED = 200_000
+#: Words of a text whose known ranges a map task sends under one key.
+_STRETCH = 4_096
 
 
 def _anchors(words: Words, window: int, prefix: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -123,7 +128,20 @@ def _deal_runs(window: int, prefix: int):
     """Step 3: one row per run of windows whose prefix repeats, less what this task has sent already."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from pyspark import TaskContext
+
+        task = TaskContext.get().partitionId()
         sent: dict[tuple[int, int], tuple[int, int, int, int] | None] = {}
+        known: set[tuple[int, int, int, int]] = set()
+
+        def repeats(me: tuple[int, int, int, int]) -> Iterator[tuple]:
+            """The row that says so, unless this task has sent it."""
+            if me not in known:
+                if len(known) >= _REMEMBERED:
+                    known.clear()
+                known.add(me)
+                yield _KNOWN, hash((me[0], me[2] // _STRETCH, task)), *me, None
+
         for batch in small_batches(batches, "text"):
             words = Words(batch.column("text"))
             starts, anchors, codes = _anchors(words, window, prefix)
@@ -162,9 +180,9 @@ def _deal_runs(window: int, prefix: int):
                 begin = start - int(words.first[t])
                 me = (int(h1[t]), int(h2[t]), begin, n)
                 if (a, b) in sent:
-                    out.append((_KNOWN, me[0], *me, None))
+                    out += repeats(me)
                     if (before := sent[a, b]) is not None:
-                        out.append((_KNOWN, before[0], *before, None))
+                        out += repeats(before)
                         sent[a, b] = None
                     continue
                 if len(sent) >= _REMEMBERED:
@@ -285,7 +303,8 @@ def _build_trees(window: int):
                     pair = pair.reshape(-1)
                     repeated = np.bincount(pair)[pair] > 1
                 else:
-                    repeated = np.ones(int(n.sum()), dtype=bool)
+                    yield pa.RecordBatch.from_arrays([pa.array(c) for c in (h1, h2, start, n)], names=["h1", "h2", "start", "n"])
+                    continue
                 if (out := found(h1, h2, start, n, repeated)) is not None:
                     yield out
 

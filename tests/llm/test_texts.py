@@ -143,6 +143,26 @@ def test_removal_of_edge_documents(docs):
     assert substring_dedup.remove_repeats(docs.filter("false")).count() == 0
 
 
+def test_copies_of_a_text_are_told_once_per_task_and_dealt_apart(spark):
+    text, window, prefix = edge.prose(21, 400), 35, 8
+    batch = pa.RecordBatch.from_arrays([pa.array([1]), pa.array([text.encode()])], names=["h1", "text"])
+    (found,) = substring_dedup._count_prefixes(window, prefix)(iter([batch]))
+    lists = [(p, False) for p in found.column("prefix").to_pylist()]
+    schema = "h1 long, h2 long, text binary, prefixes array<struct<prefix:bigint,frequent:boolean>>"
+    copies = spark.createDataFrame([(1, 2, bytearray(text.encode()), lists)] * 300, schema).repartition(3)
+    rows = copies.mapInArrow(substring_dedup._deal_runs(window, prefix), substring_dedup._SCHEMA).collect()
+    known = [r for r in rows if r["kind"] == substring_dedup._KNOWN]
+    ranges = {(r["h1"], r["h2"], r["start"], r["n"]) for r in known}
+    assert sum(n for *_, n in ranges) == 400 - window + 1
+    assert len(known) == 3 * len(ranges) and sorted(Counter(r["prefix"] for r in known).values()) == [len(ranges)] * 3
+
+
+def test_removal_of_many_copies(spark):
+    rows = [(i, edge.prose(22 + i % 3 * (i % 7 == 0), 90)) for i in range(200)] + [(900, edge.prose(50, 60))]
+    frame = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    _check_removal(rows, substring_dedup.remove_repeats(frame).collect(), 35)
+
+
 def test_groups_are_never_split():
     rows = [(k, b"x" * 50) for k in range(40) for _ in range(1 + k % 7 * 30)]
     table = pa.table({"k": pa.array([r[0] for r in rows], pa.int64()), "t": pa.array([r[1] for r in rows])})
