@@ -38,7 +38,7 @@ from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakemart.llm.common import packed, salted_join, text_or_empty, unpacked
@@ -517,7 +517,7 @@ def _classes_and_links(
             F.min("row_no").alias("node"),
             F.min("doc_id").alias("least_id"),
             F.count(F.lit(1)).alias("n"),
-            F.min(F.struct(key.alias("key"), "hash")).alias("first"),
+            F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), key.alias("key"), "hash")).alias("first"),
         ),
         "set-classes",
     )
@@ -533,6 +533,19 @@ def _classes_and_links(
     return keys, classes, found
 
 
+def _digest() -> Column:
+    return F.struct("d0", "d1", "n_shingles")
+
+
+def _named(classes: DataFrame, found: DataFrame) -> DataFrame:
+    """The sets that are linked, or held twice: ``digest, component_id``, and ``kept``, the document that stands for the component."""
+    labelled = classes.join(found, "node", "left").withColumn("label", F.coalesce("component", "node"))
+    joined = labelled.filter((F.col("n") > 1) | F.col("component").isNotNull())
+    least = joined.groupBy("label").agg(F.min("least_id").alias("component_id"), F.min("first").alias("kept"))
+    named = salted_join(joined, least, "label", F.xxhash64("node"), "inner", 8)
+    return named.select(_digest().alias("digest"), "component_id", "kept", F.lit(True).alias("named"))
+
+
 def near_duplicates(
     docs: DataFrame,
     k: int = 5,
@@ -544,13 +557,8 @@ def near_duplicates(
     """One row per document: ``doc_id, n_shingles, component_id``."""
     with _small_batches(docs.sparkSession):
         keys, classes, found = _classes_and_links(docs, k, percent, text, doc_id, cluster_shingles)
-    digest = F.struct("d0", "d1", "n_shingles")
-    labelled = classes.join(found, "node", "left").withColumn("label", F.coalesce("component", "node"))
-    joined = labelled.filter((F.col("n") > 1) | F.col("component").isNotNull())
-    least = joined.groupBy("label").agg(F.min("least_id").alias("component_id"))
-    named = salted_join(joined, least, "label", F.xxhash64("node"), "inner", 8)
-    named = named.select(digest.alias("digest"), "component_id", F.lit(True).alias("named"))
-    documents = keys.select("doc_id", "n_shingles", digest.alias("digest"), "row_no")
+    named = _named(classes, found).drop("kept")
+    documents = keys.select("doc_id", "n_shingles", _digest().alias("digest"), "row_no")
     result = salted_join(documents, named, "digest", F.xxhash64("row_no"), "left", 8)
     return result.select(
         "doc_id", "n_shingles", F.when(F.col("named"), F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id")
@@ -558,16 +566,37 @@ def near_duplicates(
 
 
 def keep_one_of_each(docs: DataFrame, k: int = 5, percent: int = 80, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
-    """Documents with one of each component, the one whose id names it; all columns kept.
-
-    Documents without words are linked with nothing and stay.  Rows that share
-    the id of a dropped document are dropped with it only if their text's set is
-    in the same component.
+    """Documents with one row of each component, the one whose id names it; all columns kept.
+
+    Rows are told apart by id and text, so rows that share the id of a dropped
+    document are dropped with it only if their text's set is in the same
+    component, and a null id is dropped like others.  Where texts share the
+    smallest id, or all ids are null, a hash of the text decides; where rows
+    share both, a hash of their whole content.  Documents without words are
+    linked with nothing and stay.
     """
-    found = near_duplicates(docs, k, percent, text, doc_id)
-    dropped = _stored(found.filter(F.col("component_id").isNotNull() & ~F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("id")).distinct(), "dropped")
-    rows = packed(docs, F.col(doc_id).cast("long").alias("id"))
-    return unpacked(rows.join(_checked(dropped, 16), "id", "left_anti").select("row"))
+    with _small_batches(docs.sparkSession):
+        keys, classes, found = _classes_and_links(docs, k, percent, text, doc_id, CLUSTER_SHINGLES)
+    identity = F.coalesce("doc_id", F.lit(-(2**63)))
+    documents = keys.select(identity.alias("key"), "hash", _digest().alias("digest"), "row_no")
+    linked = salted_join(documents, _named(classes, found).select("digest", "kept"), "digest", F.xxhash64("row_no"), "inner", 8)
+    dropped = (F.col("key") != F.col("kept.key")) | (F.col("hash") != F.col("kept.hash"))
+    counted = linked.groupBy("key", "hash", dropped.alias("dropped")).agg(F.count(F.lit(1)).alias("n")).filter("dropped or n > 1")
+    counted = _stored(counted.select("key", "hash", "dropped"), "dropped")
+    gone, again = counted.filter("dropped").select("key", "hash"), counted.filter("not dropped").select("key", "hash")
+    identity = F.col(doc_id).cast("long")
+    rows = packed(docs, F.coalesce(identity, F.lit(-(2**63))).alias("key"), F.xxhash64(text_or_empty(text)).alias("hash"))
+    left = rows.join(_checked(gone, 32), ["key", "hash"], "left_anti")
+    if again.isEmpty():
+        return unpacked(left.select("row"))
+    again = _checked(again, 32)
+    order = "row.`{}` IS NULL, xxhash64(to_json(row))".format(doc_id)
+    one = (
+        left.join(again, ["key", "hash"], "left_semi")
+        .withColumn("place", F.expr(f"row_number() OVER (PARTITION BY key, hash ORDER BY {order})"))
+        .filter("place = 1")
+    )
+    return unpacked(left.join(again, ["key", "hash"], "left_anti").select("row").unionAll(one.select("row")))
 
 
 def _query_sql(k: int, percent: int) -> str:

@@ -96,6 +96,33 @@ def test_join_of_edge_documents(docs):
     assert ngram_join.keep_one_of_each(docs.filter("false")).count() == 0
 
 
+def test_one_row_of_each_component_is_kept(spark):
+    def near(seed: int, place: int) -> str:
+        w = edge.prose(seed, 120).split()
+        w[place] = "other"
+        return " ".join(w)
+
+    a, b, c, d = (edge.prose(seed, 120) for seed in (31, 32, 33, 34))
+    rows = [(3, a, 0), (5, near(31, 3), 0), (5, b, 0), (None, near(31, 60), 0)]  # id 5 twice, one a near copy; a near copy without id
+    rows += [(None, c, 0), (None, near(33, 3), 0), (None, near(33, 9), 0)]  # a group of null ids
+    rows += [(8, d, 1), (8, d, 2), (8, near(34, 3), 0), (9, near(34, 3), 0)]  # the smallest id shared, with one text and with two
+    rows += [(3, "", 0), (None, None, 0), (None, None, 0), (None, edge.prose(35, 90), 0)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, row int").repartition(4)
+    kept = [tuple(r) for r in ngram_join.keep_one_of_each(frame).collect()]
+    assert Counter(kept) == Counter(map(tuple, ngram_join.keep_one_of_each(frame.repartition(3)).collect()))
+    groups = [{a, near(31, 3), near(31, 60)}, {c, near(33, 3), near(33, 9)}, {d, near(34, 3)}]
+    found = [[r for r in kept if r[1] in g] for g in groups]
+    assert found[0] == [(3, a, 0)] and len(found[1]) == 1 and [r[0] for r in found[2]] == [8]
+    assert Counter(r for r in kept if not any(r[1] in g for g in groups)) == Counter([(5, b, 0), *rows[-4:]])
+
+
+def test_one_of_repeated_rows_is_kept(spark):
+    text = edge.prose(36, 120)
+    rows = [(8, text, i) for i in range(40)] + [(None, text, 40), (9, text, 41), (8, edge.prose(37, 90), 42)]
+    kept = ngram_join.keep_one_of_each(spark.createDataFrame(rows, "doc_id long, text string, row int").repartition(4)).collect()
+    assert Counter((r["doc_id"], r["text"]) for r in kept) == Counter([(8, text), (8, rows[-1][1])])
+
+
 def test_search_reaches_long_chains():
     chain = [np.arange(i, i + 40, dtype=np.uint64) for i in range(30)]
     links = ngram_join.spanning_links(np.arange(30), chain, 90)
