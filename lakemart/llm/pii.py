@@ -14,7 +14,7 @@ pseudonyms, nothing that grows.
 | --- | --- | --- |
 | card | 13 to 19 digits, plain or in groups, Luhn digit right | all digits but the last, which is computed anew |
 | phone | country code in front or not, ten digits in groups | the ten digits |
-| ssn | ddd-dd-dddd in the ranges issued | the three numbers inside their ranges |
+| ssn | ddd-dd-dddd of areas 001-665 and 667-899, group and serial above 0 | the three numbers inside their ranges |
 | ip | four octets up to 255 | the 32 bits |
 | date | yyyy-mm-dd, dd/mm/yyyy, dd.mm.yyyy from 1900-01-01 | the day, inside 270 * 270 days |
 | email | name@host | letters and digits of the name; case and other characters stay |
@@ -172,11 +172,13 @@ def _date(found: Column, key: str, back: bool) -> Column:
 
 def _ssn(found: Column, key: str, back: bool) -> Column:
     area, group, serial = (F.split(found, "-")[i].cast("long") for i in range(3))
-    valid = area.between(1, 665) & (group >= 1) & (serial >= 1)
-    left, right = F.lit(665 * 99).cast("long"), F.lit(9999).cast("long")
-    new = feistel(((area - 1) * 99 + group - 1) * 9999 + serial - 1, left, right, key, F.lit("ssn"), back)
+    valid = area.between(1, 899) & (area != 666) & (group >= 1) & (serial >= 1)
+    left, right = F.lit(898 * 99).cast("long"), F.lit(9999).cast("long")
+    place = F.when(area > 666, area - 2).otherwise(area - 1)  # 666 is no area
+    new = feistel((place * 99 + group - 1) * 9999 + serial - 1, left, right, key, F.lit("ssn"), back)
     high = F.call_function("div", new, right)
-    parts = (F.call_function("div", high, F.lit(99)) + 1, F.pmod(high, F.lit(99)) + 1, F.pmod(new, right) + 1)
+    place = F.call_function("div", high, F.lit(99))
+    parts = (F.when(place >= 665, place + 2).otherwise(place + 1), F.pmod(high, F.lit(99)) + 1, F.pmod(new, right) + 1)
     text = F.concat_ws("-", *[F.lpad(p.cast("string"), w, "0") for p, w in zip(parts, (3, 2, 4), strict=True)])
     return F.when(valid, text)
 

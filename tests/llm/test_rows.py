@@ -176,3 +176,17 @@ def test_pseudonyms_are_one_to_one(spark):
     names = spark.range(676).select(F.concat(F.char(97 + F.col("id") % 26), F.char((97 + F.floor(F.col("id") / 26)).cast("long")), F.lit("@a.org")).alias("text"))
     got = pii.pseudonymise(names, "k").filter("n_email = 1")
     assert got.select("text").distinct().count() == 676
+
+
+def test_social_security_numbers_of_all_areas(spark):
+    areas = spark.range(1000).select("id", F.concat(F.lpad(F.col("id").cast("string"), 3, "0"), F.lit("-45-6789")).alias("text"))
+    got = pii.pseudonymise(areas, "k")
+    out = {r["id"]: r for r in got.collect()}
+    valid = {a for a in range(1, 900) if a != 666}
+    assert {a for a, r in out.items() if r["n_ssn"]} == valid
+    for a in (665, 666, 667, 772, 899, 900):
+        assert (out[a]["text"] == f"{a}-45-6789") == (a in (666, 900)), a
+    assert {int(out[a]["text"][:3]) for a in valid} <= valid and len({out[a]["text"] for a in valid}) == 898
+    assert any(int(out[a]["text"][:3]) > 666 for a in valid)
+    back = pii.restore(got.select("id", "text"), "k").collect()
+    assert {r["id"]: r["text"] for r in back} == {r["id"]: r["text"] for r in areas.collect()}
