@@ -6,7 +6,19 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lakemart.llm import exact_dedup, mixing, ngram_join, packing, pii, quality_rules, substring_dedup, token_counts, token_files, warc
+from lakemart.llm import (
+    exact_dedup,
+    mixing,
+    ngram_join,
+    packing,
+    pii,
+    quality_rules,
+    substring_dedup,
+    token_counts,
+    token_files,
+    vector_codes,
+    warc,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -29,6 +41,7 @@ QUERIES: dict[str, Query] = {
     "op8_quality_rules": _table("documents", quality_rules.quality_report),
     "op9_token_files": _table("documents", token_files.token_file_report),
     "op10_pii": _table("documents", pii.pseudonym_report),
+    "op11_vector_codes": _table("embeddings", vector_codes.code_report),
 }
 
 SQL: dict[str, str] = {
@@ -37,4 +50,5 @@ SQL: dict[str, str] = {
     "op4_exact_dedup": exact_dedup.QUERY_SQL,
     "op7_substring_dedup": substring_dedup.QUERY_SQL,
     "op8_quality_rules": quality_rules.QUERY_SQL,
+    "op11_vector_codes": vector_codes.QUERY_SQL,
 }
