@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from lakemart.llm import (
     exact_dedup,
+    manifest,
     mixing,
     ngram_join,
     packing,
@@ -42,6 +43,7 @@ QUERIES: dict[str, Query] = {
     "op9_token_files": _table("documents", token_files.token_file_report),
     "op10_pii": _table("documents", pii.pseudonym_report),
     "op11_vector_codes": _table("embeddings", vector_codes.code_report),
+    "op12_manifest": _table("documents", manifest.proof_report),
 }
 
 SQL: dict[str, str] = {
@@ -51,4 +53,5 @@ SQL: dict[str, str] = {
     "op7_substring_dedup": substring_dedup.QUERY_SQL,
     "op8_quality_rules": quality_rules.QUERY_SQL,
     "op11_vector_codes": vector_codes.QUERY_SQL,
+    "op12_manifest": manifest.QUERY_SQL,
 }
