@@ -11,6 +11,7 @@ from lakemart.llm import (
     manifest,
     mixing,
     ngram_join,
+    odd_sketch,
     packing,
     pii,
     quality_rules,
@@ -44,6 +45,7 @@ QUERIES: dict[str, Query] = {
     "op10_pii": _table("documents", pii.pseudonym_report),
     "op11_vector_codes": _table("embeddings", vector_codes.code_report),
     "op12_manifest": _table("documents", manifest.proof_report),
+    "op13_odd_sketch": _table("documents", lambda docs: odd_sketch.near_duplicates(docs, k=4, percent=80)),
 }
 
 SQL: dict[str, str] = {
@@ -54,4 +56,5 @@ SQL: dict[str, str] = {
     "op8_quality_rules": quality_rules.QUERY_SQL,
     "op11_vector_codes": vector_codes.QUERY_SQL,
     "op12_manifest": manifest.QUERY_SQL,
+    "op13_odd_sketch": odd_sketch.QUERY_SQL,
 }
