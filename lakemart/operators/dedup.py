@@ -2,13 +2,18 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import MapType
 
+from lakemart.scratch import scratch_path
+
 _RANK = "_keep_rank"
+ROW_HASH = "_row_hash"
 
 
 def distinct_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -33,3 +38,61 @@ def keep_one(df: DataFrame, keys: Sequence[str], order_by: Sequence[Column] = ()
         return df.distinct()
     ranked = df.withColumn(_RANK, F.row_number().over(Window.partitionBy(*keys).orderBy(*order)))
     return ranked.filter(F.col(_RANK) == 1).drop(_RANK)
+
+
+def row_hash(df: DataFrame) -> Column:
+    """64-bit hash of every column of a row."""
+    return F.xxhash64(*[F.to_json(f.name) if isinstance(f.dataType, MapType) else F.col(f"`{f.name}`") for f in df.schema.fields])
+
+
+def keep_latest(
+    df: DataFrame,
+    keys: Sequence[str],
+    newest: str | None = None,
+    path: str | None = None,
+    needed: Sequence[str] = (),
+    before: Callable[[DataFrame], DataFrame] | None = None,
+    after: Callable[[DataFrame], DataFrame] | None = None,
+) -> DataFrame:
+    """The newest row per key, chosen on narrow rows (A3).
+
+    Only the keys, the time ``newest``, the ``path``, the columns ``needed`` by
+    ``before`` and a 64-bit hash of the row are shuffled and sorted; the whole
+    rows of the winners are then fetched by a semi join on key and hash.  A
+    time of NULL is the oldest; equal times go to the first path, then to the
+    smallest hash.  A column ``ROW_HASH``, if there is one, is taken as the hash,
+    so that a stored table is read by these columns only; it is dropped.
+
+    ``before`` may leave out narrow rows ahead of the choice and ``after`` of
+    the chosen ones, say by an existence join.  The chosen rows are stored in
+    the scratch folder, so this runs a job.  Where a winner occurs several
+    times, equal in every column, one of them is kept.
+    """
+    hashed = df if ROW_HASH in df.columns else df.withColumn(ROW_HASH, row_hash(df))
+    times = [c for c in (newest, path) if c is not None]
+    narrow = hashed.select(*dict.fromkeys([*keys, *needed, *times]), ROW_HASH)
+    if before is not None:
+        narrow = before(narrow)
+    order = [F.col(ROW_HASH)]
+    if path is not None:
+        order.insert(0, F.col(path).asc_nulls_last())
+    if newest is not None:
+        order.insert(0, F.col(newest).desc_nulls_last())
+    ranked = narrow.withColumn(_RANK, F.row_number().over(Window.partitionBy(*keys).orderBy(*order))).filter(F.col(_RANK) <= 2)
+    first, second = (F.max(F.when(F.col(_RANK) == place, F.col(ROW_HASH))) for place in (1, 2))
+    chosen = ranked.groupBy(*keys).agg(first.alias(ROW_HASH), second.alias("_second"))
+    chosen = chosen.select(*keys, ROW_HASH, F.col("_second").eqNullSafe(F.col(ROW_HASH)).alias("_again"))
+    if after is not None:
+        chosen = after(chosen)
+    stored = scratch_path(df.sparkSession, "latest")
+    chosen.write.parquet(stored)
+    chosen = df.sparkSession.read.parquet(stored).withColumnsRenamed({c: f"_chosen_{c}" for c in (*keys, ROW_HASH)})
+
+    def fetched(winners: DataFrame) -> DataFrame:
+        same = [F.col(f"`{c}`").eqNullSafe(F.col(f"_chosen_{c}")) for c in keys]
+        return hashed.join(winners, reduce(and_, same, F.col(ROW_HASH) == F.col(f"_chosen_{ROW_HASH}")), "left_semi").drop(ROW_HASH)
+
+    again = chosen.filter("_again")
+    if again.isEmpty():
+        return fetched(chosen)
+    return fetched(chosen.filter("NOT _again")).unionAll(fetched(again).dropDuplicates(list(keys)))

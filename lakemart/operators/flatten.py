@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -32,8 +34,8 @@ def _double(path: str) -> Column:
     return lenient_cast(F.col(path), "double")
 
 
-def flatten_products(documents: DataFrame) -> DataFrame:
-    """One row per product document."""
+def flatten_products(documents: DataFrame, carry: Sequence[str] = ()) -> DataFrame:
+    """One row per product document (P1-P3); columns named in ``carry`` come along at the end."""
     warranty = F.col("_warranty")
     amplitude = "tracking_info.amplitude"
     # A column of its own, so that the three lookups share one pass over the list.
@@ -74,11 +76,12 @@ def flatten_products(documents: DataFrame) -> DataFrame:
         last_value_of(warranty, fixed.WARRANTY_PERIOD).alias("warranty_period"),
         last_value_of(warranty, fixed.WARRANTY_TYPE).alias("warranty_type"),
         last_value_of(warranty, fixed.WARRANTY_LOCATION).alias("warranty_location"),
+        *carry,
     )
 
 
-def flatten_sellers(documents: DataFrame) -> DataFrame:
-    """One row per document that holds a seller."""
+def flatten_sellers(documents: DataFrame, carry: Sequence[str] = ()) -> DataFrame:
+    """One row per document that holds a seller (P4); ``carry`` as for products."""
     seller = "data.seller"
     fields = ["id", "name", "icon", "url", "avg_rating_point", "review_count", "total_follower"]
     fields += ["days_since_joined", "is_official", "store_level"]
@@ -95,14 +98,18 @@ def flatten_sellers(documents: DataFrame) -> DataFrame:
         _int(f"{seller}.days_since_joined").alias("days_since_joined"),
         flag(F.col(f"{seller}.is_official")).alias("is_official"),
         F.col(f"{seller}.store_level").alias("store_level"),
+        *carry,
     )
 
 
-def flatten_reviews(pages: DataFrame) -> DataFrame:
-    """One row per review of every page; an absent author has NULLs and zero counts (P5)."""
+def flatten_reviews(pages: DataFrame, carry: Sequence[str] = ()) -> DataFrame:
+    """One row per review of every page; an absent author has NULLs and zero counts (P5).
+
+    Columns of the page named in ``carry`` come along at the end.
+    """
     summary = "r.created_by.contribute_info.summary"
     return (
-        pages.select(F.explode("data").alias("r"))
+        pages.select(F.explode("data").alias("r"), *carry)
         .filter(F.col("r").isNotNull())
         .select(
             _long("r.id").alias("review_id"),
@@ -121,6 +128,7 @@ def flatten_reviews(pages: DataFrame) -> DataFrame:
             F.col(f"{summary}.joined_time").alias("joined_time"),
             F.coalesce(_int(f"{summary}.total_review"), F.lit(0)).alias("total_review"),
             F.coalesce(_int(f"{summary}.total_thank"), F.lit(0)).alias("total_thank"),
+            *carry,
         )
     )
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Collection
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -117,15 +117,15 @@ OUTPUTS: dict[str, tuple[str, tuple[str, ...], Callable[[DataFrame], DataFrame]]
 }
 
 
-def build_outputs(silver: DataFrame | None, source: str, lake: Lake) -> list[TableReport]:
-    """Every gold table of one silver table.
+def build_outputs(silver: DataFrame | None, source: str, lake: Lake, only: Collection[str] | None = None) -> list[TableReport]:
+    """Every gold table of one silver table, or those named by ``only``.
 
     An output whose source column is absent is skipped (P12), one that fails
     does not stop the rest (R2).  Each output scans only its own columns.
     """
     reports = []
     for table, (from_, needed, build) in OUTPUTS.items():
-        if from_ != source:
+        if from_ != source or (only is not None and table not in only):
             continue
         path = lake.path("gold", table)
         if silver is not None and not set(needed) <= set(silver.columns):
@@ -137,9 +137,18 @@ def build_outputs(silver: DataFrame | None, source: str, lake: Lake) -> list[Tab
     return reports
 
 
-def run_gold(spark: SparkSession, lake: Lake, source: str) -> list[TableReport]:
-    """Gold tables from one silver table: products (B5), reviews (B6), categories (B7) or sellers."""
+def run_gold(
+    spark: SparkSession, lake: Lake, source: str, only: Collection[str] | None = None, target: Lake | None = None
+) -> list[TableReport]:
+    """Gold tables from one silver table: products (B5), reviews (B6), categories (B7) or sellers.
+
+    ``only`` names the outputs to build; they go to ``target``, the same lake
+    unless told otherwise.
+    """
     known = {from_ for from_, _, _ in OUTPUTS.values()}
     if source not in known:
         raise ValueError(f"unknown silver table {source!r}, expected one of {sorted(known)}")
-    return build_outputs(read_required(spark, lake.path("silver", source)), source, lake)
+    unknown = set(only or ()) - {table for table, (from_, _, _) in OUTPUTS.items() if from_ == source}
+    if unknown:
+        raise ValueError(f"{source!r} has no outputs {sorted(unknown)}")
+    return build_outputs(read_required(spark, lake.path("silver", source)), source, target or lake, only)

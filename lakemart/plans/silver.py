@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from dataclasses import replace
+from functools import partial
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -18,19 +19,37 @@ from lakemart.functions import (
     return_policy_label,
     warranty_days,
 )
-from lakemart.operators.dedup import keep_one
+from lakemart.operators.dedup import ROW_HASH, keep_latest, row_hash
 from lakemart.operators.filters import has_id
 from lakemart.operators.keys import keep_known
+from lakemart.plans import bronze
 from lakemart.plans.report import TableReport, publish, unless_empty
+from lakemart.scratch import scratch_path
 from lakemart.sources.datasets import dataset
 from lakemart.sources.paths import Lake, path_exists
-from lakemart.sources.readers import is_reject, read_csv, read_documents, read_upstream, split_rejects
+from lakemart.sources.readers import (
+    CRAWL_TIME,
+    PROVENANCE,
+    SOURCE_PATH,
+    is_reject,
+    read_compacted,
+    read_csv,
+    read_documents,
+    read_upstream,
+    split_rejects,
+)
 from lakemart.sources.writers import write_parquet
 
 
+def _latest(rows: DataFrame, keys: list[str], **steps) -> DataFrame:
+    """The row of the newest crawl per key, without its provenance; rows without provenance go by their content."""
+    newest, path = (name if name in rows.columns else None for name in (CRAWL_TIME, SOURCE_PATH))
+    return keep_latest(rows, keys, newest, path, **steps).drop(*PROVENANCE)
+
+
 def silver_sellers(sellers: DataFrame) -> DataFrame:
     """One row per real seller, counters filled; the filter is on the dedup key, so it runs first (B1)."""
-    return keep_one(sellers.filter(has_id("seller_id")), ["seller_id"]).transform(
+    return _latest(sellers.filter(has_id("seller_id")), ["seller_id"]).transform(
         default_if_missing({"review_count": 0, "total_follower": 0, "days_since_joined": 0, "avg_rating_point": 0.0})
     )
 
@@ -53,12 +72,13 @@ def clean_products(offers: DataFrame, zero_rule: str = "any") -> DataFrame:
 def silver_products(products: DataFrame, sellers: DataFrame, zero_rule: str = "any") -> DataFrame:
     """One row per product and seller, of known sellers only, cleaned.
 
-    Dedup comes before the seller join: the other way round Spark would reuse
-    the join's partitioning by seller for the dedup, and a seller with many
-    products would sit in one task.
+    The seller is part of the key, so sellers are looked up for the chosen keys,
+    before their rows are fetched.  Dedup comes before that: the other way round
+    Spark would reuse the join's partitioning by seller for the dedup, and a
+    seller with many products would sit in one task.
     """
-    offers = keep_known(keep_one(products, ["product_id", "seller_id"]), sellers, ["seller_id"], parent_unique=True)
-    return clean_products(offers, zero_rule)
+    known = partial(keep_known, parent=sellers, keys=["seller_id"], parent_unique=True)
+    return clean_products(_latest(products, ["product_id", "seller_id"], after=known), zero_rule)
 
 
 def silver_reviews(reviews: DataFrame, products: DataFrame) -> DataFrame:
@@ -67,8 +87,9 @@ def silver_reviews(reviews: DataFrame, products: DataFrame) -> DataFrame:
     Join before dedup: a review id may occur under an unknown and a known
     product, and only the known one may survive.
     """
-    known = keep_known(reviews, products, ["product_id", "seller_id"])
-    return keep_one(known, ["review_id"]).withColumns(
+    offer = ["product_id", "seller_id"]
+    known = partial(keep_known, parent=products, keys=offer)
+    return _latest(reviews, ["review_id"], needed=offer, before=known).withColumns(
         {
             "created_ts": epoch_to_timestamp(F.col("created_at")),
             "purchased_ts": epoch_to_timestamp(F.col("purchased_at")),
@@ -84,22 +105,30 @@ def _run(
 ) -> TableReport:
     """One silver table from its documents; rejects go to ``<rejects layer>/<dataset>``.
 
-    Rejects are counted on the way.  They are scanned for, a second time, only
-    if there are any.
+    One pass parses the documents, stores their flat rows and counts the
+    rejects; nothing but the write stands above the counts, so they hold
+    whatever the parents are.  The rest reads the stored columns it needs.
+    Rejects are scanned for, a second time, only if there are any.
     """
-    documents = read_documents(spark, lake.bronze, name, layout)
-    flatten = dataset(name).flatten
-    good, rejects = split_rejects(documents)
+    if layout == "document":
+        bronze.update_manifest(spark, lake)
+        bronze.compact(spark, lake, name)
+        source = lake.path(bronze.LAYER, name)
+        documents = read_compacted(spark, source, name)
+    else:
+        source = f"{lake.bronze}/{name}"
+        documents = read_documents(spark, lake.bronze, name, layout)
+    if not path_exists(spark, source):
+        return publish(name, lake.path("silver", name), None)
     seen = Observation()
-    rows = None
-    if not flatten(good).isEmpty():
-        counted = documents.observe(seen, F.count_if(is_reject(documents)).alias("n_rejects"))
-        rows = build(flatten(split_rejects(counted)[0]))
-    report = publish(name, lake.path("silver", name), rows)
-    any_rejects = not rejects.isEmpty() if rows is None else seen.get["n_rejects"] > 0
-    if not any_rejects:
+    counted = documents.observe(seen, F.count_if(is_reject(documents)).alias("n_rejects"))
+    flat = dataset(name).flatten(split_rejects(counted)[0], PROVENANCE)
+    path = scratch_path(spark, f"flat-{name}")
+    n_rows = write_parquet(flat.withColumn(ROW_HASH, row_hash(flat)), path)
+    report = publish(name, lake.path("silver", name), build(spark.read.parquet(path)) if n_rows else None)
+    if not seen.get["n_rejects"]:
         return report
-    return replace(report, n_rejects=write_parquet(rejects, lake.path("rejects", name)))
+    return replace(report, n_rejects=write_parquet(split_rejects(documents)[1], lake.path("rejects", name)))
 
 
 def run_sellers(spark: SparkSession, lake: Lake, layout: str = "document") -> TableReport:

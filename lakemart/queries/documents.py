@@ -15,20 +15,25 @@ from lakemart.queries.registry import Tables
 from lakemart.schemas import PRODUCT_DOCUMENT, REVIEW_PAGE
 
 # Type of the one field of a review page.
-REVIEW_LIST = REVIEW_PAGE.strip().removeprefix("data ")
+REVIEW_LIST = REVIEW_PAGE.partition(" data ")[2]
 
-# id, seller, line, quantity, code, label, brand, amount
-OFFERS_SQL = """
+# id, seller, line, quantity, code, label, brand, amount, crawled
+
+# Seconds at which a line was crawled; no two lines of a key have the same.
+CRAWLED = """l_orderkey * 1000000 + (l_partkey * 7 + l_suppkey * 13 + l_linenumber * 1009 + CAST(l_quantity AS BIGINT) * 31
+    + CAST(floor(l_extendedprice) AS BIGINT) * 17) % 1000000"""
+
+OFFERS_SQL = f"""
     SELECT l_partkey AS id, l_suppkey AS seller, l_linenumber AS line, CAST(l_quantity AS INT) AS quantity,
            l_returnflag AS code, 'Item ' || l_partkey AS label, CAST(floor(l_extendedprice / 2000) AS BIGINT) AS brand,
-           l_extendedprice AS amount
+           l_extendedprice AS amount, {CRAWLED} AS crawled
     FROM lineitem
 """
 
 ORDERS_SQL = """
     SELECT o_orderkey AS id, o_custkey AS seller, TRY_CAST(substr(o_orderpriority, 1, 1) AS INT) AS line,
            month(o_orderdate)::INT AS quantity, o_orderstatus AS code, o_orderpriority AS label,
-           CAST(o_custkey AS BIGINT) AS brand, o_totalprice AS amount
+           CAST(o_custkey AS BIGINT) AS brand, o_totalprice AS amount, o_orderkey AS crawled
     FROM orders
 """
 
@@ -43,6 +48,7 @@ def offers(t: Tables) -> DataFrame:
         F.concat(F.lit("Item "), "l_partkey").alias("label"),
         F.floor(F.col("l_extendedprice") / 2000).cast("bigint").alias("brand"),
         F.col("l_extendedprice").alias("amount"),
+        F.expr(CRAWLED).alias("crawled"),
     )
 
 
@@ -56,6 +62,7 @@ def orders_as_offers(t: Tables) -> DataFrame:
         F.col("o_orderpriority").alias("label"),
         F.col("o_custkey").alias("brand"),
         F.col("o_totalprice").alias("amount"),
+        F.col("o_orderkey").alias("crawled"),
     )
 
 
@@ -78,6 +85,7 @@ def product_documents(rows: DataFrame) -> DataFrame:
     period = F.concat(quantity, F.lit(" tháng"))
     image = "array<struct<base_url: string>>"
     return rows.select(
+        F.col("crawled").alias("crawled_at"),
         id_,
         text(F.lit("SKU-"), id_).alias("sku"),
         label.alias("name"),
@@ -207,19 +215,14 @@ def lists_as_text(products: DataFrame) -> DataFrame:
     return products.withColumns({name: column for name, column in replaced.items() if name in products.columns})
 
 
-# One silver product per offer, of sellers in good standing.
+# One silver product per offer, from its newest crawl, of sellers in good standing.
 SILVER_SQL = f"""
     WITH source AS ({OFFERS_SQL}),
-    flat AS ({FLAT_SQL}),
+    flat AS ({FLAT_SQL.replace("FROM source", ", crawled FROM source")}),
     ranked AS (
-        SELECT *, row_number() OVER (PARTITION BY product_id, seller_id ORDER BY product_sku, product_name, product_url,
-            images_url, description, original_price, discount, price, discount_rate, inventory_status, inventory_type,
-            quantity_sold, day_ago_created, rating_average, review_count, specifications, breadcrumbs, category_id,
-            is_authentic, is_freeship_xtra, is_top_deal, is_top_brand, return_reason, brand_id, brand_name,
-            warranty_period, warranty_type, warranty_location) AS rn
-        FROM flat),
+        SELECT *, row_number() OVER (PARTITION BY product_id, seller_id ORDER BY crawled DESC) AS rn FROM flat),
     silver AS (
-        SELECT * EXCLUDE (rn) REPLACE (
+        SELECT * EXCLUDE (rn, crawled) REPLACE (
             coalesce(brand_id, 0) AS brand_id,
             coalesce(nullif(brand_name, ''), 'No Brand') AS brand_name,
             coalesce(nullif(warranty_type, ''), 'Không bảo hành') AS warranty_type,
@@ -253,7 +256,8 @@ def seller_documents(t: Tables) -> DataFrame:
         F.when(balance >= 6000, F.lit("OFFICIAL_STORE")).otherwise(F.lit("NONE")).alias("store_level"),
     )
     copies = t.supplier.withColumn("copy", F.explode(F.array(F.lit(2), F.lit(1))))
-    return copies.select(F.struct(F.when(balance >= 0, seller).alias("seller")).alias("data"))
+    crawled = F.lit(1_700_000_000) + F.col("copy")
+    return copies.select(crawled.cast("bigint").alias("crawled_at"), F.struct(F.when(balance >= 0, seller).alias("seller")).alias("data"))
 
 
 SELLERS_SQL = """
@@ -272,7 +276,7 @@ SILVER_SELLERS_SQL = f"""
     SELECT * REPLACE (coalesce(avg_rating_point, 0.0) AS avg_rating_point, coalesce(review_count, 0) AS review_count,
                       coalesce(days_since_joined, 0) AS days_since_joined)
     FROM ({SELLERS_SQL}) WHERE seller_id <> 0
-    QUALIFY row_number() OVER (PARTITION BY seller_id ORDER BY total_follower) = 1
+    QUALIFY row_number() OVER (PARTITION BY seller_id ORDER BY total_follower DESC) = 1
 """
 
 
@@ -319,6 +323,7 @@ def review_pages(t: Tables) -> DataFrame:
     second = review(F.col("l_orderkey") * 10, F.when(F.lit(False), author))
     rows = t.lineitem.join(t.orders, F.col("l_orderkey") == F.col("o_orderkey"))
     return rows.select(
+        F.expr(CRAWLED).alias("crawled_at"),
         F.when(line.isin(1, 3, 5), F.array(first, second))
         .when(line == 7, F.array(first.withField("created_by", F.when(F.lit(False), author))))
         .when(line != 4, F.array(first))
@@ -348,18 +353,16 @@ REVIEWS_SQL = """
 
 # Offers reviewed: those returned or awaiting return.
 SILVER_REVIEWS_SQL = f"""
-    WITH flat AS ({REVIEWS_SQL}),
+    WITH flat AS ({REVIEWS_SQL.replace("    FROM (SELECT *, NOT", f", {CRAWLED} AS crawled FROM (SELECT *, NOT")}),
     known AS (
         SELECT * FROM flat f WHERE EXISTS (
             SELECT 1 FROM lineitem p WHERE p.l_returnflag <> 'N' AND p.l_partkey = f.product_id AND p.l_suppkey = f.seller_id)),
     silver AS (
-        SELECT * EXCLUDE (rn), make_timestamp(created_at * 1000000) AS created_ts,
+        SELECT * EXCLUDE (rn, crawled), make_timestamp(created_at * 1000000) AS created_ts,
                make_timestamp(purchased_at * 1000000) AS purchased_ts,
                CASE WHEN joined_time LIKE '%1 năm' THEN 365
                     WHEN joined_time LIKE '% ngày' THEN CAST(string_split(joined_time, ' ')[1] AS INT) ELSE 0 END AS joined_days
-        FROM (SELECT *, row_number() OVER (PARTITION BY review_id ORDER BY product_id, seller_id, title, content, status,
-                  thank_count, rating, created_at, customer_id, customer_name, purchased_at, avatar_url, joined_time,
-                  total_review, total_thank) AS rn
+        FROM (SELECT *, row_number() OVER (PARTITION BY review_id ORDER BY crawled DESC) AS rn
               FROM known)
         WHERE rn = 1)
 """

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from threading import Lock
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -11,16 +13,21 @@ from lakemart.plans.report import publish, report_frame, unless_empty
 from lakemart.queries import documents
 from lakemart.queries.registry import Tables, query
 from lakemart.queries.text import WARRANTY_TEXT_SQL, warranty_days_sql, warranty_text
-from lakemart.sources import Lake, write_csv, write_json, write_parquet
+from lakemart.sources import Lake, path_exists, write_csv, write_json, write_parquet
+from lakemart.sources.readers import CRAWL_TIME, crawl_time
 
 
 def _good_sellers(t: Tables) -> DataFrame:
     return t.supplier.filter(F.col("s_acctbal") >= 4000).select(F.col("s_suppkey").alias("seller_id"))
 
 
+def _with_crawl_time(docs: DataFrame) -> DataFrame:
+    return docs.withColumn(CRAWL_TIME, crawl_time())
+
+
 def _silver_products(t: Tables) -> DataFrame:
-    docs = documents.product_documents(documents.offers(t))
-    return silver.silver_products(flatten_products(docs), _good_sellers(t))
+    docs = _with_crawl_time(documents.product_documents(documents.offers(t)))
+    return silver.silver_products(flatten_products(docs, [CRAWL_TIME]), _good_sellers(t))
 
 
 def _reviewed_offers(t: Tables) -> DataFrame:
@@ -31,7 +38,32 @@ def _reviewed_offers(t: Tables) -> DataFrame:
 
 
 def _silver_reviews(t: Tables) -> DataFrame:
-    return silver.silver_reviews(flatten_reviews(documents.review_pages(t)), _reviewed_offers(t))
+    pages = _with_crawl_time(documents.review_pages(t))
+    return silver.silver_reviews(flatten_reviews(pages, [CRAWL_TIME]), _reviewed_offers(t))
+
+
+_SILVER = {"products": _silver_products, "reviews": _silver_reviews}
+#: Silver tables of this process, by session, folder and name.
+_written: dict[tuple[str, str, str], Lake] = {}
+_writing = Lock()
+
+
+def _silver_lake(t: Tables, name: str) -> Lake:
+    """A lake with silver table ``name`` of the given tables; written once per session, as the gold queries only read it."""
+    with _writing:
+        key = (t.spark.sparkContext.applicationId, t.folder, name)
+        if key not in _written or not path_exists(t.spark, _written[key].path("silver", name)):
+            lake = Lake(t.scratch(f"silver_{name}"))
+            write_parquet(_SILVER[name](t), lake.path("silver", name))
+            _written[key] = lake
+        return _written[key]
+
+
+def _gold(t: Tables, source: str, table: str) -> DataFrame:
+    """One output of the gold job, read back."""
+    target = Lake(t.scratch(f"gold_{table}"))
+    (report,) = gold.run_gold(t.spark, _silver_lake(t, source), source, [table], target)
+    return t.spark.read.parquet(report.path)
 
 
 @query(
@@ -181,7 +213,7 @@ def silver_reviews(t: Tables) -> DataFrame:
     """,
 )
 def gold_products(t: Tables) -> DataFrame:
-    return documents.lists_as_text(gold.gold_products(_silver_products(t)))
+    return documents.lists_as_text(_gold(t, "products", "products"))
 
 
 @query(
@@ -192,7 +224,7 @@ def gold_products(t: Tables) -> DataFrame:
     """,
 )
 def gold_authors(t: Tables) -> DataFrame:
-    return gold.gold_authors(_silver_products(t))
+    return _gold(t, "products", "authors")
 
 
 @query(
@@ -203,7 +235,7 @@ def gold_authors(t: Tables) -> DataFrame:
     """,
 )
 def gold_brands(t: Tables) -> DataFrame:
-    return gold.gold_brands(_silver_products(t))
+    return _gold(t, "products", "brands")
 
 
 @query(
@@ -211,7 +243,7 @@ def gold_brands(t: Tables) -> DataFrame:
     f"{documents.SILVER_REVIEWS_SQL} SELECT review_id, title, content, status, rating, product_id, seller_id FROM silver",
 )
 def gold_reviews(t: Tables) -> DataFrame:
-    return gold.gold_reviews(_silver_reviews(t))
+    return _gold(t, "reviews", "reviews")
 
 
 @query(
@@ -226,7 +258,7 @@ def gold_reviews(t: Tables) -> DataFrame:
     """,
 )
 def gold_customers(t: Tables) -> DataFrame:
-    return gold.gold_customers(_silver_reviews(t))
+    return _gold(t, "reviews", "customers")
 
 
 @query(
@@ -237,7 +269,7 @@ def gold_customers(t: Tables) -> DataFrame:
     """,
 )
 def gold_customer_review(t: Tables) -> DataFrame:
-    return documents.times_without_zone(gold.customer_review(_silver_reviews(t)))
+    return documents.times_without_zone(_gold(t, "reviews", "customer_review"))
 
 
 @query(
@@ -248,7 +280,7 @@ def gold_customer_review(t: Tables) -> DataFrame:
     """,
 )
 def gold_customer_purchase(t: Tables) -> DataFrame:
-    return documents.times_without_zone(gold.customer_purchase(_silver_reviews(t)))
+    return documents.times_without_zone(_gold(t, "reviews", "customer_purchase"))
 
 
 def _seller_table(t: Tables) -> DataFrame:
@@ -304,10 +336,9 @@ def gold_categories(t: Tables) -> DataFrame:
 )
 def gold_run_report(t: Tables) -> DataFrame:
     lake = Lake(t.scratch("gold_run_report"))
-    write_parquet(_silver_products(t), lake.path("silver", "products"))
     reviews = t.orders.select(F.col("o_orderkey").alias("review_id"), F.col("o_orderstatus").alias("status"))
     write_parquet(reviews, lake.path("silver", "reviews"))
-    reports = [*gold.run_gold(t.spark, lake, "products"), *gold.run_gold(t.spark, lake, "reviews")]
+    reports = [*gold.run_gold(t.spark, _silver_lake(t, "products"), "products", target=lake), *gold.run_gold(t.spark, lake, "reviews")]
     return report_frame(t.spark, reports).drop("path", "n_rejects")
 
 

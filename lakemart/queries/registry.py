@@ -15,12 +15,12 @@ class Tables:
 
     def __init__(self, spark: SparkSession, folder: str) -> None:
         self.spark = spark
-        self._folder = folder.rstrip("/")
+        self.folder = folder.rstrip("/")
 
     def __getattr__(self, name: str) -> DataFrame:
         if name.startswith("_"):
             raise AttributeError(name)
-        return self.spark.read.parquet(f"{self._folder}/{name}.parquet")
+        return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
 
     def scratch(self, name: str) -> str:
         return scratch_path(self.spark, name)

@@ -18,8 +18,11 @@ def scalars_as_text(ddl: str) -> str:
     return re.sub(r"\b(?:bigint|double)\b", "string", ddl)
 
 
+#: When a document was crawled, in seconds; documents without it go by the time of their file.
+CRAWLED_AT = "crawled_at"
+
 PRODUCT_DOCUMENT = """
-    id bigint, sku string, name string, short_url string, description string,
+    crawled_at bigint, id bigint, sku string, name string, short_url string, description string,
     images array<struct<base_url: string>>,
     list_price double, discount double, price double, discount_rate double,
     inventory_status string, inventory_type string,
@@ -35,14 +38,14 @@ PRODUCT_DOCUMENT = """
 """
 
 SELLER_DOCUMENT = """
-    data struct<seller: struct<
+    crawled_at bigint, data struct<seller: struct<
         id: bigint, name: string, icon: string, url: string, avg_rating_point: double,
         review_count: double, total_follower: double, days_since_joined: double,
         is_official: string, store_level: string>>
 """
 
 REVIEW_PAGE = """
-    data array<struct<
+    crawled_at bigint, data array<struct<
         id: bigint, product_id: bigint, seller: struct<id: bigint>, title: string, content: string, status: string,
         thank_count: double, rating: double, created_at: double, customer_id: bigint,
         created_by: struct<

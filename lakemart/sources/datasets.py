@@ -16,7 +16,7 @@ class Dataset:
     name: str
     schema: str
     files: str
-    flatten: Callable[[DataFrame], DataFrame]
+    flatten: Callable[..., DataFrame]
 
 
 DATASETS = {

@@ -10,12 +10,16 @@ from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakemart.schemas import CORRUPT
+from lakemart.functions.cleaning import epoch_to_timestamp, whole_number
+from lakemart.schemas import CORRUPT, CRAWLED_AT
+from lakemart.sources.appends import create_once
 from lakemart.sources.datasets import Dataset, dataset
 from lakemart.sources.paths import Lake, path_exists
-from lakemart.sources.writers import write_csv
 
 SOURCE_PATH = "source_path"
+#: When a document was crawled: as it says itself, else when its file was last changed.
+CRAWL_TIME = "crawl_time"
+PROVENANCE = (CRAWL_TIME, SOURCE_PATH)
 #: Folder of NULL, as the writer names it.
 _NULL_FOLDER = "__HIVE_DEFAULT_PARTITION__"
 
@@ -29,7 +33,7 @@ def read_csv(spark: SparkSession, path: str, schema: str, multi_line: bool = Fal
     """
     return (
         spark.read.schema(schema)
-        .options(header=True, enforceSchema=False, quote='"', escape='"', multiLine=multi_line)
+        .options(header=True, enforceSchema=False, quote='"', escape='"', multiLine=multi_line, recursiveFileLookup=True)
         .csv(path)
     )
 
@@ -76,6 +80,14 @@ def read_json(
     return documents
 
 
+#: A row of a table of compacted documents.
+COMPACTED = "path string, size bigint, modified timestamp, text string"
+
+
+def _no_documents(spark: SparkSession, source: Dataset) -> DataFrame:
+    return spark.createDataFrame([], f"{source.schema}, {CORRUPT} string, {SOURCE_PATH} string, {CRAWL_TIME} timestamp")
+
+
 def read_documents(spark: SparkSession, root: str, name: str, layout: str = "document") -> DataFrame:
     """All documents of a dataset below ``root``.
 
@@ -89,8 +101,37 @@ def read_documents(spark: SparkSession, root: str, name: str, layout: str = "doc
     per_file = layout == "document"
     path = root if per_file else f"{root.rstrip('/')}/{name}"
     if not path_exists(spark, path):
-        return spark.createDataFrame([], f"{source.schema}, {CORRUPT} string, {SOURCE_PATH} string")
-    return read_json(spark, path, source.schema, source.files if per_file else "*", per_file)
+        return _no_documents(spark, source)
+    documents = read_json(spark, path, source.schema, source.files if per_file else "*", per_file)
+    return documents.withColumn(CRAWL_TIME, crawl_time(F.col("_metadata.file_modification_time")))
+
+
+def crawl_time(otherwise: Column | None = None) -> Column:
+    """Crawl time of a document from its own field, in seconds, or ``otherwise`` where it has none."""
+    seconds = epoch_to_timestamp(whole_number(F.col(CRAWLED_AT)))
+    return seconds if otherwise is None else F.coalesce(seconds, otherwise)
+
+
+def read_compacted(spark: SparkSession, path: str, name: str) -> DataFrame:
+    """All documents of a dataset as compaction stored them, a row with path, time and text per file."""
+    source: Dataset = dataset(name)
+    if not path_exists(spark, path):
+        return _no_documents(spark, source)
+    schema = f"{source.schema}, {CORRUPT} string"
+    stored = read_runs(spark, path, COMPACTED)
+    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
+    parsed = stored.withColumn("_document", F.from_json("text", schema, options))
+    # Text without any value parses to NULL, and is refused like other text that is no object.
+    corrupt = F.when(F.col("_document").isNull(), F.col("text")).otherwise(F.col(f"_document.{CORRUPT}"))
+    fields = [F.col(f"_document.`{f.name}`") for f in spark.createDataFrame([], source.schema).schema.fields]
+    rows = parsed.select(*fields, corrupt.alias(CORRUPT), F.col("path").alias(SOURCE_PATH), "modified")
+    return rows.withColumn(CRAWL_TIME, crawl_time(F.col("modified"))).drop("modified")
+
+
+def read_runs(spark: SparkSession, path: str, schema: str | None = None) -> DataFrame:
+    """Rows of all runs of a Parquet table that grows by runs; the run is no column."""
+    reader = spark.read.option("recursiveFileLookup", True)
+    return (reader.schema(schema) if schema else reader).parquet(path)
 
 
 def is_reject(documents: DataFrame) -> Column:
@@ -102,7 +143,7 @@ def is_reject(documents: DataFrame) -> Column:
     document bad elsewhere would count as good or not by what the caller
     happens to select.
     """
-    fields = [c for c in documents.columns if c not in (CORRUPT, SOURCE_PATH)]
+    fields = [c for c in documents.columns if c not in (CORRUPT, *PROVENANCE)]
     every_field = F.to_json(F.struct(*fields))
     return F.col(CORRUPT).isNotNull() & F.json_object_keys(F.col(CORRUPT)).isNull() & every_field.isNotNull()
 
@@ -136,10 +177,11 @@ def read_layer(spark: SparkSession, lake: Lake, layer: str, table: str) -> DataF
 def open_or_init(spark: SparkSession, path: str, schema: str, initial: DataFrame | None = None) -> DataFrame:
     """A stored CSV; when absent it is first written from ``initial``, or with the header only.
 
-    Line breaks inside quoted fields are read back, since the sink writes them.
+    It appears whole, by one rename: of several jobs that find none one wins,
+    and all read what it wrote.  Line breaks inside quoted fields are read back,
+    since the sink writes them; runs that were added later are read too.
     """
-    if not path_exists(spark, path):
-        write_csv(spark.createDataFrame([], schema) if initial is None else initial, path)
+    create_once(spark.createDataFrame([], schema) if initial is None else initial, path, "csv")
     return read_csv(spark, path, schema, multi_line=True)
 
 
