@@ -4,12 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lakemart.operators.filters import present
 
 _SLICE = "_slice"
+#: Bits of a key filter; 64-bit words, so that at most 4 million rows of 16 bytes are ever broadcast.
+FILTER_BITS = 1 << 28
 
 
 def _key_side(other: DataFrame, keys: Sequence[str], unique: bool, slices: int) -> DataFrame:
@@ -49,3 +51,30 @@ def keep_new(
 ) -> DataFrame:
     """Rows whose keys do not exist in ``known`` (J3); a NULL key matches nothing and stays."""
     return _join(df, _key_side(known, keys, known_unique, slices), keys, "left_anti")
+
+
+def _filter_place(keys: Sequence[str]) -> tuple[Column, Column]:
+    """Word of a key, and two bits in it."""
+    code = F.xxhash64(*keys)
+    word = F.shiftrightunsigned(code, 64 - (FILTER_BITS.bit_length() - 7))
+    first, second = (F.expr(f"shiftleft(1L, cast(shiftrightunsigned(xxhash64({', '.join(f'`{k}`' for k in keys)}), {shift}) & 63 as int))") for shift in (0, 6))
+    return word, first.bitwiseOR(second)
+
+
+def key_filter(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Bloom filter over the keys as ``word, bits``, words without a bit left out; filters merge by :func:`merged_filter`."""
+    word, bits = _filter_place(keys)
+    return df.select(word.alias("word"), bits.alias("bits")).groupBy("word").agg(F.bit_or("bits").alias("bits"))
+
+
+def merged_filter(filters: DataFrame) -> DataFrame:
+    return filters.groupBy("word").agg(F.bit_or("bits").alias("bits"))
+
+
+def may_be_known(df: DataFrame, keys: Sequence[str], filter_: DataFrame, name: str) -> DataFrame:
+    """``df`` with boolean column ``name``: whether the filter holds the row's key; False is certain."""
+    word, bits = _filter_place(keys)
+    held = F.broadcast(filter_.withColumnsRenamed({"word": "_word", "bits": "_bits"}))
+    joined = df.withColumn("_place", word).join(held, F.col("_place") == F.col("_word"), "left")
+    known = F.coalesce(F.col("_bits").bitwiseAND(bits) == bits, F.lit(False))
+    return joined.withColumn(name, known).drop("_place", "_word", "_bits")

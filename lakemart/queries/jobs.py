@@ -7,13 +7,15 @@ from threading import Lock
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from lakemart.functions import document_path
 from lakemart.operators import check_declared_keys, flatten_products, flatten_reviews, keep_known, keep_one
-from lakemart.plans import gold, silver, warehouse
+from lakemart.plans import bronze, gold, silver, warehouse
 from lakemart.plans.report import publish, report_frame, unless_empty
 from lakemart.queries import documents
 from lakemart.queries.registry import Tables, query
 from lakemart.queries.text import WARRANTY_TEXT_SQL, warranty_days_sql, warranty_text
 from lakemart.sources import Lake, path_exists, write_csv, write_json, write_parquet
+from lakemart.sources.files import write_files
 from lakemart.sources.readers import CRAWL_TIME, crawl_time
 
 
@@ -135,10 +137,13 @@ def silver_sellers(t: Tables) -> DataFrame:
     UNION ALL SELECT 'products', 'Success', count(*) FILTER (WHERE p_size % 5 <> 1), count(*) FILTER (WHERE p_size % 5 = 1) FROM part
     UNION ALL SELECT 'reviews', 'Success', (count(*) FILTER (WHERE o_orderstatus <> 'P')) * 2, count(*) FILTER (WHERE o_orderstatus = 'P')
               FROM orders
+    UNION ALL SELECT 'products', 'Success', 0, count(*) FILTER (WHERE p_size % 5 = 1) FROM part
+    UNION ALL SELECT 'reviews', 'Success', 0, count(*) FILTER (WHERE o_orderstatus = 'P') FROM orders
+    UNION ALL SELECT 'sellers', 'Skipped (Empty Source)', 0, count(*) FROM supplier
     """,
 )
 def silver_rejects_report(t: Tables) -> DataFrame:
-    """Documents cut off, and odd scalars and shapes that must not cost a document."""
+    """Documents cut off, and odd scalars and shapes that must not cost a document; also under parents without rows, and rejects only."""
     lake = Lake(t.scratch("silver_rejects_report"))
 
     def lines(name: str, rows: DataFrame, text: Column, broken: Column) -> None:
@@ -162,9 +167,78 @@ def silver_rejects_report(t: Tables) -> DataFrame:
     write_parquet(parents, known)
     reports.append(silver.run_products(t.spark, lake, layout="lines", sellers_path=known))
     reports.append(silver.run_reviews(t.spark, lake, layout="lines", products_path=known))
+    nobody = f"{lake.base}/nobody"
+    write_parquet(parents.filter("false"), nobody)
+    reports.append(silver.run_products(t.spark, lake, layout="lines", sellers_path=nobody))
+    reports.append(silver.run_reviews(t.spark, lake, layout="lines", products_path=nobody))
+    refused = Lake(t.scratch("silver_rejects_only"))
+    t.supplier.select(F.concat(F.lit("no document "), "s_suppkey").alias("value")).write.text(f"{refused.bronze}/sellers")
+    reports.append(silver.run_sellers(t.spark, refused, layout="lines"))
     return report_frame(t.spark, reports).drop("path")
 
 
+def _seller_files(t: Tables, rows: DataFrame, prefix: str) -> DataFrame:
+    """A file per seller, written over several lines in nested folders; the text of nation 4 is cut off."""
+    key, nation = F.col("s_suppkey"), F.col("s_nationkey")
+    seller = F.struct(key.alias("id"), F.concat(F.lit(prefix), "s_name").alias("name"), F.col("s_acctbal").alias("avg_rating_point"))
+    text = F.to_json(F.struct(F.struct(seller.alias("seller")).alias("data")), {"pretty": "true"})
+    text = F.when(nation == 4, F.substring(text, F.lit(1), F.length(text) - 1)).otherwise(text)
+    return rows.select(document_path("seller", F.concat(F.lit("nation-"), nation), key, nation).alias("path"), text.alias("text"))
+
+
+def _other_files(t: Tables) -> DataFrame:
+    """Files that are no seller documents, in the same folders."""
+    nation, name = F.col("n_nationkey"), F.col("n_name")
+    kinds = ("notes.json", "seller_1.json.bak", "my_seller_1.json")
+    names = F.array(*[F.concat(F.lit("nation-"), nation, F.lit(f"/{kind}")) for kind in kinds])
+    return t.nation.select(F.explode(names).alias("path"), F.concat(F.lit('{"data": {"seller": {"id": 1, "name": "'), name, F.lit('"}}}')).alias("text"))
+
+
+@query(
+    "S2 S3 F5 K6 E21 B1",
+    """
+    SELECT s_suppkey AS seller_id, CASE WHEN s_nationkey % 3 = 0 THEN 'New ' ELSE '' END || s_name AS seller_name,
+           s_acctbal AS avg_rating_point
+    FROM supplier WHERE s_nationkey <> 4 AND s_suppkey <> 0
+    """,
+)
+def documents_per_file(t: Tables) -> DataFrame:
+    """One document per file, chosen by name; a second crawl replaces some files, whose newer text wins."""
+    lake = Lake(t.scratch("documents_per_file"))
+    write_files(_seller_files(t, t.supplier, "").unionAll(_other_files(t)), lake.bronze)
+    silver.run_sellers(t.spark, lake)
+    write_files(_seller_files(t, t.supplier.filter("s_nationkey % 3 = 0"), "New "), lake.bronze)
+    report = silver.run_sellers(t.spark, lake)
+    return t.spark.read.parquet(report.path).select("seller_id", "seller_name", "avg_rating_point")
+
+
+@query(
+    "S2 F5 A5",
+    """
+    WITH n AS (SELECT count(*) AS sellers, count(*) FILTER (WHERE s_nationkey % 3 = 0) AS changed FROM supplier),
+    o AS (SELECT 3 * count(*) AS others FROM nation)
+    SELECT 1 AS run, sellers + others AS n_listed, sellers AS n_compacted FROM n, o
+    UNION ALL SELECT 2, 0, 0
+    UNION ALL SELECT 3, changed, changed FROM n
+    UNION ALL SELECT 4, 0, 0
+    """,
+)
+def compaction(t: Tables) -> DataFrame:
+    """Files listed and compacted by run: all, none, the changed ones, and those of a run that listed but broke off."""
+    lake = Lake(t.scratch("compaction"))
+    write_files(_seller_files(t, t.supplier, "").unionAll(_other_files(t)), lake.bronze)
+
+    def run(number: int) -> tuple[int, int, int]:
+        return number, bronze.update_manifest(t.spark, lake, f"r{number}"), bronze.compact(t.spark, lake, "sellers", f"r{number}")
+
+    runs = [run(1), run(2)]
+    write_files(_seller_files(t, t.supplier.filter("s_nationkey % 3 = 0"), "New "), lake.bronze)
+    listed = bronze.update_manifest(t.spark, lake, "broken-off")
+    again, compacted = run(3)[1:]
+    runs += [(3, listed + again, compacted), run(4)]
+    return t.spark.createDataFrame(runs, "run int, n_listed bigint, n_compacted bigint")
+
+
 @query(
     "B2 S1 K1 K7",
     """

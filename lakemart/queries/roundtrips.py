@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import uuid
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -10,6 +11,7 @@ from pyspark.sql import functions as F
 from lakemart import schemas
 from lakemart.functions import document_path
 from lakemart.operators import flatten_products, keep_one
+from lakemart.operators.keys import key_filter
 from lakemart.plans import frontier
 from lakemart.queries import documents
 from lakemart.queries.registry import Tables, query
@@ -29,6 +31,7 @@ from lakemart.sources import (
     write_parquet,
 )
 
+from lakemart.sources.appends import append_run, create_once
 
 @query(
     "S1 K7",
@@ -148,13 +151,7 @@ def json_rejects(t: Tables) -> DataFrame:
 def ledger_open_or_init(t: Tables) -> DataFrame:
     path = t.scratch("ledger_open_or_init")
     ledger = open_or_init(t.spark, path, schemas.LEDGER)
-    listing = t.lineitem.select(
-        F.col("l_partkey").alias("pid"),
-        F.col("l_orderkey").alias("spid"),
-        F.col("l_suppkey").alias("seller_id"),
-        F.col("l_linenumber").cast("bigint").alias("category_id"),
-        F.col("l_returnflag").alias("slug"),
-    )
+    listing = _listing(t)
     # Two rounds: the second finds everything in the ledger but what the first left out.
     for seen in (F.col("slug") == "A", F.lit(True)):
         fresh = frontier.new_candidates(keep_one(listing, frontier.LEDGER_KEYS).filter(seen), ledger)
@@ -180,13 +177,7 @@ def ledger_open_or_init(t: Tables) -> DataFrame:
 def frontier_runs(t: Tables) -> DataFrame:
     """A first run over part of the listing, one over all of it, and the same once more, which adds nothing."""
     path = t.scratch("frontier_runs")
-    listing = t.lineitem.select(
-        F.col("l_partkey").alias("pid"),
-        F.col("l_orderkey").alias("spid"),
-        F.col("l_suppkey").alias("seller_id"),
-        F.col("l_linenumber").cast("bigint").alias("category_id"),
-        F.col("l_returnflag").alias("slug"),
-    )
+    listing = _listing(t)
     flags = (F.col("category_id") < 6, F.col("spid") > F.col("seller_id"))
     reports = [frontier.run_frontier(t.spark, listing.filter(F.col("slug") == "A"), path)]
     reports += [frontier.run_frontier(t.spark, listing, path, *flags) for _ in range(2)]
@@ -236,3 +227,52 @@ def check_create_table_if_absent(t: Tables) -> DataFrame:
     rows = t.spark.read.schema(ddl).parquet(location)
     t.spark.sql(f"DROP TABLE {name}")
     return rows
+
+
+def _listing(t: Tables) -> DataFrame:
+    return t.lineitem.select(
+        F.col("l_partkey").alias("pid"),
+        F.col("l_orderkey").alias("spid"),
+        F.col("l_suppkey").alias("seller_id"),
+        F.col("l_linenumber").cast("bigint").alias("category_id"),
+        F.col("l_returnflag").alias("slug"),
+    )
+
+
+@query(
+    "B10 S11 J3 U1 K7",
+    """
+    WITH listing AS (SELECT l_partkey AS pid, l_suppkey AS seller_id, l_orderkey AS spid, l_linenumber::BIGINT AS category_id,
+                            l_returnflag AS slug FROM lineitem),
+    first AS (SELECT * FROM listing WHERE slug = 'A'
+              QUALIFY row_number() OVER (PARTITION BY pid, seller_id ORDER BY spid, category_id, slug) = 1),
+    second AS (SELECT * FROM listing
+               QUALIFY row_number() OVER (PARTITION BY pid, seller_id ORDER BY spid, category_id, slug) = 1)
+    SELECT pid, spid, seller_id, category_id, slug FROM first
+    UNION ALL SELECT pid, spid, seller_id, category_id, slug FROM second s
+    WHERE NOT EXISTS (SELECT 1 FROM first f WHERE f.pid = s.pid AND f.seller_id = s.seller_id)
+    """,
+)
+def ledger_after_a_broken_run(t: Tables) -> DataFrame:
+    """The second run starts from a half-written first one, is started again under its name, and then repeated under another."""
+    path = t.scratch("ledger_after_a_broken_run")
+    listing = _listing(t)
+    first = listing.filter(F.col("slug") == "A")
+    open_or_init(t.spark, path, schemas.LEDGER)
+    # What a run leaves that broke off between its filter and its rows, or while it wrote them.
+    write_csv(first.limit(10), f"{path}/_staging/day1-broken")
+    append_run(key_filter(first, frontier.LEDGER_KEYS), f"{path}.keys", "day1-broken")
+    for rows, run in ((first, "day1"), (first, "day1"), (listing, "day1"), (listing, "day2"), (listing, "day3")):
+        frontier.run_frontier(t.spark, rows, path, run=run)
+    return open_or_init(t.spark, path, schemas.LEDGER)
+
+
+@query("S11", "SELECT r_name AS title, lower(r_name) AS slug, r_regionkey::BIGINT AS category_id FROM region")
+def two_initialisations(t: Tables) -> DataFrame:
+    """Both start before either is done; one wins, and both read what it wrote."""
+    path = t.scratch("two_initialisations")
+    rows = t.region.select(F.col("r_name").alias("title"), F.lower("r_name").alias("slug"), F.col("r_regionkey").cast("bigint").alias("category_id"))
+    with ThreadPoolExecutor(2) as pool:
+        made = list(pool.map(lambda _: create_once(rows, path, "csv"), range(2)))
+    read = open_or_init(t.spark, path, schemas.CATEGORIES_CSV)
+    return read.filter(F.lit(sum(made) == 1))

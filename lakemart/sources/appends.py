@@ -47,6 +47,16 @@ def published(spark: SparkSession, path: str, run: str) -> bool:
     return path_exists(spark, f"{path}/run={run}")
 
 
+def run_folders(spark: SparkSession, path: str) -> list[str] | None:
+    """Names of the published runs; None where the folder holds files that belong to none."""
+    if not path_exists(spark, path):
+        return []
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    found = folder.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(folder)
+    names = [s.getPath().getName() for s in found if not s.getPath().getName().startswith(("_", "."))]
+    return [n.removeprefix("run=") for n in names] if all(n.startswith("run=") for n in names) else None
+
+
 def append_run(df: DataFrame, path: str, run: str, format_: str = "parquet") -> int:
     """Adds the rows as run ``run``; the rows added, 0 where the run is there already."""
     if not re.fullmatch(r"[\w.-]+", run):

@@ -120,9 +120,10 @@ def read_compacted(spark: SparkSession, path: str, name: str) -> DataFrame:
     schema = f"{source.schema}, {CORRUPT} string"
     stored = read_runs(spark, path, COMPACTED)
     options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
-    parsed = stored.withColumn("_document", F.from_json("text", schema, options))
     # Text without any value parses to NULL, and is refused like other text that is no object.
-    corrupt = F.when(F.col("_document").isNull(), F.col("text")).otherwise(F.col(f"_document.{CORRUPT}"))
+    nothing = F.from_json(F.lit("{}"), schema, options)
+    parsed = stored.withColumn("_document", F.coalesce(F.from_json("text", schema, options), nothing))
+    corrupt = F.when(F.trim(F.regexp_replace("text", r"\s+", " ")).isin("", "null"), F.col("text")).otherwise(F.col(f"_document.{CORRUPT}"))
     fields = [F.col(f"_document.`{f.name}`") for f in spark.createDataFrame([], source.schema).schema.fields]
     rows = parsed.select(*fields, corrupt.alias(CORRUPT), F.col("path").alias(SOURCE_PATH), "modified")
     return rows.withColumn(CRAWL_TIME, crawl_time(F.col("modified"))).drop("modified")
