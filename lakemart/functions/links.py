@@ -1,7 +1,11 @@
 """Anchors of an HTML text.
 
-The text is tokenised by one regular expression per page and folded with higher-order
-functions, so a page never leaves the JVM and pages spread over all tasks.
+One regular expression takes a page apart, token after token: what it has taken
+is never looked at again, so each alternative stands for a state of a tokeniser.
+A comment ends at ``-->``, an element of raw text at its own end tag, a quoted
+value at its quote, all at the end of the page at the latest; markup inside
+them is none.  Tokens are folded with higher-order functions, so a page never
+leaves the JVM and pages spread over all tasks.
 """
 
 from __future__ import annotations
@@ -11,12 +15,13 @@ from pyspark.sql import functions as F
 
 from lakemart import fixed
 
-# Possessive runs keep matching linear in the length of the tag.
-_IN_TAG = r"""(?:[^>"']++|"[^"]*+"|'[^']*+')*+>"""
-_ANCHOR = rf"(?is)<a(?=[\s/>]){_IN_TAG}"
-_ANCHOR_OR_DIV = rf"(?is)<(?:a|div)(?=[\s/>]){_IN_TAG}|</div\s*>"
-_NO_MARKUP = r"(?is)<!--.*?-->|<script(?=[\s>]).*?</script\s*>|<style(?=[\s>]).*?</style\s*>"
-_ATTRIBUTE = r"""(?is)\s+[^\s=/>"']+(?:\s*=\s*(?:"[^"]*"|'[^']*'|[^\s"'>]+))?"""
+# Possessive runs keep matching linear in the length of the page.
+_ATTRIBUTE = r"""[^\s"'<>/=][^\s/>=]*+(?:\s*+=\s*+(?:"[^"]*+"|'[^']*+'|[^\s>"'][^\s>]*+)?+)?+"""
+_IN_TAG = rf"""(?:[\s/]++|{_ATTRIBUTE}|["'<=])*+>"""
+_RAW = "script|style|textarea|title|xmp|iframe|noembed|noframes"
+_TOKEN = rf"(?is)<!--(?:-?>|.*?(?:-->|\z))|<({_RAW})(?=[\s/>]){_IN_TAG}.*?(?:</\1(?=[\s/>])[^>]*+>|\z)|</?[a-z][^\s/>]*+{_IN_TAG}"
+_ANCHOR = r"(?i)^<a[\s/>]"
+_ANCHOR_OR_DIV = r"(?i)^<(?:a|div)[\s/>]|^</div[\s>]"
 _VALUE = r"""(?s)^[^=]*=\s*(?:"([^"]*)"|'([^']*)'|(.*))$"""
 _ENTITIES = {"&lt;": "<", "&gt;": ">", "&quot;": '"', "&#34;": '"', "&#39;": "'", "&apos;": "'", "&amp;": "&"}
 
@@ -24,8 +29,8 @@ _ENTITIES = {"&lt;": "<", "&gt;": ">", "&quot;": '"', "&#34;": '"', "&#39;": "'"
 def _attribute(tag: Column, name: str) -> Column:
     """Attribute value with the basic entities decoded; NULL when the tag lacks it, the last one when repeated."""
     written = F.filter(
-        F.regexp_extract_all(tag, F.lit(_ATTRIBUTE), F.lit(0)),
-        lambda token: F.rlike(token, F.lit(rf"(?is)^\s+{name}(?:\s*=|$)")),
+        F.regexp_extract_all(F.regexp_replace(tag, r"^<[^\s/>]+", ""), F.lit(_ATTRIBUTE), F.lit(0)),
+        lambda token: F.rlike(token, F.lit(rf"(?is)^{name}(?:\s*=|$)")),
     )
     token = F.try_element_at(written, F.lit(-1))
     value = F.concat(*[F.regexp_extract(token, _VALUE, group) for group in (1, 2, 3)])
@@ -34,9 +39,9 @@ def _attribute(tag: Column, name: str) -> Column:
     return value
 
 
-def _visible(html: Column) -> Column:
-    """Text without comments, scripts and styles, whose content is no markup."""
-    return F.regexp_replace(html, _NO_MARKUP, "")
+def _tags(html: Column, kind: str) -> Column:
+    """Tags of a page that are markup and match ``kind``, in order."""
+    return F.filter(F.regexp_extract_all(html, F.lit(_TOKEN), F.lit(0)), lambda token: F.rlike(token, F.lit(kind)))
 
 
 def _inside(html: Column, container_class: str) -> Column:
@@ -75,19 +80,14 @@ def _inside(html: Column, container_class: str) -> Column:
 
         return F.element_at(F.transform(F.array(F.aggregate(tags, start, step, bounds)), part), 1)
 
-    all_tags = F.regexp_extract_all(html, F.lit(_ANCHOR_OR_DIV), F.lit(0))
+    all_tags = _tags(html, _ANCHOR_OR_DIV)
     found = F.element_at(F.transform(F.array(all_tags), cut), 1)
     return F.filter(F.coalesce(found, F.array().cast("array<string>")), lambda tag: F.startswith(F.lower(tag), F.lit("<a")))
 
 
 def anchor_links(html: Column, container_class: str | None = None) -> Column:
     """Array of (title, href) over the anchors of a page, NULL where an attribute is absent."""
-    markup = _visible(html)
-    tags = (
-        F.regexp_extract_all(markup, F.lit(_ANCHOR), F.lit(0))
-        if container_class is None
-        else _inside(markup, container_class)
-    )
+    tags = _tags(html, _ANCHOR) if container_class is None else _inside(html, container_class)
     return F.transform(tags, lambda t: F.struct(_attribute(t, "title").alias("title"), _attribute(t, "href").alias("href")))
 
 

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from lakemart.functions import document_path
 from lakemart.operators import check_declared_keys, flatten_products, flatten_reviews, keep_known, keep_one
 from lakemart.plans import bronze, gold, silver, warehouse
+from lakemart.plans.keys import KeyStore
 from lakemart.plans.report import publish, report_frame, unless_empty
 from lakemart.queries import documents
 from lakemart.queries.registry import Tables, query
@@ -518,3 +519,36 @@ def declared_keys(t: Tables) -> DataFrame:
     return check_declared_keys(
         {"products": products, "sellers": _good_sellers(t), "categories": categories.distinct()}
     )
+
+
+@query(
+    "Q1 Q2 U1",
+    """
+    WITH products AS (
+        SELECT l_partkey AS product_id, CASE WHEN l_returnflag <> 'R' THEN l_suppkey END AS seller_id,
+               CASE WHEN l_partkey % 50 > 0 THEN l_orderkey * 8 + l_linenumber END AS line_id FROM lineitem),
+    sellers AS (SELECT s_suppkey AS seller_id FROM supplier WHERE s_acctbal >= 2000)
+    SELECT 'primary' AS kind, line_id AS "key", count(*) AS n_rows FROM products GROUP BY line_id HAVING count(*) > 1 OR line_id IS NULL
+    UNION ALL SELECT 'foreign', seller_id, count(*) FROM products p
+    WHERE seller_id IS NOT NULL AND NOT EXISTS (SELECT 1 FROM sellers s WHERE s.seller_id = p.seller_id) GROUP BY seller_id
+    """,
+)
+def incremental_keys(t: Tables) -> DataFrame:
+    """Three loads, each checked by its own keys; some sellers come after their products, and one load comes twice."""
+    base = t.scratch("incremental_keys")
+    seller = F.when(F.col("l_returnflag") != "R", F.col("l_suppkey"))
+    line = F.when(F.col("l_partkey") % 50 > 0, F.col("l_orderkey") * 8 + F.col("l_linenumber"))
+    products = t.lineitem.select(F.col("l_partkey").alias("product_id"), seller.alias("seller_id"), line.alias("line_id"))
+    sellers = t.supplier.select(F.col("s_suppkey").alias("seller_id"), "s_acctbal")
+    parents = KeyStore(t.spark, f"{base}/sellers", ["seller_id"])
+    primary = KeyStore(t.spark, f"{base}/products", ["line_id"])
+    foreign = KeyStore(t.spark, f"{base}/products_sellers", ["seller_id"], parents)
+    parents.add(sellers.filter("s_acctbal >= 6000"), "first")
+    third = F.pmod(F.xxhash64("product_id"), F.lit(3))
+    for load in (0, 1, 1, 2):
+        for store in (primary, foreign):
+            store.add(products.filter(third == load), f"load-{load}")
+        parents.add(sellers.filter("s_acctbal >= 2000 AND s_acctbal < 6000"), "late")
+    kinds = (("primary", primary, "line_id"), ("foreign", foreign, "seller_id"))
+    rows = [store.violations().select(F.lit(kind).alias("kind"), F.col(key).alias("key"), "n_rows") for kind, store, key in kinds]
+    return rows[0].unionAll(rows[1])

@@ -13,6 +13,7 @@ from lakemart.functions import document_path
 from lakemart.operators import flatten_products, keep_one
 from lakemart.operators.keys import key_filter
 from lakemart.plans import frontier
+from lakemart.plans.warehouse import FOREIGN_KEY, PRIMARY_KEY, check_table
 from lakemart.queries import documents
 from lakemart.queries.registry import Tables, query
 from lakemart.sources import (
@@ -224,9 +225,38 @@ def check_create_table_if_absent(t: Tables) -> DataFrame:
     create_table_if_absent(t.spark, name, ddl, location)
     t.supplier.select("s_suppkey", "s_name").write.insertInto(name)
     create_table_if_absent(t.spark, name, ddl, location)
-    rows = t.spark.read.schema(ddl).parquet(location)
+    path = t.scratch("table_rows")
+    write_parquet(t.spark.table(name), path)
     t.spark.sql(f"DROP TABLE {name}")
-    return rows
+    return t.spark.read.parquet(path)
+
+
+@query(
+    "K8 Q1 Q2",
+    """
+    WITH products AS (SELECT l_partkey AS product_id, l_suppkey AS seller_id FROM lineitem WHERE l_linenumber = 1),
+    sellers AS (SELECT s_suppkey AS seller_id FROM supplier WHERE s_acctbal >= 4000)
+    SELECT 'primary' AS kind, NULL::VARCHAR AS parent, '{"product_id":' || product_id || '}' AS "key", count(*) AS n_rows
+    FROM products GROUP BY product_id HAVING count(*) > 1
+    UNION ALL SELECT 'foreign', 'sellers', '{"seller_id":' || seller_id || '}', count(*) FROM products p
+    WHERE NOT EXISTS (SELECT 1 FROM sellers s WHERE s.seller_id = p.seller_id) GROUP BY seller_id
+    """,
+)
+def declared_in_catalog(t: Tables) -> DataFrame:
+    """Keys declared as table properties, read back by name and checked from them alone."""
+    database, path = f"lakemart_{uuid.uuid4().hex}", t.scratch("declared_in_catalog")
+    t.spark.sql(f"CREATE DATABASE {database}")
+    lines = t.lineitem.filter("l_linenumber = 1")
+    tables = {
+        "sellers": (t.supplier.filter("s_acctbal >= 4000").select("s_suppkey"), "seller_id bigint", {PRIMARY_KEY: "seller_id"}),
+        "products": (lines.select("l_partkey", "l_suppkey"), "product_id bigint, seller_id bigint", {PRIMARY_KEY: "product_id", f"{FOREIGN_KEY}sellers": "seller_id"}),
+    }
+    for name, (rows, ddl, keys) in tables.items():
+        create_table_if_absent(t.spark, f"{database}.{name}", ddl, f"{path}/{name}", keys)
+        rows.write.insertInto(f"{database}.{name}")
+    write_parquet(check_table(t.spark, f"{database}.products"), f"{path}/found")
+    t.spark.sql(f"DROP DATABASE {database} CASCADE")
+    return t.spark.read.parquet(f"{path}/found")
 
 
 def _listing(t: Tables) -> DataFrame:

@@ -225,6 +225,27 @@ def path_inventory(t: Tables) -> DataFrame:
     return frontier.folder_counts(t.pages, strip_prefix(strip_prefix(F.col("url"), "http://"), "https://"))
 
 
+@query(
+    "B11 A5 U1",
+    """
+    WITH pairs AS (SELECT DISTINCT l_returnflag AS folder, l_orderkey FROM lineitem)
+    SELECT folder, count(*) AS n_subfolders, true AS close FROM pairs GROUP BY folder
+    UNION ALL SELECT NULL, count(*), true FROM pairs
+    """,
+)
+def sketched_inventory(t: Tables) -> DataFrame:
+    """Exact counts beside sketched ones, which three runs add up, one of them twice and two overlapping."""
+    path = t.scratch("sketched_inventory")
+    key, line = F.col("l_orderkey"), F.col("l_linenumber")
+    paths = t.lineitem.select(F.concat_ws("/", "l_returnflag", key.cast("string"), line.cast("string")).alias("path"), line.alias("line"))
+    for part, run in ((F.col("line") < 3, "a"), (F.col("line") > 2, "b"), (F.col("line") > 2, "b"), (F.col("line") < 5, "c")):
+        counted = frontier.run_sketched_inventory(t.spark, paths.filter(part), F.col("path"), path, run)
+    exact = frontier.folder_counts(paths, F.col("path"))
+    about = counted.select(F.col("folder").alias("name"), F.col("n_subfolders").alias("about"))
+    error = F.abs(F.col("about") - F.col("n_subfolders")) / F.col("n_subfolders")
+    return exact.join(about, F.col("folder").eqNullSafe(F.col("name"))).select("folder", "n_subfolders", (error < 0.05).alias("close"))
+
+
 @query(
     "E19",
     r"""
@@ -283,7 +304,14 @@ def slug_id_extract(t: Tables) -> DataFrame:
     """,
 )
 def link_extract(t: Tables) -> DataFrame:
-    return t.pages.select("page_id", F.posexplode(anchor_links(F.col("html"))).alias("pos", "link")).select(
+    """Anchors as given, amid text that only looks like some: in comments, raw text and quoted values."""
+    decoys = (
+        """<!-- <a href="/comment"> > --><!--><script>var s = "<a href='/script'>", t = 1 > 0;</script>"""
+        """<title><a href="/title"></title><img alt="<a href='/alt'>"><textarea><a href="/text"></textarea>"""
+    )
+    html = F.regexp_replace("html", '<a href="', """<a data-x="1 > 0 <a href='/quoted'>" href=\"""")
+    html = F.concat(F.lit(decoys), html, F.lit("""<style>a > b {} <a href="/open">"""))
+    return t.pages.select("page_id", F.posexplode(anchor_links(html)).alias("pos", "link")).select(
         "page_id", (F.col("pos") + 1).cast("bigint").alias("link_no"), F.col("link.href").alias("href")
     )
 
