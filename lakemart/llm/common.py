@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from lakemart.sources.paths import scratch_path
+
 #: A word is a run of characters other than space and the control characters tab to carriage return.
 SPACES = r"[\x20\x09-\x0D]+"
 WORD = r"[^\x20\x09-\x0D]+"
@@ -33,6 +35,21 @@ def unpacked(rows: DataFrame) -> DataFrame:
     return rows.select("row.*")
 
 
+def stored(frame: DataFrame, name: str, narrow: bool = False) -> DataFrame:
+    """The rows, written to the shared scratch folder and read from there.
+
+    A ``narrow`` table, a few numbers per row, is written by an eighth of the
+    shuffle partitions: as many files as partitions would be very many small
+    ones, and every file that a task opens costs it a process on some stores.
+    """
+    spark = frame.sparkSession
+    path = scratch_path(spark, name)
+    if narrow:
+        frame = frame.coalesce(max(12, int(spark.conf.get("spark.sql.shuffle.partitions")) // 8))
+    frame.write.parquet(path)
+    return spark.read.parquet(path)
+
+
 def salted_join(left: DataFrame, right: DataFrame, key: str, salt: Column, how: str, salts: int = 16) -> DataFrame:
     """Equi-join on ``key`` where ``left`` may repeat a key without bound and ``right`` holds it once.
 

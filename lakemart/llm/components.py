@@ -20,8 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lakemart.llm.common import salted_join
-from lakemart.sources.paths import scratch_path
+from lakemart.llm.common import salted_join, stored
 
 
 def _both_ways(edges: DataFrame) -> DataFrame:
@@ -81,14 +80,7 @@ def components(edges: DataFrame) -> DataFrame:
 
     Ids of no edge are not returned.  Loops give no row of their own.
     """
-    spark = edges.sparkSession
-
-    def stored(frame: DataFrame) -> DataFrame:
-        path = scratch_path(spark, "edges")
-        frame.write.parquet(path)
-        return spark.read.parquet(path)
-
-    current = stored(_oriented(edges).mapInArrow(_joined, "a long, b long"))
+    current = stored(_oriented(edges).mapInArrow(_joined, "a long, b long"), "edges", narrow=True)
     before = None
     while True:
         mark = current.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
@@ -100,7 +92,7 @@ def components(edges: DataFrame) -> DataFrame:
         joined = small.select(F.col("v").alias("b"), F.col("least").alias("a")).unionAll(
             small.select(F.col("u").alias("b"), F.col("least").alias("a"))
         )
-        current = stored(_oriented(joined))
+        current = stored(_oriented(joined), "edges", narrow=True)
     return current.select(F.col("b").alias("id"), F.col("a").alias("component")).unionAll(
         current.select(F.col("a").alias("id"), F.col("a").alias("component")).distinct()
     )

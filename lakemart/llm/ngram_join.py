@@ -41,10 +41,9 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakemart.llm.common import packed, salted_join, text_or_empty, unpacked
+from lakemart.llm.common import packed, salted_join, stored, text_or_empty, unpacked
 from lakemart.llm.components import components
 from lakemart.llm.words import Words, mix, ranges, shingle_sets, small_batches
-from lakemart.sources.paths import scratch_path
 
 #: Shingles per bucket of step 2 and per task of step 4.
 BUCKET_SHINGLES = 2 << 20
@@ -214,9 +213,18 @@ def _keep_live(percent: int):
     return run
 
 
+def _first_of_each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The first row of each node that a task meets."""
+    seen: set[int] = set()
+    for batch in batches:
+        nodes = batch.column("node").to_pylist()
+        first = [not (node in seen or seen.add(node)) for node in nodes]
+        yield batch if all(first) else batch.filter(pa.array(first, pa.bool_()))
+
+
 def _node_sets(k: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch, values, first in _sets(batches, k):
+        for batch, values, first in _sets(_first_of_each(batches), k):
             blobs = [_blob(values[first[i] : first[i + 1]]) for i in range(batch.num_rows)]
             yield pa.RecordBatch.from_arrays(
                 [batch.column("node"), pa.array(np.diff(first)), pa.array(blobs, pa.binary())], names=["node", "n", "shingles"]
@@ -412,12 +420,6 @@ def _small_batches(spark: SparkSession):
                 spark.conf.set(key, value)
 
 
-def _stored(frame: DataFrame, name: str) -> DataFrame:
-    path = scratch_path(frame.sparkSession, name)
-    frame.write.parquet(path)
-    return frame.sparkSession.read.parquet(path)
-
-
 def _partitions(spark: SparkSession, rows: int, each: int) -> int:
     return max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-rows // each))
 
@@ -456,8 +458,8 @@ def _sharing(prefixes: DataFrame) -> DataFrame:
         least = rows.groupBy("code").agg(F.min("node").alias("least"), F.max("node").alias("most")).filter("least < most")
         return salted_join(rows, least.select("code", "least"), "code", F.xxhash64("node"), "inner", 8)
 
-    shared = _stored(with_least(prefixes), "shared")
-    labels = _stored(shared.groupBy("node").agg(F.min("least").alias("label")), "labels")
+    shared = stored(with_least(prefixes), "shared", narrow=True)
+    labels = stored(shared.groupBy("node").agg(F.min("least").alias("label")), "labels", narrow=True)
     labelled = shared.join(_checked(labels, 24), "node").select("code", F.col("label").alias("node")).distinct()
     left = with_least(labelled).select(F.col("node").alias("a"), F.col("least").alias("b")).distinct()
     return labels.select(F.col("node").alias("a"), F.col("label").alias("b")).unionAll(left)
@@ -469,16 +471,16 @@ def _links(sets: DataFrame, percent: int, cluster_shingles: int) -> DataFrame:
     schema = "node long, n long, shingles binary"
     classed = sets.mapInArrow(_in_classes(percent), schema)
     total = 2 * (sets.agg(F.sum("n")).first()[0] or 0)
-    left = _stored(_suspects(sets, _read_classes(percent), percent, total).select(F.col("key").alias("node")), "left")
-    units = _stored(classed.join(_checked(left, 16), "node"), "units")
+    left = stored(_suspects(sets, _read_classes(percent), percent, total).select(F.col("key").alias("node")), "left", narrow=True)
+    units = stored(classed.join(_checked(left, 16), "node"), "units")
     counts = np.zeros(1 << SKETCH_BITS, dtype=np.int64)
     slots = units.select("shingles").mapInArrow(_count_slots, "slot long, n long").groupBy("slot").agg(F.sum("n").alias("n"))
     for slot, n in slots.toArrow().to_pandas().itertuples(index=False):  # at most 2 ** SKETCH_BITS rows
         counts[slot] = n
     sketch = spark.sparkContext.broadcast(counts)
-    prefixes = _stored(units.select("node", "shingles").mapInArrow(_prefixes(percent, sketch), "code long, node long"), "prefixes")
+    prefixes = stored(units.select("node", "shingles").mapInArrow(_prefixes(percent, sketch), "code long, node long"), "prefixes")
     clusters = components(_sharing(prefixes))
-    clusters = _stored(clusters.withColumnRenamed("id", "node"), "clusters")
+    clusters = stored(clusters.withColumnRenamed("id", "node"), "clusters", narrow=True)
     blocks = (
         units.select("node", "n")
         .join(_checked(clusters, 24), "node")
@@ -487,7 +489,7 @@ def _links(sets: DataFrame, percent: int, cluster_shingles: int) -> DataFrame:
         .filter(F.col("n") > cluster_shingles)
         .select("component", F.ceil(F.col("n") * 2 / cluster_shingles).cast("int").alias("blocks"))
     )
-    named = _stored(salted_join(clusters, blocks, "component", F.xxhash64("node"), "left", 8).fillna({"blocks": 1}), "blocks")
+    named = stored(salted_join(clusters, blocks, "component", F.xxhash64("node"), "left", 8).fillna({"blocks": 1}), "blocks", narrow=True)
     own = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
     every = F.sequence(F.lit(0), F.col("blocks") - 1)
     dealt = (
@@ -500,6 +502,12 @@ def _links(sets: DataFrame, percent: int, cluster_shingles: int) -> DataFrame:
     return searched.select(F.expr("a div 2").alias("a"), F.expr("b div 2").alias("b"))
 
 
+def _one_set_per_node(rows: DataFrame, k: int, nodes: int) -> DataFrame:
+    """Stored ``node, n, shingles``; rows of one id and text share a node, and one of them stands for it."""
+    sets = stored(rows.select("node", "text").mapInArrow(_node_sets(k), "node long, n long, shingles binary"), "sets")
+    return sets if sets.count() == nodes else stored(sets.dropDuplicates(["node"]), "sets")
+
+
 def _classes_and_links(
     docs: DataFrame, k: int, percent: int, text: str, doc_id: str, cluster_shingles: int
 ) -> tuple[DataFrame, DataFrame, DataFrame]:
@@ -507,10 +515,10 @@ def _classes_and_links(
     rows = _documents(docs, text, doc_id)
     schema = "doc_id long, hash long, n_shingles long, d0 long, d1 long"
     keys = rows.select("doc_id", "hash", "text").mapInArrow(_digest_sets(k), schema)
-    keys = _stored(keys.withColumn("row_no", F.monotonically_increasing_id()), "set-digests")
+    keys = stored(keys.withColumn("row_no", F.monotonically_increasing_id()), "set-digests")
     total = keys.agg(F.sum("n_shingles")).first()[0] or 0
     key = F.coalesce("doc_id", F.lit(-(2**63)))
-    classes = _stored(
+    classes = stored(
         keys.filter("n_shingles > 0")
         .groupBy("d0", "d1", "n_shingles")
         .agg(
@@ -520,16 +528,14 @@ def _classes_and_links(
             F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), key.alias("key"), "hash")).alias("first"),
         ),
         "set-classes",
+        narrow=True,
     )
     suspects = _suspects(rows.select("key", "hash", "text"), lambda batches: _sets(batches, k), percent, total)
-    chosen = _stored(
-        classes.select("node", "first.key", "first.hash").join(suspects, ["key", "hash"], "left_semi"), "suspects"
-    )
-    sets = _stored(
-        rows.select("key", "hash", "text").join(_checked(chosen, 32), ["key", "hash"]).select("node", "text").mapInArrow(_node_sets(k), "node long, n long, shingles binary"),
-        "sets",
+    chosen = stored(
+        classes.select("node", "first.key", "first.hash").join(suspects, ["key", "hash"], "left_semi"), "suspects", narrow=True
     )
-    found = _stored(components(_links(sets, percent, cluster_shingles)).withColumnRenamed("id", "node"), "found")
+    sets = _one_set_per_node(rows.select("key", "hash", "text").join(_checked(chosen, 32), ["key", "hash"]), k, chosen.count())
+    found = stored(components(_links(sets, percent, cluster_shingles)).withColumnRenamed("id", "node"), "found", narrow=True)
     return keys, classes, found
 
 
@@ -582,7 +588,7 @@ def keep_one_of_each(docs: DataFrame, k: int = 5, percent: int = 80, text: str =
     linked = salted_join(documents, _named(classes, found).select("digest", "kept"), "digest", F.xxhash64("row_no"), "inner", 8)
     dropped = (F.col("key") != F.col("kept.key")) | (F.col("hash") != F.col("kept.hash"))
     counted = linked.groupBy("key", "hash", dropped.alias("dropped")).agg(F.count(F.lit(1)).alias("n")).filter("dropped or n > 1")
-    counted = _stored(counted.select("key", "hash", "dropped"), "dropped")
+    counted = stored(counted.select("key", "hash", "dropped"), "dropped", narrow=True)
     gone, again = counted.filter("dropped").select("key", "hash"), counted.filter("not dropped").select("key", "hash")
     identity = F.col(doc_id).cast("long")
     rows = packed(docs, F.coalesce(identity, F.lit(-(2**63))).alias("key"), F.xxhash64(text_or_empty(text)).alias("hash"))

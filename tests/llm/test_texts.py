@@ -7,6 +7,7 @@ from collections import Counter, defaultdict
 import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 from lakemart.llm import ngram_join, substring_dedup
 from lakemart.llm.components import components
@@ -197,3 +198,17 @@ def test_groups_are_never_split():
     assert pa.concat_tables(parts).equals(table.combine_chunks()) or pa.concat_tables(parts).to_pylist() == table.to_pylist()
     edges = [(p.column("k")[0].as_py(), p.column("k")[-1].as_py()) for p in parts]
     assert len(parts) > 3 and all(a[1] < b[0] for a, b in zip(edges, edges[1:], strict=False))
+
+
+def test_repeated_rows_become_one_set(spark):
+    """Rows with one id and text share a node; they reach the search as one set, in few rows before."""
+    text = edge.prose(3, 200)
+    near = text.replace(text.split()[7], "other")
+    rows = [edge.row(None, text)] * 3000 + [edge.row(5, near)]
+    docs = ngram_join._documents(spark.createDataFrame(rows, edge.SCHEMA).repartition(4), "text", "doc_id")
+    named = docs.withColumn("node", F.when(F.col("doc_id").isNull(), 1).otherwise(2).cast("long"))
+    per_task = named.select("node", "text").mapInArrow(ngram_join._node_sets(5), "node long, n long, shingles binary")
+    assert per_task.count() <= 5
+    assert ngram_join._one_set_per_node(named, 5, 2).count() == 2
+    got = ngram_join.near_duplicates(spark.createDataFrame(rows, edge.SCHEMA)).groupBy("component_id").count().collect()
+    assert [(r["component_id"], r["count"]) for r in got] == [(5, 3001)]
