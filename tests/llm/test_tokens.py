@@ -2,7 +2,7 @@
 
 import random
 import zlib
-from collections import Counter
+from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
@@ -76,12 +76,25 @@ def test_sequences_and_buckets(docs, spark, library, tmp_path):
     for r in sequences.collect():
         assert zlib.crc32(np.array(r["ids"], dtype="<u4").tobytes()) == r["ids_crc32"] and len(r["ids"]) == r["length"]
     packing.write_buckets(sequences, str(tmp_path / "b"))
-    assert spark.read.parquet(str(tmp_path / "b/length=64")).select(F.size("ids")).distinct().collect()[0][0] == 64
+    assert spark.read.parquet(str(tmp_path / "b/bucket=6")).select(F.size("ids")).distinct().collect()[0][0] == 64
     assert packing.training_sequences(docs.filter("false")).count() == packing.pack_report(docs.filter("false")).count() == 0
     with pytest.raises(ValueError, match="power of two"):
         packing.pack(docs, longest=1000)
 
 
+def test_batches_hold_pieces_of_one_bucket(docs):
+    pieces = packing.pack(docs.repartition(3)).collect()
+    by_batch, by_bucket = defaultdict(list), defaultdict(list)
+    for r in pieces:
+        assert r["length"] == 1 << r["bucket"]
+        by_batch[r["batch"]].append(r["length"])
+        by_bucket[r["bucket"]].append(r["batch"])
+    assert all(len(set(lengths)) == 1 and sum(lengths) <= packing.BATCH_TOKENS for lengths in by_batch.values())
+    for bucket, batches in by_bucket.items():
+        assert len(set(batches)) <= len(batches) // (packing.BATCH_TOKENS >> bucket) + 3
+    assert any(len(lengths) > 10 for lengths in by_batch.values())
+
+
 @pytest.mark.parametrize("by", [(), ("source",)])
 def test_counts(docs, library, by):
     lengths = [(r[3] if by else None, len(library(r[1]))) for r in edge.documents()]
