@@ -44,11 +44,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lakemart.llm import ngram_join
-from lakemart.llm.common import salted_join, text_or_empty
+from lakemart.llm.common import salted_join, stored, text_or_empty
 from lakemart.llm.components import components
 from lakemart.llm.ngram_join import grouped
 from lakemart.llm.words import Words, mix, ranges, shingle_sets, small_batches
-from lakemart.sources.paths import scratch_path
 
 BANDS, ROWS = 48, 4
 SAMPLES = BANDS * ROWS
@@ -160,12 +159,6 @@ def _signatures(k: int):
 # --- candidates ---------------------------------------------------------------------------------
 
 
-def _stored(frame: DataFrame, name: str) -> DataFrame:
-    path = scratch_path(frame.sparkSession, name)
-    frame.write.parquet(path)
-    return frame.sparkSession.read.parquet(path)
-
-
 def _tasks(frame: DataFrame, rows: int, each: int) -> int:
     return max(int(frame.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-rows // each))
 
@@ -237,36 +230,48 @@ def _paired(rows: DataFrame, group: str, blocks: Column, *columns: str) -> DataF
     return every.select(group, F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), *columns)
 
 
+def _few_edges(close: DataFrame) -> DataFrame:
+    """Edges ``(a, b)`` that connect what ``close`` does: a node to its smallest partner, and that to the others.
+
+    In a group of near copies many bands have the same few smallest nodes, so
+    that little more than an edge per node is left.
+    """
+    label = stored(close.groupBy("node").agg(F.min("least").alias("label")), "least-partners", narrow=True)
+    between = _lookup(close, label, "node", F.xxhash64("least"), 24).filter("label <> least")
+    between = between.select(F.col("label").alias("a"), F.col("least").alias("b")).distinct()
+    return label.select(F.col("label").alias("a"), F.col("node").alias("b")).unionAll(between)
+
+
 def sketch_clusters(nodes: DataFrame, percent: int) -> DataFrame:
     """``(id, component)`` for the nodes that sketches of shared bands connect; takes ``node, sketch, bands``."""
     limit = most_different_bits(percent)
     spread = F.xxhash64("node")
     keyed = nodes.select("node", F.explode("bands").alias("band"))
     least = keyed.groupBy("band").agg(F.min("node").alias("least"), F.max("node").alias("most")).filter("least < most")
-    shared = _stored(least.select("band", "least"), "bands")
-    members = _stored(_lookup(keyed, shared, "band", spread, 24).select("band", "node", "least"), "members")
+    shared = stored(least.select("band", "least"), "bands", narrow=True)
+    members = stored(_lookup(keyed, shared, "band", spread, 24).select("band", "node", "least"), "members")
     named = members.select("node").distinct()
-    sketches = _stored(nodes.select("node", "sketch").join(named, "node", "left_semi"), "sketches")
-    pairs = _stored(members.filter("node <> least").select("node", "least").distinct(), "pairs")
+    sketches = stored(nodes.select("node", "sketch").join(named, "node", "left_semi"), "sketches")
+    pairs = stored(members.filter("node <> least").select("node", "least").distinct(), "pairs", narrow=True)
     size = WORDS * 8 + 24
     beside = _lookup(pairs, sketches.withColumnRenamed("sketch", "own"), "node", F.xxhash64("least"), size)
     beside = _lookup(beside, sketches.select(F.col("node").alias("least"), "sketch"), "least", spread, size)
-    close = beside.filter(_bit_count("own", "sketch") <= limit).select(F.col("least").alias("a"), F.col("node").alias("b"))
-    labels = _stored(components(close), "labels")
+    close = stored(beside.filter(_bit_count("own", "sketch") <= limit).select("node", "least"), "close", narrow=True)
+    labels = stored(components(_few_edges(close)), "labels", narrow=True)
     # Keys of at least three nodes that are not all connected yet; of two nodes the only pair has been compared.
     labelled = _lookup(members.select("band", "node"), labels.withColumnsRenamed({"id": "node", "component": "label"}), "node", F.xxhash64("band"), 24, "left")
     labelled = labelled.withColumn("label", F.coalesce("label", "node"))
     open_ = labelled.groupBy("band").agg(F.count(F.lit(1)).alias("n"), F.min("label").alias("low"), F.max("label").alias("high"))
-    open_ = _stored(open_.filter("low < high AND n > 2").select("band", "n"), "open-bands")
+    open_ = stored(open_.filter("low < high AND n > 2").select("band", "n"), "open-bands", narrow=True)
     if open_.isEmpty():
         return labels
-    rows = _stored(_lookup(labelled, open_, "band", spread, 24), "open-members")
+    rows = stored(_lookup(labelled, open_, "band", spread, 24), "open-members")
     rows = _lookup(rows, sketches, "node", F.xxhash64("band"), size)
     blocks = F.when(F.col("n") > KEY_NODES, F.ceil(F.col("n") * 2 / KEY_NODES)).otherwise(1).cast("int")
     dealt = _paired(rows, "band", blocks, "node", "label", "sketch")
     dealt = dealt.repartition(_tasks(nodes, 0, 1), "band", "i", "j").sortWithinPartitions("band", "i", "j")
     more = dealt.mapInArrow(_compare_in_keys(limit), "a long, b long")
-    return _stored(components(labels.select(F.col("id").alias("a"), F.col("component").alias("b")).unionAll(more)), "clusters")
+    return stored(components(labels.select(F.col("id").alias("a"), F.col("component").alias("b")).unionAll(more)), "clusters", narrow=True)
 
 
 # --- exact links --------------------------------------------------------------------------------
@@ -345,27 +350,27 @@ def _searched(dealt: DataFrame, percent: int, total: int, each: int) -> DataFram
 
 def linked_components(sets: DataFrame, percent: int, cluster_shingles: int = CLUSTER_SHINGLES) -> DataFrame:
     """``(id, component)`` of the linked nodes; takes stored ``node, cluster, n, shingles, sketch``."""
-    sizes = _stored(sets.groupBy("cluster").agg(F.sum("n").alias("size"), F.min("node").alias("first")), "cluster-sizes")
+    sizes = stored(sets.groupBy("cluster").agg(F.sum("n").alias("size"), F.min("node").alias("first")), "cluster-sizes", narrow=True)
     total = sizes.agg(F.sum("size")).first()[0] or 0
     blocks = F.when(F.col("size") > cluster_shingles, F.ceil(F.col("size") * 2 / cluster_shingles)).otherwise(1).cast("int")
     own = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
     known = _lookup(sets, sizes.select("cluster", "first", blocks.alias("blocks")), "cluster", F.xxhash64("node"), 32)
     block = F.when(F.col("node") == F.col("first"), F.sequence(F.lit(0), F.col("blocks") - 1)).otherwise(F.array(own))
     alone = known.select("*", F.explode(block).alias("i"), F.lit(0).alias("j"), F.col("node").alias("label"), F.lit(True).alias("asks"))
-    found = _stored(components(_searched(alone, percent, total, cluster_shingles)), "linked")
+    found = stored(components(_searched(alone, percent, total, cluster_shingles)), "linked", narrow=True)
     if sizes.filter(F.col("size") > cluster_shingles).isEmpty():
         return found
     labels = found.withColumnsRenamed({"id": "node", "component": "label"})
     split = _lookup(known.filter("blocks > 1").withColumn("own", own), labels, "node", F.xxhash64("cluster"), 24, "left").withColumn("label", F.coalesce("label", "node"))
-    by_label = _stored(split.groupBy("cluster", "label").agg(F.sum("n").alias("size")), "label-sizes")
+    by_label = stored(split.groupBy("cluster", "label").agg(F.sum("n").alias("size")), "label-sizes", narrow=True)
     outside = by_label.groupBy("cluster").agg(F.max_by("label", F.struct("size", "label")).alias("largest"), (F.sum("size") - F.max("size")).alias("left"))
     outside = outside.filter(F.col("left") > 0).select("cluster", "largest", F.ceil(F.col("left") * 2 / cluster_shingles).cast("int").alias("turns"))
-    split = _lookup(split, _stored(outside, "outside"), "cluster", F.xxhash64("node"), 32)
+    split = _lookup(split, stored(outside, "outside", narrow=True), "cluster", F.xxhash64("node"), 32)
     everyone = split.select("*", F.col("own").alias("i"), F.explode(F.sequence(F.lit(0), F.col("turns") - 1)).alias("j"), F.lit(False).alias("asks"))
     turn = F.pmod(F.xxhash64("node", F.lit("turn")), F.col("turns")).cast("int")
     asking = split.filter("label <> largest").select("*", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("i"), turn.alias("j"), F.lit(True).alias("asks"))
     more = _searched(everyone.unionByName(asking), percent, total, cluster_shingles)
-    return _stored(components(found.select(F.col("id").alias("a"), F.col("component").alias("b")).unionAll(more)), "linked")
+    return stored(components(found.select(F.col("id").alias("a"), F.col("component").alias("b")).unionAll(more)), "linked", narrow=True)
 
 
 # --- documents ----------------------------------------------------------------------------------
@@ -381,28 +386,28 @@ def near_duplicates(
     rows = docs.select(identity.alias("doc_id"), F.coalesce(identity, no_id).alias("key"), F.xxhash64(content).alias("hash"), content.alias("text"))
     schema = "doc_id long, hash long, n_shingles long, d0 long, d1 long, sketch array<long>, bands array<long>"
     signed = rows.select("doc_id", "hash", "text").mapInArrow(_signatures(k), schema)
-    signed = _stored(signed.withColumn("row_no", F.monotonically_increasing_id()), "signatures")
+    signed = stored(signed.withColumn("row_no", F.monotonically_increasing_id()), "signatures")
     digest = F.struct("d0", "d1", "n_shingles").alias("digest")
     classes = signed.filter("n_shingles > 0").groupBy("d0", "d1", "n_shingles")
     classes = classes.agg(F.min("row_no").alias("node"), F.min("doc_id").alias("least_id"), F.count(F.lit(1)).alias("n"))
-    classes = _stored(classes.select(digest, "node", "least_id", "n"), "classes")
+    classes = stored(classes.select(digest, "node", "least_id", "n"), "classes", narrow=True)
     repeated = classes.filter("n > 1").select("digest", F.col("node").alias("first"))
     single = _lookup(signed.filter("n_shingles > 0").withColumn("digest", digest), repeated, "digest", F.xxhash64("row_no"), 56, "left")
     nodes = single.filter("first IS NULL OR first = row_no").select(F.col("row_no").alias("node"), "sketch", "bands")
     clusters = sketch_clusters(nodes, percent).select(F.col("id").alias("row_no"), F.col("component").alias("cluster"))
-    names = _lookup(signed.select("row_no", F.coalesce("doc_id", no_id).alias("key"), "hash"), _stored(clusters, "in-clusters"), "row_no", F.xxhash64("row_no"), 24)
-    names = _stored(names.withColumnRenamed("row_no", "node"), "names")
+    names = _lookup(signed.select("row_no", F.coalesce("doc_id", no_id).alias("key"), "hash"), stored(clusters, "in-clusters"), "row_no", F.xxhash64("row_no"), 24)
+    names = stored(names.withColumnRenamed("row_no", "node"), "names")
     n_nodes = names.count()
     chosen = F.broadcast(names) if n_nodes * 40 <= BROADCAST_BYTES else names
     texts = rows.select("key", "hash", "text").join(chosen, ["key", "hash"]).select("node", "cluster", "text")
-    sets = _stored(texts.mapInArrow(_node_sets(k), "node long, cluster long, n long, shingles binary, sketch array<long>"), "sets")
+    sets = stored(texts.mapInArrow(_node_sets(k), "node long, cluster long, n long, shingles binary, sketch array<long>"), "sets")
     if sets.count() > n_nodes:
-        sets = _stored(sets.dropDuplicates(["node"]), "sets")
+        sets = stored(sets.dropDuplicates(["node"]), "sets")
     found = linked_components(sets, percent, cluster_shingles).select(F.col("id").alias("node"), "component")
     labelled = classes.join(found, "node", "left").withColumn("label", F.coalesce("component", "node"))
     joined = labelled.filter((F.col("n") > 1) | F.col("component").isNotNull())
     least = joined.groupBy("label").agg(F.min("least_id").alias("component_id"))
-    named = _stored(salted_join(joined, least, "label", F.xxhash64("node"), "inner", _SALTS).select("digest", "component_id", F.lit(True).alias("named")), "named")
+    named = stored(salted_join(joined, least, "label", F.xxhash64("node"), "inner", _SALTS).select("digest", "component_id", F.lit(True).alias("named")), "named", narrow=True)
     result = _lookup(signed.select("doc_id", "n_shingles", digest, "row_no"), named, "digest", F.xxhash64("row_no"), 48, "left")
     component = F.when(F.col("named"), F.col("component_id")).otherwise(F.col("doc_id"))
     return result.select("doc_id", "n_shingles", component.alias("component_id"), F.col("doc_id").eqNullSafe(component).alias("kept"))

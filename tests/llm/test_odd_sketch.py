@@ -124,7 +124,7 @@ def test_a_group_of_near_copies_sends_each_set_to_few_tasks(spark):
     rows = families(5, 1, 300, 150, 0, 2)
     docs = spark.createDataFrame(rows, edge.SCHEMA)
     named = docs.select(F.col("doc_id").alias("node"), F.lit(0).cast("long").alias("cluster"), "text")
-    sets = odd_sketch._stored(named.mapInArrow(odd_sketch._node_sets(4), "node long, cluster long, n long, shingles binary, sketch array<long>"), "sets")
+    sets = odd_sketch.stored(named.mapInArrow(odd_sketch._node_sets(4), "node long, cluster long, n long, shingles binary, sketch array<long>"), "sets")
     dealt = []
     original = odd_sketch._searched
 
