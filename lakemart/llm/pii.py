@@ -13,21 +13,28 @@ pseudonyms, nothing that grows.
 | kind | format | what is permuted |
 | --- | --- | --- |
 | card | 13 to 19 digits, plain or in groups, Luhn digit right | all digits but the last, which is computed anew |
-| phone | country code in front or not, ten digits in groups | the ten digits |
-| ssn | ddd-dd-dddd of areas 001-665 and 667-899, group and serial above 0 | the three numbers inside their ranges |
-| ip | four octets up to 255 | the 32 bits |
-| date | yyyy-mm-dd, dd/mm/yyyy, dd.mm.yyyy from 1900-01-01 | the day, inside 270 * 270 days |
-| email | name@host | letters and digits of the name; case and other characters stay |
+| phone | ten digits in groups, country code in front or not; or ``+`` and 8 to 15 digits, however grouped | the digits after the country code |
+| ssn | ddd-dd-dddd, or with spaces, of areas 001-665 and 667-899, group and serial above 0 | the three numbers inside their ranges |
+| ip | four octets up to 255; IPv6 with eight groups or ``::`` | the 32 bits; the hex digits of each group |
+| iban | country, two check digits right modulo 97, 11 to 30 characters, plain or in fours | the digits after the check digits, which are computed anew |
+| date | yyyy-mm-dd, dd/mm/yyyy, dd.mm.yyyy from 1900-01-01; a time may follow | the day, inside 270 * 270 days |
+| email | name@host | letters of the Latin alphabets and digits of the name; case and other characters stay |
+
+The key itself is in no plan: the driver derives a key per round and only those
+stand in plans, ``explain`` and event logs.  They are enough to undo the
+pseudonyms, so logs of these jobs are as secret as the key is.
 
 Defined results: a null text stays null with counts of 0, an empty one empty.
 What looks like a kind but is not valid stays as it is.  Dates beyond the range
 (from 2099-08-05 on) stay.  Ids are not looked at; repeated rows are rows like
 others.  Extra columns are kept, whatever their names, unless they are called
-like the counts asked for.
+like the counts, which is an error.
 """
 
 from __future__ import annotations
 
+import hashlib
+import hmac
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame
@@ -36,23 +43,36 @@ from pyspark.sql import functions as F
 from lakemart.llm.common import packed
 
 ROUNDS = 8
-_NAME = r"[A-Za-z0-9._%+\-]"
+_KEY_CHARS = 32
+_NAME = r"[\p{L}\p{M}0-9._%+\-]"
 EMAIL = rf"(?<!{_NAME}){_NAME}++@[A-Za-z0-9\-]+(?:\.[A-Za-z0-9\-]+)+"
-PHONE = r"(?<![\w+])(?:\+\d{1,3}[ .\-]?)?(?:\(\d{3}\) ?|\d{3}[ .\-])\d{3}[ .\-]\d{4}(?!\w)"
-IP = r"(?<![\w.])\d{1,3}\.\d{1,3}\.\d{1,3}\.\d{1,3}(?!\w|\.\d)"
-SSN = r"(?<![\w\-])\d{3}-\d{2}-\d{4}(?![\w\-])"
-DATE = r"(?<![\w/\-])(?:\d{4}-\d{2}-\d{2}|\d{2}/\d{2}/\d{4}|\d{2}\.\d{2}\.\d{4})(?![\w/\-])"
+PHONE = r"(?<![\w+])(?:(?:\+\d{1,3}[ .\-]?)?(?:\(\d{3}\) ?|\d{3}[ .\-])\d{3}[ .\-]\d{4}|\+\d(?:[ .\-]?\(?\d\)?){7,14})(?!\w)"
+#: Country codes: two of one digit, those of two, all others of three.
+_COUNTRY = r"^(?:[17]|2[07]|3[0-469]|4[013-9]|5[1-8]|6[0-6]|8[1246]|9[0-58]|\d{3})"
+IBAN = r"(?<!\w)[A-Z]{2}\d{2}(?:[A-Z0-9]{11,30}|(?: [A-Z0-9]{4}){2,7}(?: [A-Z0-9]{1,3})?)(?!\w)"
+_HEX = r"[0-9A-Fa-f]{1,4}"
+IP6 = rf"(?<![\w:.])(?:(?:{_HEX}:){{7}}{_HEX}|{_HEX}(?::{_HEX}){{0,5}}::(?:{_HEX}(?::{_HEX}){{0,5}})?|::{_HEX}(?::{_HEX}){{1,6}})(?![\w:.])"
+IP4 = r"(?<![\w.])\d{1,3}\.\d{1,3}\.\d{1,3}\.\d{1,3}(?!\w|\.\d)"
+SSN = r"(?<![\w\-])(?:\d{3}-\d{2}-\d{4}|\d{3} \d{2} \d{4})(?![\w\-])"
+DATE = r"(?<![\w/\-])(?:\d{4}-\d{2}-\d{2}|\d{2}/\d{2}/\d{4}|\d{2}\.\d{2}\.\d{4})(?:(?=T\d)|(?![\w/\-]))"
 CARD = r"(?<!\w)(?:\d{13,19}|\d{4} \d{4} \d{4} \d{4}|\d{4}-\d{4}-\d{4}-\d{4}|\d{4} \d{6} \d{5}|\d{4}-\d{6}-\d{5})(?!\w)"
 #: Leftmost first, in this order where two start at one place.
-KINDS = {"email": EMAIL, "ip": IP, "date": DATE, "ssn": SSN, "card": CARD, "phone": PHONE}
+KINDS = {"email": EMAIL, "ip": f"(?:{IP4})|(?:{IP6})", "date": DATE, "ssn": SSN, "card": CARD, "iban": IBAN, "phone": PHONE}
 _ANY = "|".join(f"(?:{p})" for p in KINDS.values())
 _FIRST_DAY, _SIDE = "1900-01-01", 270
 _LETTERS = "abcdefghijklmnopqrstuvwxyz"
+_ACCENTED = "àáâãäåæçèéêëìíîïðñòóôõöøùúûüýþ"
+
+
+def round_keys(key: str) -> str:
+    """What plans hold of a key: a digest per round, joined; derived on the driver."""
+    return "".join(hmac.new(key.encode(), f"round {turn}".encode(), hashlib.sha256).hexdigest()[:_KEY_CHARS] for turn in range(ROUNDS))
 
 
 def _noise(key: str, tweak: Column, turn: Column, other: Column, bound: Column) -> Column:
-    """A keyed number below ``bound``."""
-    digest = F.sha2(F.concat_ws("|", F.lit(key), tweak, turn.cast("string"), other.cast("string")), 256)
+    """A keyed number below ``bound``; ``key`` are the round keys."""
+    mine = F.substring(F.lit(key), turn * _KEY_CHARS + 1, F.lit(_KEY_CHARS))
+    digest = F.sha2(F.concat_ws("|", mine, tweak, turn.cast("string"), other.cast("string")), 256)
     return F.pmod(F.conv(F.substring(digest, 1, 15), 16, 10).cast("long"), bound)
 
 
@@ -87,16 +107,16 @@ def _digits_permuted(digits: Column, key: str, tweak: str, back: bool) -> Column
     return F.lpad(value.cast("string"), n, "0")
 
 
-def _letters_permuted(letters: Column, key: str, tweak: str, back: bool) -> Column:
-    """Letters of one to 12 places, as numbers of base 26."""
-    n = F.length(letters)
+def _letters_permuted(letters: Column, key: str, tweak: str, back: bool, alphabet: str = _LETTERS) -> Column:
+    """Letters of one to 12 places, as numbers of the base of their alphabet."""
+    n, base = F.length(letters), len(alphabet)
     value = F.aggregate(
-        F.split(letters, ""), F.lit(0).cast("long"), lambda v, c: v * 26 + F.when(c == "", F.lit(0)).otherwise(F.instr(F.lit(_LETTERS), c) - 1)
+        F.split(letters, ""), F.lit(0).cast("long"), lambda v, c: v * base + F.when(c == "", F.lit(0)).otherwise(F.instr(F.lit(alphabet), c) - 1)
     )
     right = (n / 2).cast("int")
-    out = feistel(value, _power(26, n - right), _power(26, right), key, F.concat(F.lit(f"{tweak}:"), n.cast("string")), back)
+    out = feistel(value, _power(base, n - right), _power(base, right), key, F.concat(F.lit(f"{tweak}:"), n.cast("string")), back)
     places = F.sequence(n - 1, F.lit(0), F.lit(-1))
-    return F.array_join(F.transform(places, lambda p: F.substring(F.lit(_LETTERS), (F.pmod(F.call_function("div", out, _power(26, p)), F.lit(26)) + 1).cast("int"), F.lit(1))), "")
+    return F.array_join(F.transform(places, lambda p: F.substring(F.lit(alphabet), (F.pmod(F.call_function("div", out, _power(base, p)), F.lit(base)) + 1).cast("int"), F.lit(1))), "")
 
 
 def _in_parts(text: Column, size: int, permute: Callable[[Column], Column]) -> Column:
@@ -113,7 +133,7 @@ def _refilled(original: Column, kind: str, new: Column) -> Column:
     def step(s: Column, c: Column) -> Column:
         mine = c.rlike(kind)
         fresh = F.substring(new, s["at"], F.lit(1))
-        fresh = F.when(c.rlike("[A-Z]"), F.upper(fresh)).otherwise(fresh)
+        fresh = F.when(c.rlike(r"\p{Lu}"), F.upper(fresh)).otherwise(fresh)
         return F.struct(F.concat(s["out"], F.when(mine, fresh).otherwise(c)).alias("out"), F.when(mine, s["at"] + 1).otherwise(s["at"]).alias("at"))
 
     return F.aggregate(F.split(original, ""), state, step, lambda s: s["out"])
@@ -143,11 +163,25 @@ def _card(found: Column, key: str, back: bool) -> Column:
 
 def _phone(found: Column, key: str, back: bool) -> Column:
     digits = _digits(found)
-    code = F.substring(digits, F.lit(1), F.length(digits) - 10)
-    return _refilled(found, "[0-9]", F.concat(code, _digits_permuted(F.substring(digits, F.length(digits) - 9, F.lit(10)), key, "phone", back)))
+    grouped = F.regexp_replace(found, r"^\+\d{1,3}[ .\-]?(?=[(\d])", "").rlike(r"^(?:\(\d{3}\) ?|\d{3}[ .\-])\d{3}[ .\-]\d{4}$")
+    code = F.when(grouped, F.substring(digits, F.lit(1), F.length(digits) - 10)).otherwise(F.regexp_extract(digits, _COUNTRY, 0))
+    rest = F.substring(digits, F.length(code) + 1, F.length(digits))
+    return _refilled(found, "[0-9]", F.concat(code, _digits_permuted(rest, key, "phone", back)))
 
 
 def _ip(found: Column, key: str, back: bool) -> Column:
+    return F.when(found.contains(":"), _ip6(found, key, back)).otherwise(_ip4(found, key, back))
+
+
+def _ip6(found: Column, key: str, back: bool) -> Column:
+    """Hex digits in order, in parts, whatever the groups; capitals stay capitals by place."""
+    hexes = F.lower(F.regexp_replace(found, "[^0-9A-Fa-f]", ""))
+    new = _in_parts(hexes, 12, lambda p: _letters_permuted(p, key, "ip6", back, "0123456789abcdef"))
+    filled = _refilled(F.lower(found), "[0-9a-f]", new)
+    return F.when(found.rlike("[A-F]") & ~found.rlike("[a-f]"), F.upper(filled)).otherwise(filled)
+
+
+def _ip4(found: Column, key: str, back: bool) -> Column:
     octets = F.transform(F.split(found, r"\."), lambda o: o.cast("long"))
     value = F.aggregate(octets, F.lit(0).cast("long"), lambda v, o: v * 256 + o)
     side = F.lit(1 << 16).cast("long")
@@ -170,8 +204,30 @@ def _date(found: Column, key: str, back: bool) -> Column:
     return F.when((number >= 0) & (number < _SIDE * _SIDE), text)
 
 
+def _modulo_97(text: Column) -> Column:
+    """Remainder of digits and letters read as an IBAN reads them, A being 10."""
+    characters = F.filter(F.split(text, ""), lambda c: c != "")
+
+    def step(rest: Column, c: Column) -> Column:
+        value = F.instr(F.lit("0123456789ABCDEFGHIJKLMNOPQRSTUVWXYZ"), c) - 1
+        return F.pmod(F.when(value > 9, rest * 100 + value).otherwise(rest * 10 + value), F.lit(97)).cast("int")
+
+    return F.aggregate(characters, F.lit(0), step)
+
+
+def _iban(found: Column, key: str, back: bool) -> Column:
+    plain = F.replace(found, F.lit(" "), F.lit(""))
+    country, body = F.substring(plain, 1, 2), F.substring(plain, F.lit(5), F.length(plain))
+    digits = _in_parts(F.regexp_replace(body, "[^0-9]", ""), 18, lambda p: _digits_permuted(p, key, "iban", back))
+    new = _refilled(body, "[0-9]", digits)
+    check = F.lpad((F.lit(98) - _modulo_97(F.concat(new, country, F.lit("00")))).cast("string"), 2, "0")
+    valid = _modulo_97(F.concat(body, F.substring(plain, 1, 4))) == 1
+    return F.when(valid, _refilled(found, "[0-9A-Z]", F.concat(country, check, new)))
+
+
 def _ssn(found: Column, key: str, back: bool) -> Column:
-    area, group, serial = (F.split(found, "-")[i].cast("long") for i in range(3))
+    mark = F.substring(found, 4, 1)
+    area, group, serial = (F.split(found, "[ -]")[i].cast("long") for i in range(3))
     valid = area.between(1, 899) & (area != 666) & (group >= 1) & (serial >= 1)
     left, right = F.lit(898 * 99).cast("long"), F.lit(9999).cast("long")
     place = F.when(area > 666, area - 2).otherwise(area - 1)  # 666 is no area
@@ -179,8 +235,8 @@ def _ssn(found: Column, key: str, back: bool) -> Column:
     high = F.call_function("div", new, right)
     place = F.call_function("div", high, F.lit(99))
     parts = (F.when(place >= 665, place + 2).otherwise(place + 1), F.pmod(high, F.lit(99)) + 1, F.pmod(new, right) + 1)
-    text = F.concat_ws("-", *[F.lpad(p.cast("string"), w, "0") for p, w in zip(parts, (3, 2, 4), strict=True)])
-    return F.when(valid, text)
+    first, second, third = (F.lpad(p.cast("string"), w, "0") for p, w in zip(parts, (3, 2, 4), strict=True))
+    return F.when(valid, F.concat(first, mark, second, mark, third))
 
 
 def _email(found: Column, key: str, back: bool) -> Column:
@@ -188,10 +244,13 @@ def _email(found: Column, key: str, back: bool) -> Column:
     host = F.substring(found, F.length(name) + 1, F.length(found))
     letters = _in_parts(F.lower(F.regexp_replace(name, "[^A-Za-z]", "")), 12, lambda p: _letters_permuted(p, key, "email", back))
     digits = _in_parts(F.regexp_replace(name, "[^0-9]", ""), 18, lambda p: _digits_permuted(p, key, "email", back))
-    return F.concat(_refilled(_refilled(name, "[A-Za-z]", letters), "[0-9]", digits), host)
+    accented = F.lower(F.regexp_replace(name, "[^À-ÖØ-Þà-öø-þ]", ""))
+    others = _in_parts(accented, 12, lambda p: _letters_permuted(p, key, "email:accented", back, _ACCENTED))
+    plain = _refilled(_refilled(name, "[A-Za-z]", letters), "[0-9]", digits)
+    return F.concat(F.when(F.length(accented) > 0, _refilled(plain, "[À-ÖØ-Þà-öø-þ]", others)).otherwise(plain), host)
 
 
-_PSEUDONYM = {"email": _email, "ip": _ip, "date": _date, "ssn": _ssn, "card": _card, "phone": _phone}
+_PSEUDONYM = {"email": _email, "ip": _ip, "date": _date, "ssn": _ssn, "card": _card, "iban": _iban, "phone": _phone}
 
 
 def _replacement(found: Column, key: str, back: bool) -> Column:
@@ -208,8 +267,13 @@ def _replacement(found: Column, key: str, back: bool) -> Column:
 def pseudonymise(docs: DataFrame, key: str, text: str = "text", back: bool = False) -> DataFrame:
     """``docs`` with pseudonyms in ``text``, and ``n_<kind>`` counts of what was replaced.
 
-    ``back`` undoes it under the same key.
+    ``back`` undoes it under the same key.  A column of the caller that is called
+    like a count is an error, as it would be lost.
     """
+    taken = {f"n_{kind}" for kind in KINDS} & set(docs.columns)
+    if taken:
+        raise ValueError(f"columns {sorted(taken)} are names of counts; rename them")
+    key = round_keys(key)
     finds = F.when(F.col("text").rlike("[0-9@]"), F.regexp_extract_all("text", F.lit(_ANY), F.lit(0))).otherwise(F.array().cast("array<string>"))
     rows = packed(docs, F.col(f"`{text}`").alias("text")).withColumn("finds", finds)
     rows = rows.withColumn("news", F.transform("finds", lambda found: _replacement(found, key, back)))
@@ -221,7 +285,7 @@ def pseudonymise(docs: DataFrame, key: str, text: str = "text", back: bool = Fal
         return F.size(F.filter("news", lambda new: (new["kind"] == kind) & new["new"].isNotNull()))
 
     counts = [F.coalesce(replaced(kind), F.lit(0)).cast("long").alias(f"n_{kind}") for kind in KINDS]
-    kept = [F.col("new_text").alias(n) if n == text else F.col(f"row.`{n}`").alias(n) for n in docs.columns if n not in {f"n_{k}" for k in KINDS}]
+    kept = [F.col("new_text").alias(n) if n == text else F.col(f"row.`{n}`").alias(n) for n in docs.columns]
     return result.select(*kept, *counts)
 
 
@@ -231,5 +295,5 @@ def restore(docs: DataFrame, key: str, text: str = "text") -> DataFrame:
 
 
 def pseudonym_report(docs: DataFrame) -> DataFrame:
-    """Ids, texts with pseudonyms, and counts."""
+    """Ids, texts with pseudonyms, and counts; the key is for this query only."""
     return pseudonymise(docs.select("doc_id", "text"), "documents-1")
