@@ -200,21 +200,24 @@ def inventory_run(t: Tables) -> DataFrame:
 
 
 @query(
-    "B12 S11 K7 E18",
+    "B12 S11 K7 E17 E18 F8",
     """
-    WITH links AS (
-        SELECT unnest(regexp_extract_all(html, '<a href="([^"]*)"', 1)) AS href FROM pages),
-    n AS (SELECT count(*) AS n FROM links WHERE starts_with(href, '/t'))
-    SELECT 1 AS run, n AS n_rows FROM n UNION ALL SELECT 2, n FROM n
+    WITH links AS (SELECT unnest(regexp_extract_all(html, '<a href="([^"]*)"', 1)) AS href FROM pages),
+    found AS (SELECT 'Link' AS title, substr(href, 2) AS slug, 7::BIGINT AS category_id FROM links WHERE regexp_full_match(href, '/[^/]+'))
+    SELECT 1 AS run, * FROM found UNION ALL SELECT 2, * FROM found
     """,
 )
 def category_runs(t: Tables) -> DataFrame:
     """Categories from pages where none are stored; then from the store, whatever the pages."""
     path = t.scratch("category_runs")
-    html = F.regexp_replace("html", '<a href="/t', '<a title="T" href="/t')
+    html = F.regexp_replace("html", '<a href="(/[^/"]+)"', '<a title="Link" href="$1/c7"')
     pages = t.pages.select(html.alias("html"))
-    reports = [frontier.run_category_links(t.spark, pages, path), frontier.run_category_links(t.spark, pages.filter("false"), path)]
-    return t.spark.createDataFrame([(i, r.n_rows) for i, r in enumerate(reports, 1)], "run int, n_rows bigint")
+    stored = []
+    for run, given in ((1, pages), (2, pages.filter("false"))):
+        frontier.run_category_links(t.spark, given, path)
+        rows = read_csv(t.spark, path, schemas.CATEGORIES_CSV, multi_line=True)
+        stored.append(rows.select(F.lit(run).alias("run"), "title", "slug", "category_id"))
+    return stored[0].unionAll(stored[1])
 
 
 @query("K8", "SELECT s_suppkey AS seller_id, s_name AS seller_name FROM supplier")
