@@ -9,15 +9,22 @@ are removed.  Suffixes begin at words.
 2. The prefix at an anchor is counted over all documents.  A prefix seen once
    is a leaf of the tree: no window anchored there repeats.  The rest split the
    windows into groups that are built apart, as equal windows share a prefix.
+   A prefix seen more often than ``group_limit`` makes a group that does not fit
+   a task: its windows are anchored again by prefixes twice as long, and so on,
+   counted each time, until a group fits or the prefix is the whole window.
+   Equal windows agree at every length, so none is parted from its like.
 3. A document sends each anchor's run of windows as one stretch of text to the
-   group of its prefix, so a word travels a few times, not once per window.  A
-   prefix seen more often than ``group_limit`` is too short: its windows are
-   grouped by all their words instead, which one number and a place stand for.
-4. A task takes whole prefixes up to ``BUILD_WORDS`` words, sorts their suffixes
-   by doubling (depth 1, 2, 4 ... window), and so has the nodes of the suffix
-   tree at that depth.  Nodes of two or more suffixes are the deep internal
-   ones; their occurrences are the repeats.
-5. The ranges found go back to their documents, which drop the words they cover.
+   group of its prefix, so a word travels a few times, not once per window.
+   Where the prefix is the whole window, one number and a place stand for it.
+4. A task takes whole groups up to ``BUILD_WORDS`` words and builds their suffix
+   trees: the suffixes in order, with the words that neighbours share.  The
+   internal node above a suffix is as deep as the longer of its two shared
+   beginnings.  Where that is ``window`` words or more, the path to the node is
+   a repeat of that length; those that do not lie inside the one that begins a
+   word before are the maximal ones.
+5. The maximal repeats go back to their documents, which drop the words they
+   cover.  A repeat longer than a stretch comes back as one range per stretch;
+   the ranges overlap by all but a word of a window and join there.
 
 Map tasks combine before they send: of equal runs of windows in a task only the
 first travels, the others, and then the first too, are known to repeat.  That a
@@ -37,7 +44,7 @@ table gives an empty result.
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -51,6 +58,9 @@ from lakemart.sources.paths import scratch_path
 WINDOW = 35
 PREFIX = 8
 GROUP_LIMIT = 20_000
+#: Prefixes of one length whose windows are anchored again, at most, since every task holds them (8 MB); with more, the
+#: prefix is lengthened to the whole window at once, which gives the same repeats from more rows.
+FREQUENT_LIMIT = 1 << 20
 #: Words that step 4 sorts at a time, unless one prefix alone has more.
 BUILD_WORDS = 1 << 20
 #: Equal runs, and ranges known to repeat, that a map task remembers, at most; forgetting one costs a row, not a result.
@@ -79,32 +89,81 @@ def _anchors(words: Words, window: int, prefix: int) -> tuple[np.ndarray, np.nda
     return starts, anchors, codes[anchors]
 
 
-def _runs(starts: np.ndarray, anchors: np.ndarray, words: Words) -> tuple[np.ndarray, np.ndarray]:
-    """Neighbouring windows of one text and one anchor: index of each run's first window, and its length."""
-    if not len(starts):
-        return starts, starts
-    text = np.searchsorted(words.first, starts, "right")
-    new = np.ones(len(starts), dtype=bool)
-    new[1:] = (anchors[1:] != anchors[:-1]) | (text[1:] != text[:-1])
-    first = np.flatnonzero(new)
-    return first, np.diff(np.append(first, len(starts)))
+def _lengths(window: int, prefix: int) -> list[int]:
+    """Prefix lengths in the order they are tried; the whole window follows when all are too frequent."""
+    lengths = [prefix]
+    while 2 * lengths[-1] < window:
+        lengths.append(2 * lengths[-1])
+    return lengths
+
 
+class _Places:
+    """Windows of a batch, each with the first of some prefix lengths that suits it.
 
-def _count_prefixes(window: int, prefix: int):
-    """Step 2, map side: prefixes of each text, with the number of anchors that have them."""
+    ``level`` counts the lengths tried before: a length's own index where its
+    prefix is listed and not too frequent, their number where all are too
+    frequent, -1 where a prefix is not listed.  ``judge`` says of the prefixes
+    of a length which are listed and which of those are too frequent.
+    """
+
+    def __init__(self, words: Words, window: int, lengths: list[int], judge) -> None:
+        fitting = np.maximum(words.counts - window + 1, 0)
+        self.starts = ranges(words.first[:-1], fitting)
+        self.text = np.repeat(np.arange(len(fitting)), fitting)
+        self.level = np.full(len(self.starts), len(lengths))
+        self.anchor = self.starts.copy()
+        self.code = np.zeros(len(self.starts), np.uint64)
+        going = np.arange(len(self.starts))
+        for level, length in enumerate(lengths):
+            if not len(going):
+                break
+            _, anchors, codes = _anchors(words, window, length)
+            self.anchor[going], self.code[going] = anchors[going], codes[going]
+            first = _changes(self.text[going], anchors[going])
+            at, size = going[first], np.diff(np.append(first, len(going)))
+            listed, frequent = judge(level, self.text[at], self.code[at])
+            state = np.where(listed, np.where(frequent, len(lengths), level), -1)
+            self.level[going] = np.repeat(state, size)
+            going = going[np.repeat(listed & frequent, size)]
+        self.anchor[going] = self.starts[going]
+
+
+def _changes(*columns: np.ndarray) -> np.ndarray:
+    """Places of rows that differ from the row before in any column, the first row included."""
+    new = np.zeros(len(columns[0]), dtype=bool)
+    new[:1] = True
+    for column in columns:
+        new[1:] |= column[1:] != column[:-1]
+    return np.flatnonzero(new)
+
+
+def _count_prefixes(window: int, prefix: int, frequent: Sequence[np.ndarray] = ()):
+    """Step 2, map side: prefixes of each text, with the number of anchors that have them.
+
+    ``frequent`` holds the sorted codes of the shorter lengths that are too
+    frequent; only windows of such a prefix at each of them are anchored.
+    """
+    *lengths, length = _lengths(window, prefix)[: len(frequent) + 1]
+
+    def judge(level: int, _: np.ndarray, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        known = frequent[level]
+        at = np.minimum(np.searchsorted(known, codes), max(len(known) - 1, 0))
+        hit = known[at] == codes if len(known) else np.zeros(len(codes), dtype=bool)
+        return hit, hit
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in small_batches(batches, "text"):
             words = Words(batch.column("text"))
-            starts, anchors, codes = _anchors(words, window, prefix)
-            first, _ = _runs(starts, anchors, words)
-            codes = codes[first]
-            text = np.searchsorted(words.first, starts[first], "right") - 1
+            places = _Places(words, window, lengths, judge)
+            going = np.flatnonzero(places.level == len(frequent))
+            if not len(going):
+                continue
+            _, anchors, codes = _anchors(words, window, length)
+            going = going[_changes(places.text[going], anchors[going])]
+            codes, text = codes[going], places.text[going]
             order = np.lexsort((codes, text))
             codes, text = codes[order], text[order]
-            new = np.ones(len(codes), dtype=bool)
-            new[1:] = (codes[1:] != codes[:-1]) | (text[1:] != text[:-1])
-            at = np.flatnonzero(new)
+            at = _changes(text, codes)
             yield pa.RecordBatch.from_arrays(
                 [pa.array(codes[at].view(np.int64)), batch.column("h1").take(pa.array(text[at])), pa.array(np.diff(np.append(at, len(codes))))],
                 names=["prefix", "h1", "n"],
@@ -124,8 +183,12 @@ def _batch(rows: list[tuple], types: list, names: list[str]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), types, strict=True)], names=names)
 
 
-def _deal_runs(window: int, prefix: int):
-    """Step 3: one row per run of windows whose prefix repeats, less what this task has sent already."""
+def _deal_runs(window: int, prefix: int, n_lengths: int | None = None):
+    """Step 3: one row per run of windows whose prefix repeats, less what this task has sent already.
+
+    ``n_lengths`` prefix lengths have been counted, all by default.
+    """
+    lengths = _lengths(window, prefix)[:n_lengths]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
@@ -144,30 +207,17 @@ def _deal_runs(window: int, prefix: int):
 
         for batch in small_batches(batches, "text"):
             words = Words(batch.column("text"))
-            starts, anchors, codes = _anchors(words, window, prefix)
-            first, length = _runs(starts, anchors, words)
-            text = np.searchsorted(words.first, starts[first], "right") - 1
-            # which runs have a prefix that repeats, and which of those one that is too frequent
-            lists = batch.column("prefixes")
-            offsets = lists.offsets.to_numpy()
-            listed = lists.values.field("prefix").to_numpy().view(np.uint64)
-            frequent = lists.values.field("frequent").to_numpy(zero_copy_only=False)
-            owner = np.repeat(np.arange(batch.num_rows), np.diff(offsets))
-            listed, frequent = listed[offsets[0] : offsets[-1]], frequent[offsets[0] : offsets[-1]]
-            order = np.lexsort((listed, owner))
-            wanted = _positions(owner[order], listed[order], text, codes[first])
-            alive = wanted >= 0
-            deep = np.zeros(len(first), dtype=bool)
-            deep[alive] = frequent[order][wanted[alive]]
-            first, length, text = first[alive], length[alive], text[alive]
-            deep = deep[alive]
+            places = _Places(words, window, lengths, _listed(batch))
+            alive = np.flatnonzero(places.level >= 0)
+            if not len(alive):
+                continue
+            starts, text, level = places.starts[alive], places.text[alive], places.level[alive]
+            # runs: neighbouring windows of one anchor; a window that is its own prefix is a run of its own
+            first = _changes(text, level, places.anchor[alive], starts - np.arange(len(starts)))
+            length = np.diff(np.append(first, len(starts)))
+            codes, text, deep = places.code[alive][first], text[first], level[first] == len(lengths)
             whole = windows(words.codes(), window)
-            once, twice = (w[starts] for w in whole) if len(starts) else (codes, codes)
-            # frequent prefixes: every window is a run of its own
-            split = np.where(deep, length, 1)
-            each = np.where(deep, 1, length)
-            first = ranges(first, split) if deep.any() else first
-            text, deep, length = np.repeat(text, split), np.repeat(deep, split), np.repeat(each, split)
+            once, twice = (w[starts] for w in whole)
             inside = ranges(np.zeros(len(length), np.int64), length)
             place = mix(inside.astype(np.uint64))
             flat = ranges(first, length)
@@ -175,8 +225,8 @@ def _deal_runs(window: int, prefix: int):
             ids = [np.add.reduceat(mix(c[flat] ^ place), cuts) if len(flat) else c[:0] for c in (once, twice)]
             h1, h2 = (batch.column(c).to_numpy() for c in ("h1", "h2"))
             out = []
-            columns = (first, length, text, deep, *ids, once[first], twice[first], codes[first], starts[first])
-            for _, n, t, is_deep, a, b, code, second, group, start in zip(*(c.tolist() for c in columns), strict=True):
+            columns = (length, text, deep, *ids, once[first], twice[first], codes, starts[first])
+            for n, t, is_deep, a, b, code, second, group, start in zip(*(c.tolist() for c in columns), strict=True):
                 begin = start - int(words.first[t])
                 me = (int(h1[t]), int(h2[t]), begin, n)
                 if (a, b) in sent:
@@ -203,6 +253,26 @@ def _signed(code: int) -> int:
     return code - (1 << 64) if code >> 63 else code
 
 
+def _listed(batch: pa.RecordBatch):
+    """Which prefixes of a text its list names, and which of those are too frequent."""
+    lists = batch.column("prefixes")
+    offsets = lists.offsets.to_numpy()
+    listed = lists.values.field("prefix").to_numpy().view(np.uint64)[offsets[0] : offsets[-1]]
+    frequent = lists.values.field("frequent").to_numpy(zero_copy_only=False)[offsets[0] : offsets[-1]]
+    owner = np.repeat(np.arange(batch.num_rows), np.diff(offsets))
+    order = np.lexsort((listed, owner))
+    owner, listed, frequent = owner[order], listed[order], frequent[order]
+
+    def judge(_: int, text: np.ndarray, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        at = _positions(owner, listed, text, codes)
+        hit = at >= 0
+        often = np.zeros(len(at), dtype=bool)
+        often[hit] = frequent[at[hit]]
+        return hit, often
+
+    return judge
+
+
 def _positions(owner: np.ndarray, listed: np.ndarray, text: np.ndarray, codes: np.ndarray) -> np.ndarray:
     """Place of each ``(text, code)`` among the sorted pairs ``(owner, listed)``, -1 where absent."""
     both_owner, both_code = np.concatenate([owner, text]), np.concatenate([listed, codes])
@@ -243,48 +313,72 @@ def _whole_groups(batches: Iterator[pa.RecordBatch], key: str, limit: int) -> It
         yield pa.Table.from_batches(held)
 
 
-def deep_nodes(texts: pa.Array, starts_per_text: np.ndarray, window: int) -> np.ndarray:
-    """For the first ``starts_per_text`` suffixes of each text, one after the other: is its node at depth ``window`` shared.
+class SuffixTrees:
+    """Suffix trees of some texts' words, as the order of all suffixes and what neighbours share.
 
-    Ranks of the suffixes at depth 1, 2, 4 ... are the node numbers of the
-    suffix tree at that depth; two ranks that overlap give the last depth.
+    ``order`` lists suffixes by their words, ``shared`` the words that each has
+    in common with the one before it, ``depth`` the depth of the internal node
+    above each suffix.  A suffix is numbered by its place when all texts stand
+    one after the other, ``first`` holding the place of each text's first word;
+    a separator of its own ends each text, so no suffix runs on.
     """
-    words = Words(texts)
-    counts = words.counts
-    # one separator of its own after each text, so that no suffix runs on
-    length = counts + 1
-    total = int(length.sum())
-    _, word_rank = np.unique(words.codes(), return_inverse=True)
-    rank = np.empty(total, dtype=np.int64)
-    text_start = np.cumsum(length) - length
-    rank[ranges(text_start, counts)] = word_rank + len(texts)
-    rank[text_start + counts] = np.arange(len(texts))
-    depth = 1
-    while depth < window:
-        step = min(depth, window - depth)
-        following = np.zeros(total, dtype=np.int64)
-        following[: total - step] = rank[step:] + 1
-        _, rank = np.unique(rank * (total + len(texts) + 2) + following, return_inverse=True)
-        depth += step
-    nodes = rank[ranges(text_start, starts_per_text)]
-    return np.bincount(nodes)[nodes] > 1 if len(nodes) else np.zeros(0, dtype=bool)
+
+    def __init__(self, texts: pa.Array) -> None:
+        words = Words(texts)
+        length = words.counts + 1
+        total = int(length.sum())
+        self.first = np.cumsum(length) - length
+        _, word_rank = np.unique(words.codes(), return_inverse=True)
+        rank = np.empty(total, dtype=np.int64)
+        rank[ranges(self.first, words.counts)] = word_rank + len(texts)
+        rank[self.first + words.counts] = np.arange(len(texts))
+        # ranks[k] tells apart the first 2**k words; place ``total`` is beyond the last separator
+        ranks, n_ranks = [], 0
+        while n_ranks < total:
+            ranks.append(np.append(rank, -1).astype(np.int32))
+            step = 1 << (len(ranks) - 1)
+            following = np.zeros(total, dtype=np.int64)
+            following[: total - step] = rank[step:] + 1
+            values, rank = np.unique(rank * (total + 1) + following, return_inverse=True)
+            n_ranks = len(values)
+        self.order = np.empty(total, dtype=np.int64)
+        self.order[rank] = np.arange(total)
+        before, after = self.order[:-1], self.order[1:]
+        common = np.zeros(len(before), dtype=np.int64)
+        for k in reversed(range(len(ranks))):
+            same = ranks[k][np.minimum(before + common, total)] == ranks[k][np.minimum(after + common, total)]
+            common += same.astype(np.int64) << k
+        self.shared = np.concatenate([np.zeros(min(1, total), np.int64), common])
+        self.depth = np.empty(total, dtype=np.int64)
+        self.depth[self.order] = np.maximum(self.shared, np.append(self.shared[1:], 0)[:total])
+
+    def internal_nodes(self, least: int) -> Iterator[tuple[int, np.ndarray]]:
+        """Nodes of ``least`` words or more: their depth and the suffixes below, each right-maximal."""
+        stack: list[tuple[int, int]] = []
+        for at, common in enumerate([*self.shared[1:].tolist(), 0], 1):
+            begin = at - 1
+            while stack and stack[-1][0] > common:
+                depth, begin = stack.pop()
+                yield depth, self.order[begin:at]
+            if common >= least and (not stack or stack[-1][0] < common):
+                stack.append((common, begin))
+
+    def maximal_ranges(self, n_starts: np.ndarray, least: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Text, first word and length of the repeats of ``least`` words or more that begin at the first ``n_starts`` words of each text.
+
+        A repeat that lies inside the one beginning a word before is left out.
+        """
+        text = np.repeat(np.arange(len(n_starts)), n_starts)
+        start = ranges(np.zeros(len(n_starts), np.int64), n_starts)
+        depth = self.depth[ranges(self.first, n_starts)]
+        end = start + depth
+        maximal = depth >= least
+        maximal[1:] &= (text[1:] != text[:-1]) | (end[1:] > end[:-1])
+        return text[maximal], start[maximal], depth[maximal]
 
 
 def _build_trees(window: int):
-    """Step 4: ranges ``(h1, h2, start, n)`` of windows that repeat."""
-
-    def found(h1, h2, start, n, repeated) -> pa.RecordBatch | None:
-        """Runs of repeated windows within each row."""
-        row = np.repeat(np.arange(len(n)), n)
-        place = np.repeat(start, n) + ranges(np.zeros(len(n), np.int64), n)
-        row, place = row[repeated], place[repeated]
-        if not len(row):
-            return None
-        new = np.ones(len(row), dtype=bool)
-        new[1:] = (row[1:] != row[:-1]) | (place[1:] != place[:-1] + 1)
-        at = np.flatnonzero(new)
-        columns = [h1[row[at]], h2[row[at]], place[at], np.diff(np.append(at, len(row)))]
-        return pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["h1", "h2", "start", "n"])
+    """Step 4: ranges ``(h1, h2, start, n)`` of ``n`` windows that repeat."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table in _whole_groups(batches, "prefix", 6 * BUILD_WORDS):
@@ -294,19 +388,18 @@ def _build_trees(window: int):
                 at = np.flatnonzero(kinds == kind)
                 h1, h2, start, n = (numbers[c][at] for c in ("h1", "h2", "start", "n"))
                 if kind == _RUN:
-                    texts = table.column("text").take(pa.array(at)).combine_chunks()
-                    texts = texts.cast(pa.large_binary()) if isinstance(texts, pa.Array) else pa.concat_arrays(texts.chunks).cast(pa.large_binary())
-                    repeated = deep_nodes(texts, n, window)
+                    texts = table.column("text").take(pa.array(at)).cast(pa.large_binary()).combine_chunks()
+                    texts = texts if isinstance(texts, pa.Array) else pa.concat_arrays(texts.chunks)
+                    row, place, depth = SuffixTrees(texts).maximal_ranges(n, window)
+                    h1, h2, start, n = h1[row], h2[row], start[row] + place, depth - window + 1
                 elif kind == _WINDOW:
                     second = np.array([int.from_bytes(x, "little") for x in table.column("text").take(pa.array(at)).to_pylist()], dtype=np.uint64)
                     _, pair = np.unique(np.stack([numbers["prefix"][at].view(np.uint64), second]), axis=1, return_inverse=True)
                     pair = pair.reshape(-1)
                     repeated = np.bincount(pair)[pair] > 1
-                else:
+                    h1, h2, start, n = (c[repeated] for c in (h1, h2, start, n))
+                if len(n):
                     yield pa.RecordBatch.from_arrays([pa.array(c) for c in (h1, h2, start, n)], names=["h1", "h2", "start", "n"])
-                    continue
-                if (out := found(h1, h2, start, n, repeated)) is not None:
-                    yield out
 
     return run
 
@@ -353,6 +446,23 @@ def _stored(frame: DataFrame, name: str) -> DataFrame:
     return frame.sparkSession.read.parquet(path)
 
 
+def _repeated_prefixes(rows: DataFrame, window: int, prefix: int, group_limit: int) -> tuple[DataFrame, int]:
+    """Step 2: ``(prefix, h1, frequent)`` for the prefixes of each text that repeat, and how many lengths were counted."""
+    alive, frequent = None, []
+    while True:
+        prefixes = rows.select("h1", "text").mapInArrow(_count_prefixes(window, prefix, frequent), "prefix long, h1 long, n long")
+        prefixes = _stored(prefixes, "prefixes")
+        repeated = prefixes.groupBy("prefix").agg(F.sum("n").alias("n")).filter("n > 1")
+        repeated = _stored(repeated.select("prefix", (F.col("n") > group_limit).alias("frequent")), "repeated-prefixes")
+        found = salted_join(prefixes.select("prefix", "h1"), repeated, "prefix", F.col("h1"), "inner", 4)
+        alive = found if alive is None else alive.unionByName(found)
+        too_frequent = repeated.filter("frequent").select("prefix")
+        n_lengths = len(frequent) + 1
+        if n_lengths == len(_lengths(window, prefix)) or not 0 < too_frequent.count() <= FREQUENT_LIMIT:
+            return alive, n_lengths
+        frequent.append(np.sort(np.array([r[0] for r in too_frequent.collect()], dtype=np.int64).view(np.uint64)))
+
+
 def remove_repeats(
     docs: DataFrame,
     window: int = WINDOW,
@@ -376,14 +486,10 @@ def remove_repeats(
         F.xxhash64(F.lit("second"), content).alias("h2"),
         content.cast("binary").alias("text"),
     )
-    prefixes = rows.select("h1", "text").mapInArrow(_count_prefixes(window, prefix), "prefix long, h1 long, n long")
-    prefixes = _stored(prefixes, "prefixes")
-    repeated = prefixes.groupBy("prefix").agg(F.sum("n").alias("n")).filter("n > 1")
-    repeated = repeated.select("prefix", (F.col("n") > group_limit).alias("frequent"))
-    alive = salted_join(prefixes.select("prefix", "h1"), repeated, "prefix", F.col("h1"), "inner", 4)
+    alive, n_lengths = _repeated_prefixes(rows, window, prefix, group_limit)
     lists = alive.groupBy("h1").agg(F.collect_set(F.struct("prefix", "frequent")).alias("prefixes"))
     dealt = salted_join(rows, lists, "h1", F.xxhash64("doc_id"), "inner", 4)
-    runs = dealt.select("h1", "h2", "text", "prefixes").mapInArrow(_deal_runs(window, prefix), _SCHEMA)
+    runs = dealt.select("h1", "h2", "text", "prefixes").mapInArrow(_deal_runs(window, prefix, n_lengths), _SCHEMA)
     tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
     grouped = runs.repartition(tasks, "prefix").sortWithinPartitions("prefix")
     found = grouped.mapInArrow(_build_trees(window), "h1 long, h2 long, start long, n long")

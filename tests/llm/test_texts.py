@@ -191,6 +191,53 @@ def test_removal_of_many_copies(spark):
     _check_removal(rows, substring_dedup.remove_repeats(frame).collect(), 35)
 
 
+@pytest.mark.parametrize("seed", range(6))
+def test_suffix_trees_match_plain_python(seed):
+    rng = random.Random(seed)
+    texts = [[f"w{rng.randrange(3)}" for _ in range(rng.randrange(1, 14))] for _ in range(9)] + [["a"] * 12, ["solo"], []]
+    trees = substring_dedup.SuffixTrees(pa.array([" ".join(t).encode() for t in texts], pa.large_binary()))
+    places = {}
+    for t, words in enumerate(texts):
+        for i in range(len(words)):
+            for j in range(i + 1, len(words) + 1):
+                places.setdefault(tuple(words[i:j]), set()).add((t, i))
+    # right-maximal: two or more occurrences, and no word that follows all of them
+    def after(at, n):
+        return {(texts[t][i + n],) if i + n < len(texts[t]) else (t, "end") for t, i in at}
+
+    want = {(len(r), frozenset(at)) for r, at in places.items() if len(at) > 1 and len(r) >= 2 and len(after(at, len(r))) > 1}
+    number = {int(first) + i: (t, i) for t, first in enumerate(trees.first) for i in range(len(texts[t]))}
+    assert {(depth, frozenset(number[p] for p in below.tolist())) for depth, below in trees.internal_nodes(2)} == want
+    # maximal ranges: the longest repeat that begins at a word, unless it lies in the one from the word before
+    longest = [[max((n for n in range(1, len(w) - i + 1) if len(places[tuple(w[i : i + n])]) > 1), default=0) for i in range(len(w))] for w in texts]
+    ranges = [(t, i, n) for t, row in enumerate(longest) for i, n in enumerate(row) if n >= 2 and (i == 0 or row[i - 1] - 1 < n)]
+    got = trees.maximal_ranges(np.array([len(w) for w in texts]), 2)
+    assert list(zip(*(c.tolist() for c in got), strict=True)) == ranges
+
+
+def test_frequent_prefixes_are_lengthened(spark):
+    """A prefix of 8 words in every text; 16 words tell the repeats apart, and some need all 35."""
+    head, deep = edge.prose(70, 8), edge.prose(71, 60)
+    tails = [edge.prose(80 + i, 60) for i in range(20)]
+    texts = [f"{edge.prose(200 + i, 15)} {head} {tails[i % 20]}" for i in range(60)] + [f"{edge.prose(300 + i, 20)} {deep}" for i in range(40)]
+    rows = [(i, text) for i, text in enumerate(texts)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    keyed = frame.select(F.xxhash64("text").alias("h1"), F.col("text").cast("binary").alias("text"))
+    alive, n_lengths = substring_dedup._repeated_prefixes(keyed, 35, 8, 30)
+    assert n_lengths == 3 and substring_dedup._lengths(35, 8) == [8, 16, 32]
+    assert {r["frequent"]: r["n"] > 0 for r in alive.groupBy("frequent").agg(F.count("*").alias("n")).collect()} == {True: True, False: True}
+    assert substring_dedup._repeated_prefixes(keyed, 35, 8, 1000)[1] == 1
+    for limit in (30, 2):
+        _check_removal(rows, substring_dedup.remove_repeats(frame, group_limit=limit).collect(), 35)
+
+
+def test_prefixes_beyond_the_bound_become_whole_windows(spark, monkeypatch):
+    monkeypatch.setattr(substring_dedup, "FREQUENT_LIMIT", 1)
+    rows = [(i, f"{edge.prose(400 + i, 10)} {edge.prose(72 + i % 3, 70)}") for i in range(30)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    _check_removal(rows, substring_dedup.remove_repeats(frame, group_limit=2).collect(), 35)
+
+
 def test_groups_are_never_split():
     rows = [(k, b"x" * 50) for k in range(40) for _ in range(1 + k % 7 * 30)]
     table = pa.table({"k": pa.array([r[0] for r in rows], pa.int64()), "t": pa.array([r[1] for r in rows])})
