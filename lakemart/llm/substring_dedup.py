@@ -440,10 +440,21 @@ def _spans(found: list[dict], window: int) -> list[tuple[int, int]]:
     return [(s, e) for s, e in spans]
 
 
+#: Spark's setting that shuffle files go when the query that wrote them ends.
+_FREE_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def _stored(frame: DataFrame, name: str) -> DataFrame:
-    path = scratch_path(frame.sparkSession, name)
-    frame.write.parquet(path)
-    return frame.sparkSession.read.parquet(path)
+    """The rows, written to the shared scratch folder; the shuffle files behind them go with the write."""
+    spark = frame.sparkSession
+    path = scratch_path(spark, name)
+    before = spark.conf.get(_FREE_SHUFFLES)
+    spark.conf.set(_FREE_SHUFFLES, "true")
+    try:
+        frame.write.parquet(path)
+    finally:
+        spark.conf.set(_FREE_SHUFFLES, before)
+    return spark.read.parquet(path)
 
 
 def _repeated_prefixes(rows: DataFrame, window: int, prefix: int, group_limit: int) -> tuple[DataFrame, int]:
