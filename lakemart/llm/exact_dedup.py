@@ -9,7 +9,10 @@ answer, since groups are formed on the SHA-256.
 
 The filter takes ``bits_per_row`` bits per document, so it grows with the
 table.  It is broadcast only while its counted size is below
-``broadcast_bytes``; beyond, rows are joined with it on the filter word.
+``broadcast_bytes``; beyond, digests alone are joined with it on the filter
+word.  Whole rows then meet a second filter, of the digests that were found to
+repeat and nothing else, cut into ranges of words that are broadcast one at a
+time, a scan each: no text is shuffled that does not repeat, at any size.
 
 Defined results: a null text counts as empty.  Of equal texts the row with the
 largest id stays; null ids lose to any id; among rows of the same id exactly
@@ -18,14 +21,18 @@ one stays.  An empty table gives an empty result.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lakemart.llm.common import packed, salted_join, text_or_empty, unpacked
+from lakemart.llm.common import packed, salted_join, stored, text_or_empty, unpacked
 from lakemart.sources.paths import scratch_path
 
 PROBES = 3
 BITS_PER_ROW = 8
+#: Bits of the second filter per digest that repeats.
+BITS_PER_REPEAT = 16
 BROADCAST_BYTES = 64 << 20
 _ENTRY_BYTES = 24
 
@@ -51,7 +58,10 @@ def repeat_filter(digests: DataFrame, digest: str, n_words: int) -> DataFrame:
 
 
 def _suspects(rows: DataFrame, digest: str, found: DataFrame, n_words: int, broadcast: bool) -> DataFrame:
-    """Pass two: the rows with ``maybe``, true where the filter cannot exclude a repeat."""
+    """Pass two: the rows with ``maybe``, true where the filter cannot exclude a repeat.
+
+    Rows that meet a filter too large for a broadcast hold a ``row_no``, which deals those of one text apart.
+    """
     mask = F.aggregate(
         _bits(F.col(digest)), F.lit(0).cast("long"), lambda m, bit: m.bitwiseOR(F.call_function("shiftleft", F.lit(1).cast("long"), bit))
     )
@@ -60,7 +70,7 @@ def _suspects(rows: DataFrame, digest: str, found: DataFrame, n_words: int, broa
     joined = (
         keyed.join(F.broadcast(side), "_word", "left")
         if broadcast
-        else salted_join(keyed, side, "_word", F.xxhash64(digest, "_mask"), "left", 4)
+        else salted_join(keyed, side, "_word", F.xxhash64("row_no"), "left", 4)
     )
     maybe = F.coalesce(F.col("_bits").bitwiseAND(F.col("_mask")) == F.col("_mask"), F.lit(False))
     return joined.withColumn("maybe", maybe).drop("_word", "_mask", "_bits")
@@ -76,6 +86,37 @@ def _filter_for(digests: DataFrame, digest: str, bits_per_row: int, broadcast_by
     return found, n_words, found.count() * _ENTRY_BYTES <= broadcast_bytes
 
 
+def _repeats_in_ranges(docs: DataFrame, content: Column, found: DataFrame, n_words: int, broadcast_bytes: int) -> tuple[DataFrame, int, int]:
+    """Filter of the digests that repeat, its number of words, and the ranges of words that are each small enough to broadcast.
+
+    Only digests and row numbers are joined and grouped.  A range holds 4 KB at least.
+    """
+    spark = docs.sparkSession
+    digests = stored(docs.select(F.sha2(content, 256).alias("digest"), F.monotonically_increasing_id().alias("row_no")), "digests")
+    suspects = _suspects(digests, "digest", found, n_words, False).filter("maybe")
+    repeated = suspects.groupBy("digest").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("digest")
+    repeated = stored(repeated, "repeated-digests")
+    n_words = max(16, repeated.count() * BITS_PER_REPEAT // 64)
+    hits = repeated.select(_word(F.col("digest"), n_words).alias("word"), F.explode(_bits(F.col("digest"))).alias("bit"))
+    path = scratch_path(spark, "repeats-filter")
+    hits.groupBy("word").agg(F.bit_or(F.expr("shiftleft(1L, bit)")).alias("bits")).write.parquet(path)
+    tight = spark.read.parquet(path)
+    return tight, n_words, -(-tight.count() * _ENTRY_BYTES // max(broadcast_bytes, 4096)) or 1
+
+
+def _tested_in_ranges(rows: DataFrame, found: DataFrame, n_words: int, n_ranges: int) -> DataFrame:
+    """The rows with ``maybe``, each tested in the one scan whose range of the filter holds its word."""
+
+    def share(word: Column, number: int) -> Column:
+        return word.between(n_words * number // n_ranges, n_words * (number + 1) // n_ranges - 1)
+
+    word = _word(F.col("digest"), n_words)
+    parts = [
+        _suspects(rows.filter(share(word, i)), "digest", found.filter(share(F.col("word"), i)), n_words, True) for i in range(n_ranges)
+    ]
+    return reduce(DataFrame.unionAll, parts)
+
+
 def dedup_decisions(
     docs: DataFrame,
     text: str = "text",
@@ -135,7 +176,10 @@ def keep_one_copy(
     content = text_or_empty(text)
     found, n_words, broadcast = _filter_for(docs.select(F.sha2(content, 256).alias("digest")), "digest", bits_per_row, broadcast_bytes)
     rows = packed(docs, F.sha2(content, 256).alias("digest"), F.col(doc_id).alias("id"))
-    tested = _suspects(rows, "digest", found, n_words, broadcast)
+    if broadcast:
+        tested = _suspects(rows, "digest", found, n_words, True)
+    else:
+        tested = _tested_in_ranges(rows, *_repeats_in_ranges(docs, content, found, n_words, broadcast_bytes))
     suspects = tested.filter("maybe").withColumn("content", F.xxhash64(F.to_json("row")))
     best = (
         suspects.withColumn(

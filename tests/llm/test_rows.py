@@ -72,6 +72,28 @@ def test_exact_dedup(docs, none, broadcast_bytes):
     assert exact_dedup.dedup_decisions(none).count() == exact_dedup.keep_one_copy(none).count() == 0
 
 
+def test_a_filter_beyond_the_broadcast_is_met_in_ranges_and_shuffles_repeats_only(spark):
+    """3,000 texts, 899 of them twice, one 602 times; the filter of 900 repeats takes two ranges of 4 KB."""
+    number = F.when(F.col("id") < 3900, F.col("id") % 3000).otherwise(7)
+    docs = spark.range(4500).select(F.col("id").alias("doc_id"), F.concat(F.lit("text "), number).alias("text"))
+    content = F.col("text")
+    found, n_words, broadcast = exact_dedup._filter_for(docs.select(F.sha2(content, 256).alias("digest")), "digest", 8, 0)
+    assert not broadcast
+    tight, n_tight, n_ranges = exact_dedup._repeats_in_ranges(docs, content, found, n_words, 0)
+    assert n_ranges == 2 and n_tight == 900 * 16 // 64
+    rows = docs.select(F.sha2("text", 256).alias("digest"), "text")
+    tested = exact_dedup._tested_in_ranges(rows, tight, n_tight, n_ranges)
+    assert tested.count() == 4500
+    assert 2400 <= tested.filter("maybe").count() < 2600
+    kept = exact_dedup.keep_one_copy(docs, broadcast_bytes=0)
+    plan = kept._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" not in plan and plan.count("BroadcastHashJoin") >= 2
+    shuffled = [line for line in plan.splitlines() if "Exchange hashpartitioning" in line]
+    assert shuffled and all("hashpartitioning(digest" in line for line in shuffled)
+    want = docs.groupBy("text").agg(F.max("doc_id").alias("doc_id"))
+    assert Counter(map(tuple, kept.select("doc_id", "text").collect())) == Counter((r["doc_id"], r["text"]) for r in want.collect())
+
+
 def test_repeat_filter_lets_no_repeat_through(spark):
     digests = spark.range(3000).select(F.sha2((F.col("id") % 2900).cast("string"), 256).alias("d"))
     found = exact_dedup.repeat_filter(digests, "d", 400)
