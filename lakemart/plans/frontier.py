@@ -139,9 +139,12 @@ def run_frontier(spark: SparkSession, listing: DataFrame, path: str, *fetched: s
     """Opens the ledger, appends what the listing has beyond it and was fetched whole; counts the new rows.
 
     Give a ``run`` name, say the day, and a run that broke off can be started
-    again, or twice at once, without rows lost or repeated.
+    again, or twice at once, without rows lost or repeated.  Once its rows are
+    published, a run of that name has nothing to add and looks nothing up.
     """
     ledger = open_or_init(spark, path, schemas.LEDGER)
+    if run is not None and published(spark, path, run):
+        return TableReport("ledger", path, fixed.SUCCESS, 0)
     fresh = new_candidates(listing, ledger, ledger_filter(spark, path))
     done = fully_fetched(fresh, *fetched) if fetched else fresh
     return TableReport("ledger", path, fixed.SUCCESS, append_to_ledger(done, ledger.columns, path, run))
