@@ -13,7 +13,7 @@ from lakemart.operators.dedup import keep_latest
 from lakemart.operators.keys import keep_known
 from lakemart.plans import frontier, silver
 from lakemart.schemas import LEDGER
-from lakemart.sources import writers
+from lakemart.sources import Lake, writers
 
 
 def rows(df):
@@ -100,3 +100,13 @@ def test_numbers_with_a_point_are_not_cast_to_integers(spark):
     assert "Contains" in plan or "contains" in plan.lower()
     numbers = spark.createDataFrame([(7.9, 2**53 + 1, True)], "d double, n bigint, b boolean")
     assert tuple(numbers.select(*[whole_number(F.col(c)) for c in numbers.columns]).first()) == (7, 2**53 + 1, 1)
+
+
+def test_wide_rows_run_in_methods_of_a_size_that_is_compiled(spark, tmp_path, monkeypatch):
+    name = "spark.sql.codegen.hugeMethodLimit"
+    before, seen, lake = spark.conf.get(name), [], Lake(str(tmp_path))
+    writers.write_json(spark.sql("SELECT named_struct('seller', named_struct('id', 1)) AS data"), f"{lake.bronze}/sellers", packed=True)
+    build = silver.silver_sellers
+    monkeypatch.setattr(silver, "silver_sellers", lambda flat: seen.append(spark.conf.get(name)) or build(flat))
+    assert silver.run_sellers(spark, lake, layout="lines").n_rows == 1
+    assert seen == ["8000"] and spark.conf.get(name) == before
