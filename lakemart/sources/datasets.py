@@ -16,15 +16,17 @@ class Dataset:
     name: str
     schema: str
     files: str
+    #: Document without values that flattens to one row.
+    blank: str
     flatten: Callable[..., DataFrame]
 
 
 DATASETS = {
     d.name: d
     for d in (
-        Dataset("products", schemas.scalars_as_text(schemas.PRODUCT_DOCUMENT), fixed.PRODUCT_FILES, flatten_products),
-        Dataset("sellers", schemas.scalars_as_text(schemas.SELLER_DOCUMENT), fixed.SELLER_FILES, flatten_sellers),
-        Dataset("reviews", schemas.scalars_as_text(schemas.REVIEW_PAGE), fixed.REVIEW_FILES, flatten_reviews),
+        Dataset("products", schemas.scalars_as_text(schemas.PRODUCT_DOCUMENT), fixed.PRODUCT_FILES, "{}", flatten_products),
+        Dataset("sellers", schemas.scalars_as_text(schemas.SELLER_DOCUMENT), fixed.SELLER_FILES, '{"data": {"seller": {"id": ""}}}', flatten_sellers),
+        Dataset("reviews", schemas.scalars_as_text(schemas.REVIEW_PAGE), fixed.REVIEW_FILES, '{"data": [{}]}', flatten_reviews),
     )
 }
 

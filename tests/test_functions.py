@@ -90,6 +90,18 @@ def test_missing_values(spark):
     assert values(spark, flags, "s string", L.flag(F.col("s"))) == [True, False, True, False, None, None]
 
 
+@pytest.mark.parametrize("to", ["int", "bigint", "double"])
+def test_text_that_is_no_number_is_not_cast(spark, to):
+    blank = ["", " ", "\t", "\x00", "\x1f", "\x7f", "\x85", "\xa0", "\u2028", "\u3000", "d"]
+    numbers = ["1", "-7", "+3", "007", "4.5", ".5", "5.", "1e3", "1.E-3", "1d", "2F", "0x1p3", "0X1.8P-2", "NaN", "-inf", "Infinity", "1_0", "1,5", "\u0663", "9" * 19]
+    texts = [None, "true", "none", "[1]", '{"a": 1}', "--1", "1 2", "0x", ".", "e", *[a + n + b for a in blank for n in numbers for b in blank]]
+    got = values(spark, texts, "s string", L.lenient_cast(F.col("s"), to))
+    assert list(map(repr, got)) == list(map(repr, values(spark, texts, "s string", F.col("s").try_cast(to))))
+    plan = spark.createDataFrame([("x",)], "s string").select(L.lenient_cast(F.col("s"), to))._jdf.queryExecution().optimizedPlan().toString()
+    assert "rlike" in plan.lower()
+    assert values(spark, [2, None], "n int", L.lenient_cast(F.col("n"), to)) == [2, None]
+
+
 def test_fill_subset(spark):
     df = spark.createDataFrame([(None, float("nan"), None), (2, 1.5, "x")], "n int, d double, s string")
     filled = df.transform(L.default_if_missing({"n": 0, "d": 0.0, "absent": 1}))

@@ -2,6 +2,7 @@
 
 import json
 import os
+import shutil
 import threading
 import time
 from collections import Counter
@@ -13,7 +14,7 @@ from lakemart import fixed, schemas
 from lakemart.operators.dedup import keep_latest, row_hash
 from lakemart.operators.keys import keep_known, key_filter, may_be_known, merged_filter
 from lakemart.plans import bronze, frontier, silver
-from lakemart.sources import Lake, appends, files, readers
+from lakemart.sources import DATASETS, Lake, appends, files, readers
 
 
 def rows(df):
@@ -193,3 +194,35 @@ def test_silver_under_parents_without_a_match(spark, tmp_path, parents, with_rej
     for report in (silver.run_products(spark, lake, "lines", str(tmp_path / "parent")), silver.run_reviews(spark, lake, "lines", str(tmp_path / "parent"))):
         assert (report.status, report.n_rows, report.n_rejects) == (fixed.SUCCESS, 0, int(with_rejects))
         assert not with_rejects or spark.read.parquet(lake.path("rejects", report.table)).count() == 1
+
+
+def test_rejects_are_stored_by_the_pass_that_parses(spark, tmp_path, monkeypatch):
+    """The documents are gone before rejects are written; each reject is one row, and a blank document no reject."""
+    bronze_folder = tmp_path / "bronze" / "market"
+    bad = ["no document", '{"data": [{"id": 8}, {"id": 9}]', '{"id": 8, "brand": {']
+    good = {
+        "sellers": ['{"data": {"seller": {"id": 1}}}', '{"data": {"seller": {}}}', "{}", '{"data": 5}'],
+        "products": ['{"id": 1, "current_seller": {"id": 1}, "brand": []}', "{}"],
+        "reviews": ['{"data": [{"id": 1, "product_id": 1, "seller": {"id": 1}}, {"id": 2}, null]}', '{"data": []}', "{}"],
+    }
+    for name, documents in good.items():
+        (bronze_folder / name).mkdir(parents=True)
+        (bronze_folder / name / "a.json").write_text("\n".join(documents + bad) + "\n")
+    spark.createDataFrame([(1, 1)], "product_id long, seller_id long").write.parquet(str(tmp_path / "parent"))
+    publish = silver.publish
+    monkeypatch.setattr(silver, "publish", lambda name, *rest: (shutil.rmtree(bronze_folder / name), publish(name, *rest))[1])
+    lake, parent = Lake(str(tmp_path)), str(tmp_path / "parent")
+    reports = [silver.run_sellers(spark, lake, "lines"), silver.run_products(spark, lake, "lines", parent), silver.run_reviews(spark, lake, "lines", parent)]
+    for report in reports:
+        assert (report.status, report.n_rows, report.n_rejects) == (fixed.SUCCESS, 1, 3)
+        refused = spark.read.parquet(lake.path("rejects", report.table))
+        assert refused.columns == ["source_path", "raw"] and sorted(r["raw"] for r in refused.collect()) == sorted(bad)
+        assert readers.REFUSED not in spark.read.parquet(report.path).columns
+
+
+@pytest.mark.parametrize("name", sorted(DATASETS))
+def test_a_blank_document_flattens_to_one_row(spark, name):
+    source = DATASETS[name]
+    document = spark.range(1).select(F.from_json(F.lit(source.blank), source.schema).alias("d")).select("d.*")
+    (row,) = source.flatten(document).collect()
+    assert row.asDict()[f"{name[:-1]}_id"] is None
